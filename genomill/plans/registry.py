@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from genomill.plans.coevolution import QUERIES as COEVOLUTION
+from genomill.plans.counting import QUERIES as COUNTING
 
-_ALL: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {**COEVOLUTION}
+_ALL: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {**COEVOLUTION, **COUNTING}
 
 QUERIES = {name: f for name, (f, _) in _ALL.items()}
 ORACLES = {name: sql for name, (_, sql) in _ALL.items() if sql}
