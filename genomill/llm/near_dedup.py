@@ -9,11 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genomill.llm.common import NOT_BLANK, Words, prepare, cut, mix64, slices, table
+from genomill.llm.common import NOT_BLANK, Words, cut, grouped, mix64, prepare, slices, table
 from genomill.llm.graph import components
 
 #: Multipliers and summands of the universal hashes (multiply-shift over 64 bits), from a fixed seed.
 SEED = 20240611
+#: Rows of a block of a band, and ids that may be broadcast (8 bytes each).
+BLOCK, BROADCAST_IDS = 1024, 2_000_000
 
 
 def _family(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -36,7 +38,7 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
 
 
 def signatures(docs: DataFrame, k: int, hashes: int) -> DataFrame:
-    """doc_id, n_shingles, digest (of the set; null when empty), sig (minima, 4 bytes each; null when empty)."""
+    """doc_id, n_shingles, digest (of the set; null when empty), sig (2 bytes of each minimum; null when empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _family(hashes)
@@ -52,7 +54,7 @@ def signatures(docs: DataFrame, k: int, hashes: int) -> DataFrame:
                 least = np.full(hashes, np.iinfo(np.uint64).max, np.uint64)
                 for at in range(0, len(s), 512):
                     np.minimum(least, (s[at : at + 512, None] * a + b).min(axis=0), out=least)
-                sig.append((least >> np.uint64(32)).astype("<u4").tobytes())
+                sig.append((least >> np.uint64(48)).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "n_shingles", "digest", "sig"])
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sig binary")
@@ -65,11 +67,12 @@ def _agreeing(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
             keep = (x == y).mean(axis=1) >= least
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    both = pairs.join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b").join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a")
+    # always by a shuffle: what moves then follows the number of pairs at every size
+    both = pairs.join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")).hint("merge"), "b").join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")).hint("merge"), "a")
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
@@ -90,18 +93,55 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataF
                 keep.append(bool(inter) and 100 * inter >= percent * (len(small) + len(large) - inter))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    ids = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct())
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bands: int = 48, rows: int = 6, slack: float = 0.2, max_rounds: int = 40) -> DataFrame:
+def _crossing(rows: DataFrame, rows_a_band: int, least: float) -> DataFrame:
+    """Pairs (a, b) of `rows` (band, number, doc_id, component, sig) of one band and different components, whose signatures agree.
+
+    A band's rows are dealt into blocks of about BLOCK rows, and pairs of blocks are compared each in a task of its own: no task
+    holds more than two blocks. Only pairs that agree are emitted, and only in the first band that they share.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("doc_id", F.lit(7)), blocks).cast("int")
+    dealt = rows.withColumn("_m", mine).withColumn("_o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("band", F.least("_m", "_o").alias("i"), F.greatest("_m", "_o").alias("j"), "_m", "number", "doc_id", "component", "sig")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in grouped(batches, ["band", "i", "j"]):
+            i, j = part.column("i")[0].as_py(), part.column("j")[0].as_py()
+            block, ids, comp = (np.array(part.column(c)) for c in ("_m", "doc_id", "component"))
+            sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint16).reshape(len(ids), -1)
+            number = part.column("number")[0].as_py()
+            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            for x in left.tolist():
+                other = right[(comp[right] != comp[x]) & ((ids[right] > ids[x]) if i == j else True)]
+                if not len(other):
+                    continue
+                same = sig[other] == sig[x]
+                keep = same.mean(axis=1) >= least
+                if number and keep.any():
+                    keep[keep] = ~same[keep][:, : number * rows_a_band].reshape(int(keep.sum()), number, rows_a_band).all(axis=2).any(axis=1)
+                if keep.any():
+                    y = ids[other[keep]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(y, ids[x])), pa.array(np.maximum(y, ids[x]))], names=["a", "b"])
+
+    return dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bands: int = 48, rows: int = 6, slack: float = 0.1) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reached over links), kept (doc_id = component_id).
 
     A link is 100 * |A ∩ B| >= percent * |A ∪ B| on the full sets of distinct k-word shingles (A-Z lower-cased; words end at
     blanks; a text of fewer words is one shingle). Candidates share a band of `rows` minima: at a similarity of 0.75 a pair
     misses all 48 bands with probability 8e-5, at 0.8 with 6e-7. Texts with equal sets become one class before any pairing.
-    In a band, members are compared with a centre, not with each other; a band is done when its members are in one component
-    or have all been centres, so no candidate pair is left out unless a path already links it.
+    Signatures must agree in percent / 100 - slack of their minima (a pair at 0.75 fails that with probability 1e-4). In a band,
+    members are first compared with its smallest document; then, in bands that still hold several components, members of
+    different components with each other, block by block: no candidate pair is left out unless a path already links it.
 
     Null or blank text: an empty set, linked with nothing. Null doc_id: returned, kept, component null. Rows that repeat a
     doc_id are one node, with the smallest of their texts, and each row is returned. Other columns are ignored. An empty table gives an empty result.
@@ -116,38 +156,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75, bands: int =
     full = sigs.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     classes = cut(full.groupBy("digest").agg(F.min("doc_id").alias("rep")))
     reps = classes.select(F.col("rep").alias("doc_id"))
-    texts = docs.join(reps, "doc_id", "left_semi")
+    texts = docs
     rep_sigs = cut(full.join(reps, "doc_id", "left_semi").select("doc_id", "sig"))
-    width = 4 * rows
-    banded = rep_sigs.select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.expr("sig").substr(i * width + 1, F.lit(width))))).alias("band"))
+    width = 2 * rows
+    banded = rep_sigs.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.expr("sig").substr(i * width + 1, F.lit(width))))).alias("number", "band"))
     sizes = banded.groupBy("band").agg(F.count("*").alias("size"), F.min("doc_id").alias("centre")).where("size > 1")
-    members = cut(banded.join(sizes, "band").select("band", "doc_id", "size", "centre"))
-
-    links: list[DataFrame] = []
-    pairs = members.where("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-    open_rows = members.where("doc_id <> centre").select("band", "doc_id")
-    centres_per_band, found, compared = 1, None, None
-    for _ in range(max_rounds):
-        new = cut(_confirmed(cut(_agreeing(pairs, rep_sigs, percent / 100 - slack)), texts, k, percent))
-        links.append(new)
-        compared = pairs if compared is None else compared.union(pairs)
-        edges = links[0]
-        for x in links[1:]:
-            edges = edges.union(x)
-        found = cut(components(edges, "a", "b"))
-        # rows whose band still joins different components
-        named = open_rows.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("band", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-        mixed = named.groupBy("band").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        open_named = cut(named.join(mixed.select("band", "size"), "band"))
-        if open_named.isEmpty():
-            break
-        centres_per_band *= 16
-        draw = F.pmod(F.xxhash64("band", "doc_id", F.lit(centres_per_band)), F.lit(1 << 20)) * F.col("size") < F.lit(float(centres_per_band) * (1 << 20))
-        centres = open_named.where(draw).select("band", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-        pairs = cut(open_named.join(centres, "band").where("doc_id <> a AND component <> ca").select(F.greatest("a", "doc_id").alias("b"), F.least("a", "doc_id").alias("a")).distinct().select("a", "b").join(compared, ["a", "b"], "left_anti"))
-        open_rows = cut(open_named.where(~draw).select("band", "doc_id"))
-    else:
-        raise RuntimeError("bands did not settle")
+    members = cut(banded.join(sizes.hint("shuffle_hash"), "band").select("band", "number", "doc_id", "centre"))
+
+    # first all members of a band against its smallest document
+    to_centre = members.where("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
+    stars = cut(_confirmed(cut(_agreeing(to_centre, rep_sigs, percent / 100 - slack)), texts, k, percent))
+    found = cut(components(stars, "a", "b"))
+    # then, in bands that still hold several components, the members of different ones against each other
+    named = members.where("doc_id <> centre").join(found.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left").select("band", "number", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    mixed = named.groupBy("band").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    still = named.join(mixed.select("band", "size").hint("merge"), "band").join(rep_sigs.hint("merge"), "doc_id")
+    more = cut(_crossing(still.select("band", "number", "size", "doc_id", "component", "sig"), rows, percent / 100 - slack))
+    if not more.isEmpty():
+        links = stars.union(cut(_confirmed(more, texts, k, percent)))
+        found = cut(components(links, "a", "b"))
 
     class_of = sigs.join(classes, "digest", "left").select("doc_id", "n_shingles", "rep")
     out = class_of.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
