@@ -17,6 +17,8 @@ from genomill.llm.common import cut, grouped, prepare, table
 CHUNK = 8192
 #: What a leaf's visit costs besides its rows, in rows: its partial answer is written, shuffled and merged.
 VISIT_ROWS = 2048
+#: Trees are never cut above this depth where the sample allows it: a forest of undivided trees would be plain brute force.
+MIN_DEPTH = 4
 
 
 @dataclass
@@ -134,7 +136,7 @@ def fit(index: DataFrame, n: int, k: int, recall: float, trees: int = 4, sample_
     q, own = x[:probes], ids[:probes]
     which, near = _exact(index, q, own, k)
     best = None
-    for d in range(depth + 1):
+    for d in range(min(depth, MIN_DEPTH), depth + 1):
         place = forest.order(q, d)
         at = forest.leaves(near, d) + (np.arange(trees) * 2**d)[:, None]
         first = np.sort(place[which[None, :], at].min(axis=0)) if len(which) else np.zeros(0, np.int64)
