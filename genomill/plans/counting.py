@@ -41,10 +41,10 @@ QUERIES = {
     "c2_build_cds": (lambda s, d: ops.build_cds(view(s, d, "coding_sequences"), 0).groupBy("gene_family_id").agg(F.count("*").alias("n")), oracle("SELECT coalesce(gene_family_id, CASE WHEN nr_protein_id IS NOT NULL THEN 0 END) AS gene_family_id, count(*) AS n FROM coding_sequences GROUP BY 1")),
     "c3_cds_genomes": (lambda s, d: _genomes(s, d).groupBy("replicon_type", "species").agg(F.count("*").alias("n_cds"), F.countDistinct("assembly_id").alias("n_genomes")), oracle(f"WITH g AS ({GENOMES}) SELECT replicon_type, species, count(*) AS n_cds, count(DISTINCT assembly_id) AS n_genomes FROM g GROUP BY 1, 2")),
     "b1_cds_codes": (lambda s, d: ops.cds_codes(_genomes(s, d)).select("genomic_accession", "cds_code"), oracle(f"WITH g AS ({GENOMES}) SELECT genomic_accession, code || '_' || cds_no AS cds_code FROM g")),
-    "c4_orphan_families": (lambda s, d: ops.orphan_families(view(s, d, "coding_sequences"), view(s, d, "proteins").where("nr_protein_id % 3 <> 0")), oracle("SELECT DISTINCT gene_family_id FROM coding_sequences WHERE gene_family_id IS NOT NULL AND gene_family_id NOT IN (SELECT nr_protein_id FROM proteins WHERE nr_protein_id % 3 <> 0)")),
+    "c4_orphan_families": (lambda s, d: ops.orphan_families(view(s, d, "coding_sequences"), view(s, d, "proteins").where("protein_family_id NOT LIKE 'Brand#1%'")), oracle("SELECT DISTINCT gene_family_id FROM coding_sequences WHERE gene_family_id IS NOT NULL AND gene_family_id NOT IN (SELECT nr_protein_id FROM proteins WHERE protein_family_id NOT LIKE 'Brand#1%')")),
     "c5_exclude_families": (lambda s, d: ops.exclude(ops.family_sizes(_genomes(s, d)), view(s, d, "proteins").where("product LIKE '%blue%' OR protein_family_id = 'Brand#11'").select(F.col("nr_protein_id").alias("gene_family_id")), "gene_family_id"), oracle(f"WITH g AS ({GENOMES}) SELECT gene_family_id, count(*) AS size, count(DISTINCT assembly_id) AS genome_present FROM g WHERE gene_family_id NOT IN (SELECT nr_protein_id FROM proteins WHERE product LIKE '%blue%' OR protein_family_id = 'Brand#11') GROUP BY 1")),
     "c6_restrict_genomes": (lambda s, d: ops.restrict(_genomes(s, d), view(s, d, "assemblies").where("taxid IN (3, 7)").select("assembly_id"), "assembly_id").groupBy("code").agg(F.count("*").alias("n")), oracle(f"WITH g AS ({GENOMES}) SELECT code, count(*) AS n FROM g WHERE assembly_id IN (SELECT assembly_id FROM assemblies WHERE taxid IN (3, 7)) GROUP BY 1")),
-    "c16_id_differences": (lambda s, d: ops.id_differences(view(s, d, "proteins").where("nr_protein_id % 7 <> 0").select("nr_protein_id"), view(s, d, "coding_sequences").where("nr_protein_id % 5 <> 0"), "nr_protein_id"), oracle("WITH a AS (SELECT DISTINCT nr_protein_id FROM proteins WHERE nr_protein_id % 7 <> 0), b AS (SELECT DISTINCT nr_protein_id FROM coding_sequences WHERE nr_protein_id % 5 <> 0) SELECT nr_protein_id, 'first' AS only_in FROM a WHERE nr_protein_id NOT IN (SELECT nr_protein_id FROM b) UNION ALL SELECT nr_protein_id, 'second' FROM b WHERE nr_protein_id NOT IN (SELECT nr_protein_id FROM a)")),
+    "c16_id_differences": (lambda s, d: ops.id_differences(view(s, d, "proteins").where("protein_family_id <> 'Brand#12'").select("nr_protein_id"), view(s, d, "coding_sequences").where("l_quantity > 25"), "nr_protein_id"), oracle("WITH a AS (SELECT DISTINCT nr_protein_id FROM proteins WHERE protein_family_id <> 'Brand#12'), b AS (SELECT DISTINCT nr_protein_id FROM coding_sequences WHERE l_quantity > 25) SELECT nr_protein_id, 'first' AS only_in FROM a WHERE nr_protein_id NOT IN (SELECT nr_protein_id FROM b) UNION ALL SELECT nr_protein_id, 'second' FROM b WHERE nr_protein_id NOT IN (SELECT nr_protein_id FROM a)")),
     "c17_repeated_keys": (lambda s, d: ops.repeated_keys(table(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]), "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"),
     "c18_count_mismatches": (lambda s, d: ops.count_mismatches(view(s, d, "coding_sequences"), view(s, d, "coding_sequences").where("l_quantity > 2"), "genomic_accession"), oracle("WITH a AS (SELECT genomic_accession, count(*) AS n_first, count(*) FILTER (l_quantity > 2) AS n_second FROM coding_sequences GROUP BY 1) SELECT * FROM a WHERE n_first <> n_second")),
     "d1_family_sizes": (lambda s, d: ops.family_sizes(_genomes(s, d)), oracle(f"WITH g AS ({GENOMES}) SELECT gene_family_id, count(*) AS size, count(DISTINCT assembly_id) AS genome_present FROM g WHERE gene_family_id IS NOT NULL GROUP BY 1")),

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from genomill.plans.coevolution import QUERIES as COEVOLUTION
 from genomill.plans.counting import QUERIES as COUNTING
+from genomill.plans.events import QUERIES as EVENTS
+from genomill.plans.graphs import QUERIES as GRAPHS
 from genomill.plans.trees import QUERIES as TREES
 
-_ALL: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {**COEVOLUTION, **COUNTING, **TREES}
+_ALL: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {**COEVOLUTION, **COUNTING, **EVENTS, **GRAPHS, **TREES}
 
 QUERIES = {name: f for name, (f, _) in _ALL.items()}
 ORACLES = {name: sql for name, (_, sql) in _ALL.items() if sql}
