@@ -64,11 +64,19 @@ def split_annotations(rows: DataFrame, loaded: DataFrame | None = None, version:
     }
 
 
+def _by_family(spark: SparkSession, path: str, suffix: str, schema: str) -> DataFrame:
+    raw = spark.read.csv(path, sep="\t", schema=schema)
+    return raw.select(F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\Q{suffix}\E$", 1).alias("gene_family_id"), *raw.columns).withColumn("label", F.trim("label"))
+
+
+def load_event_lineages(spark: SparkSession, path: str, suffix: str, reconciliation: int) -> DataFrame:
+    """Label, event_id, freq from a file per family, whose name is family + `suffix`."""
+    return _by_family(spark, path, suffix, "label string, event_id int, freq int").withColumn("reconciliation_id", F.lit(reconciliation))
+
+
 def load_groups(spark: SparkSession, path: str, suffix: str, collection: int) -> DataFrame:
-    """Label, og_id from a file per family, whose name is family + `suffix`; blanks around labels go."""
-    raw = spark.read.csv(path, sep="\t", schema="label string, og_id int")
-    family = F.regexp_extract(F.col("_metadata.file_name"), rf"^(.*)\Q{suffix}\E$", 1)
-    return raw.select(family.alias("gene_family_id"), F.trim("label").alias("label"), "og_id", F.lit(collection).alias("ortholog_col_id"))
+    """A10: label, og_id from a file per family, whose name is family + `suffix`; blanks around labels go."""
+    return _by_family(spark, path, suffix, "label string, og_id int").withColumn("ortholog_col_id", F.lit(collection))
 
 
 def read_clades(lines: DataFrame) -> DataFrame:

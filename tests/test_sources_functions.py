@@ -42,6 +42,8 @@ def test_names_codes_annotations(spark):
 def test_groups_clades_lists(spark, tmp_path):
     (tmp_path / "FAM1.ogs").write_text(" a\t1\nb \t2\n")
     assert rows(src.load_groups(spark, str(tmp_path / "*.ogs"), ".ogs", 4), "og_id") == [("FAM1", "a", 1, 4), ("FAM1", "b", 2, 4)]
+    (tmp_path / "FAM2.events").write_text("a\t7\t90\n")
+    assert rows(src.load_event_lineages(spark, str(tmp_path / "*.events"), ".events", 3)) == [("FAM2", "a", 7, 90, 3)]
     assert rows(src.read_clades(lines(spark, "constraint clade0 -1 = a b;", "other")), "cds_code") == [("clade0", "a"), ("clade0", "b")]
     lists = src.read_lists(lines(spark, "k1: a\tb", "k2: c", "k2: c", "no"))
     families = spark.createDataFrame([("a", "F"), ("b", "F"), ("c", "F"), ("d", "O")], "member string, gene_family_id string")
