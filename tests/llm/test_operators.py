@@ -230,3 +230,14 @@ def test_chain_is_the_best_one():
     x, y = np.array([1, 2, 3, 4, 50]), np.array([10, 11, 5, 13, 60])
     assert [c.tolist() for c in passages.chain(x, y, 0.002)] == [[0, 1, 3, 4], [2]]
     assert [c.tolist() for c in passages.chain(x, y, 0.02)][0] == [0, 1, 3]  # the gap costs more than the last match gains
+
+
+def test_encoder_gives_the_tokenizers_ids_whatever_its_tables_hold(spark, sf):
+    encoder = token_ids.Encoder(token_ids.vocabulary_path())
+    encoder.MOST = 3_000  # tables are cleared again and again
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    texts += [None, "", " ", "It's we'll O'Neil's", "ÉCOLE naïve é", "a1b2 (x) --y-- <|endoftext|>", "İstanbul ǅ ß", "one two three\x1ffour", "日本語 text"]
+    for at in range(0, len(texts), 10):
+        part = texts[at : at + 10]
+        assert [x.tolist() for x in encoder.encode(part)] == [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in part]
+    assert encoder.direct and len(encoder.index) < 20_000
