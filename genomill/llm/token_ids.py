@@ -21,8 +21,8 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 #: Ids of a block (a longer document has a block of its own); what compression holds in memory at once.
 BLOCK_IDS = 1 << 19
-#: A pair becomes a rule if it occurs so often in its block; rounds; rules a round.
-MIN_COUNT, ROUNDS, RULES_A_ROUND, SLOTS = 32, 2, 8192, 1 << 19
+#: A pair becomes a rule if it occurs so often in its block.
+MIN_COUNT = 24
 SCHEMA = "part int, block int, doc_ids binary, offsets binary, rules binary, spans binary, body binary, crc long"
 
 
@@ -32,39 +32,50 @@ SCHEMA = "part int, block int, doc_ids binary, offsets binary, rules binary, spa
 def repair(ids: np.ndarray, first_free: int) -> tuple[np.ndarray, np.ndarray]:
     """(rules, body): pairs of symbols, the i-th named first_free + i, and the sequence over ids and those names.
 
-    Each round counts the adjacent pairs, names the most frequent ones, and replaces them from the left where they overlap. Pairs
-    are counted in hashed slots, each of which is held by one pair a round; a pair that shares a slot waits for a later round.
+    Rounds go on until no adjacent pair occurs MIN_COUNT times (without overlaps). Each counts exactly and replaces a frequent pair
+    wherever it is more frequent than the frequent pairs that overlap it; a pair with fewer than MIN_COUNT such places waits. The
+    most frequent pair never waits, so that each round names a pair. A rule takes MIN_COUNT symbols away or more: their names stay under
+    2^24 for any block of under 2^24 MIN_COUNT ids.
     """
-    body, rules = ids.astype(np.int64), np.zeros((0, 2), np.int64)
-    for turn in range(ROUNDS):
-        if len(body) < 2 * MIN_COUNT:
-            break
-        pair = (body[:-1] << 24) | body[1:]
-        slot = ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * turn)) >> np.uint64(45)).astype(np.int32)
-        holder = np.zeros(SLOTS, np.int64)
-        holder[slot] = pair
-        holds = holder[slot] == pair
-        counts = np.bincount(slot[holds], minlength=SLOTS)
-        chosen = np.flatnonzero(counts >= MIN_COUNT)
-        if not len(chosen):
-            break
-        if len(chosen) > RULES_A_ROUND:
-            chosen = np.sort(chosen[np.argsort(-counts[chosen], kind="stable")[:RULES_A_ROUND]])
-        rule_of = np.full(SLOTS, -1, np.int32)
-        rule_of[chosen] = np.arange(len(chosen), dtype=np.int32)
-        rule = rule_of[slot]
-        where = np.flatnonzero(holds & (rule >= 0))
-        # of hits in a row (each overlaps the next) every second one counts, from the first on
-        new = np.ones(len(where), bool)
-        new[1:] = where[1:] != where[:-1] + 1
-        begin = np.maximum.accumulate(np.where(new, np.arange(len(where)), 0))
-        where = where[(np.arange(len(where)) - begin) % 2 == 0]
-        body[where] = first_free + len(rules) + rule[where]
+    body, rules, free = ids.astype(np.int64), [np.zeros((0, 2), np.int64)], first_free
+    at = np.arange(max(0, len(body) - 1))  # where pairs are that may be frequent: a pair of old symbols never gets more frequent
+    while True:
+        pair = (body[at] << 32) | body[at + 1]
+        slot = ((pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+        often = np.flatnonzero(np.bincount(slot, minlength=1 << 20)[slot] >= MIN_COUNT)  # then exactly, for these alone
+        at, pair = at[often], pair[often]
+        # a pair that overlaps itself counts at every second place, from the first on
+        counted = np.ones(len(at), bool)
+        counted[1:] = (pair[1:] != pair[:-1]) | (at[1:] != at[:-1] + 1)
+        if not counted.all():
+            begin = np.maximum.accumulate(np.where(counted, np.arange(len(at)), 0))
+            counted = (np.arange(len(at)) - begin) % 2 == 0
+        values, counts = np.unique(pair[counted], return_counts=True)
+        values, counts = values[counts >= MIN_COUNT], counts[counts >= MIN_COUNT]
+        if not len(values):
+            return np.concatenate(rules), body
+        own = np.minimum(np.searchsorted(values, pair), len(values) - 1)
+        keep = values[own] == pair
+        at, own, counted = at[keep], own[keep], counted[keep]
+        rank = np.where(counted, (counts * len(values) + np.arange(len(values)))[own], -1)
+        wins = counted.copy()
+        beside = at[1:] == at[:-1] + 1
+        wins[1:] &= ~beside | (rank[1:] > rank[:-1])
+        wins[:-1] &= ~beside | (rank[:-1] > rank[1:])
+        named = np.bincount(own[wins], minlength=len(values)) >= MIN_COUNT
+        wins &= named[own]
+        where = at[wins]
+        body[where] = (free - 1 + np.cumsum(named))[own[wins]]
+        rules.append(np.stack([values[named] >> 32, values[named] & 0xFFFFFFFF], axis=1))
+        free += len(rules[-1])
         left = np.ones(len(body), bool)
         left[where + 1] = False
+        old = at[left[at]]
         body = body[left]
-        rules = np.concatenate([rules, np.stack([holder[chosen] >> 24, holder[chosen] & 0xFFFFFF], axis=1)])
-    return rules, body
+        here = where - np.arange(len(where))
+        near = np.zeros(len(body) + 1, bool)
+        near[old - np.searchsorted(where, old)] = near[here] = near[here - 1] = True
+        at = np.flatnonzero(near[: len(body) - 1])
 
 
 def lengths(rules: np.ndarray, first_free: int) -> np.ndarray:

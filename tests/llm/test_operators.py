@@ -178,6 +178,24 @@ def test_repair_random_access():
     assert (block.document(0) == ids[:12_000]).all() and (block.document(1) == ids[12_000:]).all() and (block.ids(777, 801) == ids[777:801]).all()
 
 
+def test_repair_leaves_no_frequent_pair():
+    rng = np.random.default_rng(4)
+    passage = np.concatenate([np.tile(rng.integers(0, 40_000, 64), (2000, 1)), rng.integers(0, 40_000, (2000, 1))], axis=1).ravel()
+    many = np.repeat(rng.permutation(9000 * 2).reshape(-1, 2), 24, axis=0)[rng.permutation(9000 * 24)].ravel()  # more frequent pairs than once fitted into a round
+    for ids in (passage, many, np.full(5000, 7), rng.choice(12, 20_000), np.array([], int), np.array([3])):
+        rules, body = token_ids.repair(ids, 1 << 16)
+        assert (token_ids.expand(body, rules, 1 << 16) == ids).all()
+        uses, last, end = {}, None, -1
+        for i, pair in enumerate(zip(body.tolist(), body[1:].tolist())):
+            if pair != last or i != end + 1:
+                uses[pair] = uses.get(pair, 0) + 1
+                last, end = pair, i
+            else:
+                last = None
+        assert max(uses.values(), default=0) < 24
+    assert len(token_ids.repair(passage, 1 << 16)[1]) < 5000 and len(token_ids.repair(many, 1 << 16)[1]) == 9000 * 24
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(600, 8))
