@@ -46,22 +46,49 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+#: Powers of two by which the number of n-grams is told apart; texts of like length that calibration needs; their quantile; share of it that is enough.
+POWERS, ENOUGH, LOW, SHARE = 32, 200, 0.01, 0.6
+#: Characters of the pieces cut from the beginning of labelled texts, so that there are enough short ones to calibrate by.
+PIECES = (8, 16, 32, 64, 128)
+
+
+def _power(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(counts.sum(axis=1), 1)).astype(int), POWERS - 1)
+
+
+def _calibrated(score: np.ndarray, power: np.ndarray, otherwise: np.ndarray | float) -> np.ndarray:
+    """Least cosine by power of two: SHARE of the low quantile of labelled texts of that length or half of it.
+
+    Lengths of which there are too few texts keep `otherwise`; if that is one figure, shorter texts help out first.
+    """
+    out = np.zeros(POWERS) + otherwise
+    for k in range(POWERS):
+        for low in range(k - 1, -1 if np.ndim(otherwise) == 0 else k - 2, -1):
+            like = score[(power <= k) & (power >= low)]
+            if len(like) >= ENOUGH:
+                out[k] = SHARE * np.quantile(like, LOW)
+                break
+    return out
+
+
 @dataclass
 class Centroids:
-    """A fitted classifier: unit rows of `centres`, the language of each, inverse document frequencies, least cosine of an accepted text."""
+    """A fitted classifier: unit rows of `centres`, the language of each, inverse document frequencies, least cosine of an accepted text by centre and power of two of its n-grams."""
 
     idf: np.ndarray
     centres: np.ndarray
     langs: list[str]
-    least: float
+    least: np.ndarray
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         return _unit(np.log1p(counts) * self.idf)
 
-    def predict(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def predict(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nearest centre, its cosine, and whether that is near enough, for each row."""
         cosine = self.vectors(counts) @ self.centres.T
         best = cosine.argmax(axis=1)
-        return best, np.clip(cosine[np.arange(len(best)), best].astype(np.float64), 0.0, 1.0)
+        score = np.clip(cosine[np.arange(len(best)), best].astype(np.float64), 0.0, 1.0)
+        return best, score, score >= self.least[best, _power(counts)]
 
 
 def _cluster(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> np.ndarray:
@@ -80,7 +107,9 @@ def fit(labelled: DataFrame, per_lang: int = 400, max_langs: int = 400, max_rows
     """Learn from `text` and `lang` of labelled rows, of which at most `per_lang` a language (drawn by a hash of the text) and `max_rows` in all are used.
 
     At most `max_langs` languages are accepted; beyond, a ValueError tells so. Rows with a
-    null text or lang take no part. No labelled row at all: a classifier without languages, which rejects every text.
+    null text or lang take no part. No labelled row at all: a classifier without languages, which rejects every text. How near a
+    text must be is calibrated on the sample and on short pieces of it, by language and length (by length alone where a language
+    has too few such texts, and `least` where all have).
     """
     prepare(labelled.sparkSession)
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
@@ -93,35 +122,48 @@ def fit(labelled: DataFrame, per_lang: int = 400, max_langs: int = 400, max_rows
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             counts = features(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([x.astype("<f4").tobytes() for x in counts], pa.binary())], names=["lang", "counts"])
+            heads = [x[: PIECES[-1]] for x in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([x.astype("<f4").tobytes() for x in counts], pa.binary()), pa.array(heads, pa.string())], names=["lang", "counts", "head"])
 
-    sample = drawn.mapInArrow(run, "lang string, counts binary").orderBy("lang", "counts").toArrow()
+    sample = drawn.mapInArrow(run, "lang string, counts binary, head string").orderBy("lang", "counts", "head").toArrow()
     counts = np.frombuffer(b"".join(sample.column("counts").to_pylist()), "<f4").reshape(-1, DIMS)
-    names = np.array(sample.column("lang").to_pylist(), object)
+    names, heads = np.array(sample.column("lang").to_pylist(), object), np.array(sample.column("head").to_pylist(), object)
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(1)
     rng = np.random.default_rng(7)
-    centres, owners = [np.zeros((0, DIMS), np.float32)], []
+    centres, owners, scores, powers, of = [np.zeros((0, DIMS), np.float32)], [], [], [], []
     for lang in sorted(langs):
-        found = _cluster(_unit(np.log1p(counts[names == lang]) * idf), clusters, rng)
+        own = counts[names == lang]
+        found = _cluster(_unit(np.log1p(own) * idf), clusters, rng)
         centres.append(found)
         owners += [lang] * len(found)
-    return Centroids(idf, np.concatenate(centres).astype(np.float32), owners, least)
+        for some in (own, *(features(pa.array([h[:n] for h in heads[names == lang] if len(h) > n], pa.string())) for n in PIECES)):
+            some = some[some.any(axis=1)]
+            scores.append((_unit(np.log1p(some) * idf) @ found.T).max(axis=1))
+            powers.append(_power(some))
+            of += [lang] * len(some)
+    floors = np.zeros((0, POWERS))
+    if owners:
+        score, power, of = np.concatenate(scores), np.concatenate(powers), np.array(of, object)
+        pooled = _calibrated(score, power, least)
+        by_lang = {lang: np.maximum(least, _calibrated(score[of == lang], power[of == lang], pooled)) for lang in langs}
+        floors = np.stack([by_lang[lang] for lang in owners])
+    return Centroids(idf, np.concatenate(centres).astype(np.float32), owners, floors)
 
 
 def classified(column: pa.Array, m: Centroids) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language, score, and whether there is a letter, for each text."""
+    """Language, score, and whether there is a letter and the text near enough, for each text."""
     has = np.array([bool(t) and any(map(str.isalpha, t)) for t in column.to_pylist()], bool)
     if not m.langs:
         return ["und"] * len(has), np.zeros(len(has)), np.zeros(len(has), bool)
-    best, score = m.predict(features(column))
-    return [m.langs[i] if h else "und" for i, h in zip(best.tolist(), has.tolist(), strict=True)], np.where(has, score, 0.0), has
+    best, score, near = m.predict(features(column))
+    return [m.langs[i] if h else "und" for i, h in zip(best.tolist(), has.tolist(), strict=True)], np.where(has, score, 0.0), has & near
 
 
 def predict(docs: DataFrame, model: Centroids) -> DataFrame:
     """doc_id, lang_pred, score, rejected for every row, from the whole text only.
 
     `lang_pred` is the language of the nearest centroid, `score` its cosine (0 to 1). A null text or one without a letter:
-    `und`, 0, rejected. Rejected are also texts whose nearest centroid is too far (cosine under `least`); they keep the
+    `und`, 0, rejected. Rejected are also texts whose nearest centroid is too far for their length (see `fit`); they keep the
     prediction. Null or repeated doc_ids: each row by itself. With no learned language every text is `und`. Equally near
     centroids: the language that sorts first.
     """
@@ -131,8 +173,8 @@ def predict(docs: DataFrame, model: Centroids) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in slices(batches, "text"):
-            names, score, has = classified(batch.column("text"), m)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(~has | (score < m.least))], names=["doc_id", "lang_pred", "score", "rejected"])
+            names, score, accepted = classified(batch.column("text"), m)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(~accepted)], names=["doc_id", "lang_pred", "score", "rejected"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
 
@@ -159,7 +201,6 @@ def stage_langid(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            _, score, has = classified(batch.column("text"), shared.value)
-            yield batch.filter(pa.array(has & (score >= shared.value.least)))
+            yield batch.filter(pa.array(classified(batch.column("text"), shared.value)[2]))
 
     return docs.mapInArrow(run, docs.schema)

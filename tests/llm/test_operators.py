@@ -115,6 +115,19 @@ def test_langid(spark, sf, docs, none):
     assert langid.predict(none, model).collect() == []
 
 
+def test_langid_rejects_what_it_has_not_learned(spark, sf):
+    labelled = spark.read.parquet(f"{sf.rpartition('/')[0]}/sf0.01/documents.parquet")
+    model = langid.fit_on_folds(labelled)
+    rng = np.random.default_rng(6)
+    junk = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz     "), n)) for n in (200, 1000, 5000, 50_000)]
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. "
+    junk += [finnish * 4, finnish * 10, "Съешь ещё этих мягких французских булок, да выпей чаю. " * 3]
+    odd = spark.createDataFrame(list(enumerate(junk)), "doc_id long, text string")
+    assert [r.doc_id for r in langid.predict(odd, model).where("NOT rejected").collect()] == []
+    kept = langid.predict(labelled, model).where("NOT rejected").count()
+    assert kept == labelled.where("lang IS NOT NULL AND text RLIKE '[a-zA-Z]'").count()
+
+
 def test_sharding(docs, none):
     limit = 900
     rows = sharding.shard(docs.withColumnRenamed("lang", "shard"), limit).collect()
