@@ -257,6 +257,22 @@ def test_passages(docs, none):
     assert passages.repeated_passages(none).collect() == []
 
 
+def test_passages_of_sentences_with_other_first_holders(spark):
+    rng = np.random.default_rng(8)
+    word = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 10**9, n))
+    rows, pairs = [], {}
+    for i in range(60):
+        one, two = word(30), word(30)
+        own = [word(20) for _ in range(4)]
+        rows += [(4 * i, f"{own[0]} {one} {own[1]}"), (4 * i + 1, f"{own[2]} {two} {own[3]}")]
+        rows += [(4 * i + 2 + j, f"{word(20)} {one} {two} {word(20)}") for j in range(2)]
+        pairs[4 * i + 3] = 4 * i + 2
+    rows += [(1000, f"{word(5)} {(long := word(700))}"), (1001, long)]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found if r.src_doc_id == pairs.get(r.doc_id) and r.end_word - r.start_word >= 60} == set(pairs)
+    assert any(r.doc_id == 1001 and r.end_word - r.start_word == 700 for r in found)
+
+
 def test_chain_is_the_best_one():
     x, y = np.array([1, 2, 3, 4, 50]), np.array([10, 11, 5, 13, 60])
     assert [c.tolist() for c in passages.chain(x, y, 0.002)] == [[0, 1, 3, 4], [2]]
