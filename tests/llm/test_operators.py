@@ -70,12 +70,58 @@ def test_near_duplicates(docs, none):
 
 
 def test_crossing_blocks_find_every_link(spark, monkeypatch):
+    """Every link is kept by a path, whichever blocks its ends lie in, and no more rows come out than a forest a pair of blocks has."""
     monkeypatch.setattr(near_dedup, "BLOCK", 3)
-    sig = lambda *x: np.array(x, np.uint16).tobytes()
-    rows = [(1, 0, 12, i, i, sig(i // 3, 5, 5, 5)) for i in range(12)]
-    df = spark.createDataFrame(rows, "band long, number int, size long, doc_id long, component long, sig binary")
-    got = {(r.a, r.b) for r in near_dedup._crossing(df, 2, 1.0).collect()}
-    assert got == {(a, b) for a in range(12) for b in range(a + 1, 12) if a // 3 == b // 3}
+    monkeypatch.setattr(near_dedup, "COLUMNS", 2)
+    held = lambda i: np.arange(4 * (i // 3), 4 * (i // 3) + 4, dtype=np.uint64).tobytes()
+    rows = [(1, 0, 12, 48, i, i, bytes([7, 7, 7, 7]), held(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "band long, number int, size long, weight long, node long, label long, sig binary, shingles binary")
+    links = [(r.a, r.b) for r in near_dedup._crossing(df, 2, 1.0, 75).collect()]
+    assert all(a // 3 == b // 3 for a, b in links)
+    assert component(links, range(12)) == {i: i - i % 3 for i in range(12)}
+    one_label = df.withColumn("label", near_dedup.F.lit(0).cast("long"))
+    assert near_dedup._crossing(one_label, 2, 1.0, 75).collect() == []
+
+
+def near_copies(rng, groups, size, n_words, edits, first=0):
+    """Groups of texts of which each has some words changed: similarities lie about the threshold."""
+    rows = []
+    for g in range(groups):
+        base = [f"w{x}" for x in rng.integers(0, 5000, n_words)]
+        for i in range(size):
+            own = list(base)
+            for at in rng.integers(0, n_words, int(rng.integers(0, edits + 1))):
+                own[at] = f"e{g}x{i}x{at}"
+            rows.append((first + g * size + i, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("broadcast", [0, 1_000_000])
+def test_large_group_of_near_copies(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(near_dedup, "BROADCAST_IDS", broadcast)
+    rows = near_copies(np.random.default_rng(5), 2, 150, 120, 5)
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert 300 < len(links) < 20_000
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == component(links, sets)
+
+
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark, docs, none):
+    extra = [(7, "a clean text of its own under a doc_id that repeats with ten words", "en", "s0", None), (2000, "nothing else is like this one", "en", None, None), (2000, "nothing else is like this one", "en", None, None)]
+    both = docs.union(spark.createDataFrame(extra, DOCS)).withColumnRenamed("lang", "component_id")
+    got = near_dedup.stage_minhash(spark, both, "")
+    assert got.columns == both.columns
+    want, seen = [], set()
+    groups = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs.dropDuplicates()).collect()}
+    for r in both.collect():
+        key = (r.doc_id, r.text)
+        blank = r.text is None or not r.text.split()
+        if r.doc_id is None or blank or groups.get(r.doc_id, r.doc_id) == r.doc_id and key not in seen:
+            want.append(key)
+        seen.add(key)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, want))
+    assert near_dedup.stage_minhash(spark, none, "").collect() == []
 
 
 def test_decontaminate(spark, docs, none):
