@@ -11,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into numpy arrays at a time.
 SLICE_BYTES = 4 << 20
@@ -66,6 +67,16 @@ def discard(df: DataFrame | None) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Ids that may be broadcast (8 bytes each).
+BROADCAST_IDS = 2_000_000
+
+
+def picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id is in `ids` (doc_id; written by `cut`): by a broadcast if they are counted to be few, else by a shuffle."""
+    ids = ids.distinct()
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("merge"), "doc_id", "left_semi")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column (null: empty) and the offsets of its rows, without decoding."""
     column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column
@@ -165,6 +176,17 @@ class Words:
         return mix64(out)
 
 
+    def stretches(self, n: int) -> np.ndarray:
+        """As `grams`, for long stretches: by differences of one running sum."""
+        m = len(self.hash) - n + 1
+        if m < 1:
+            return np.zeros(0, np.uint64)
+        up, down = _powers(len(self.hash) + 1)
+        total = np.zeros(len(self.hash) + 1, np.uint64)
+        np.cumsum(self.hash * up[: len(self.hash)], out=total[1:], dtype=np.uint64)
+        return mix64((total[n:] - total[:-n]) * down[:m])
+
+
 def runs(keys: np.ndarray) -> np.ndarray:
     """Bounds of the runs of equal values: as many starts as there are runs, and the length."""
     if not len(keys):

@@ -9,15 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genomill.llm.common import NOT_BLANK, Words, cut, discard, grouped, mix64, prepare, slices, table
+from genomill.llm.common import NOT_BLANK, Words, cut, discard, grouped, mix64, picked, prepare, slices, table
 from genomill.llm.graph import components
 
 #: Multipliers and summands of the universal hashes (multiply-shift over 64 bits), from a fixed seed.
 SEED = 20240611
 #: Rows, and shingles, of a block of a band; columns of a block's shingle matrix at a time.
 BLOCK, BLOCK_SHINGLES, COLUMNS = 1024, 2_000_000, 2048
-#: Ids that may be broadcast (8 bytes each) to pick texts before they are shuffled; beyond, texts are shuffled and then picked.
-BROADCAST_IDS = 2_000_000
 
 
 def _family(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,9 +75,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("node").take(rows), pa.array([len(s) for _, s in found], pa.int64()), batch.column("sig").take(rows), pa.array([s.tobytes() for _, s in found], pa.binary())], names=["node", "n", "sig", "shingles"])
 
     wanted = cut(nodes.select("node", F.col("doc_id").alias("_d"), "digest", "sig"))
-    texts = docs.where("text IS NOT NULL").select("doc_id", "text")
-    if wanted.count() <= BROADCAST_IDS:
-        texts = texts.join(F.broadcast(wanted.select(F.col("_d").alias("doc_id")).distinct()), "doc_id", "left_semi")
+    texts = picked(docs.where("text IS NOT NULL").select("doc_id", "text"), wanted.select(F.col("_d").alias("doc_id")))
     both = texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("_d"))
     return both.select("node", "digest", "sig", "text").mapInArrow(run, "node long, n long, sig binary, shingles binary")
 

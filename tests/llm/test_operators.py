@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from genomill.llm import decontaminate, html_text, langid, line_dedup, mixing, near_dedup, neighbours, passages, sharding, token_ids
+from genomill.llm import common, decontaminate, html_text, langid, line_dedup, mixing, near_dedup, neighbours, passages, sharding, token_ids
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -98,7 +98,7 @@ def near_copies(rng, groups, size, n_words, edits, first=0):
 
 @pytest.mark.parametrize("broadcast", [0, 1_000_000])
 def test_large_group_of_near_copies(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(near_dedup, "BROADCAST_IDS", broadcast)
+    monkeypatch.setattr(common, "BROADCAST_IDS", broadcast)
     rows = near_copies(np.random.default_rng(5), 2, 150, 120, 5)
     sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
     links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
@@ -319,6 +319,50 @@ def test_passages_of_sentences_with_other_first_holders(spark):
     assert any(r.doc_id == 1001 and r.end_word - r.start_word == 700 for r in found)
 
 
+def test_passages_parted_by_long_differences(spark):
+    """Two documents share stretches that differences of 20 and more words part: each stretch is reported, whole."""
+    rng = np.random.default_rng(18)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
+    shared = [word(60), word(50), word(75), word(46)]
+    mine, theirs, want = word(7), word(3), []
+    for i, x in enumerate(shared):
+        want.append((len(mine), len(mine) + len(x), len(theirs), len(theirs) + len(x)))
+        mine, theirs = mine + x + word(20 + 15 * i), theirs + x + word(20 + 40 * (i % 2))
+    rows = [(5, " ".join(theirs), 1), (9, " ".join(mine), 2), (9, " ".join(mine), 3), (None, " ".join(mine), 4), (11, None, 5), (12, "", 6)]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string, first long")).collect()
+    assert sorted((r.start_word, r.end_word, r.src_start, r.src_end) for r in found) == want
+    assert all((r.doc_id, r.src_doc_id, r.identity) == (9, 5, 1.0) for r in found)
+
+
+def test_passages_against_all_exact_runs(spark):
+    """Brute force: each 45 words that an earlier document has too lie inside a reported passage, and no passage is made up."""
+    rng = np.random.default_rng(28)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 400, n)]
+    stock = [word(int(rng.integers(20, 90))) for _ in range(12)]
+    texts = []
+    for _ in range(60):
+        own = []
+        for _ in range(int(rng.integers(1, 6))):
+            own += word(int(rng.integers(5, 60))) + (stock[int(rng.integers(12))] if rng.random() < 0.7 else [])
+        texts.append(own)
+    texts += [list(texts[3]), texts[5] + word(4000) + texts[6]]
+    found = passages.repeated_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    spans = {}
+    for r in found:
+        spans.setdefault(r.doc_id, []).append((r.start_word, r.end_word))
+        a, b = texts[r.doc_id][r.start_word : r.end_word], texts[r.src_doc_id][r.src_start : r.src_end]
+        assert r.src_doc_id < r.doc_id and (a[0], a[-1]) == (b[0], b[-1]) and len(a) >= 45
+    before, n = set(), 0
+    for i, t in enumerate(texts):
+        own = [tuple(t[j : j + 45]) for j in range(len(t) - 44)]
+        for j, x in enumerate(own):
+            if x in before:
+                n += 1
+                assert any(a <= j and j + 45 <= b for a, b in spans.get(i, [])), (i, j)
+        before |= set(own)
+    assert n > 1000
+
+
 def test_chain_is_the_best_one():
     x, y = np.array([1, 2, 3, 4, 50]), np.array([10, 11, 5, 13, 60])
     assert [c.tolist() for c in passages.chain(x, y, 0.002)] == [[0, 1, 3, 4], [2]]
