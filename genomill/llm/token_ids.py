@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import os
-import re
+import string
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -12,6 +12,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -124,7 +125,10 @@ class Block:
         named = self.body >= first_free
         width = np.ones(len(self.body), np.int64)
         width[named] = self.spans[self.body[named] - first_free] if len(self.spans) else 1
-        self.until = np.cumsum(width)
+        self.width, self.until = width, np.cumsum(width)
+        # every id, then what each rule expands to, and where each symbol's stretch of it begins
+        self.table = np.concatenate([np.arange(first_free), expand(np.arange(first_free, first_free + len(self.rules)), self.rules, first_free)])
+        self.begin = np.concatenate([np.arange(first_free), first_free + np.cumsum(self.spans) - self.spans])
 
     def ids(self, start: int, end: int) -> np.ndarray:
         """Ids start to end (past the last) of the block: only the symbols that cover them are expanded."""
@@ -132,7 +136,9 @@ class Block:
             return np.zeros(0, np.int64)
         a, b = int(np.searchsorted(self.until, start, "right")), int(np.searchsorted(self.until, end, "left")) + 1
         first = int(self.until[a - 1]) if a else 0
-        return expand(self.body[a:b], self.rules, self.first_free)[start - first : end - first]
+        width, until = self.width[a:b], self.until[a:b] - first
+        places = np.repeat(self.begin[self.body[a:b]] - until + width, width) + np.arange(int(until[-1]))
+        return self.table[places[start - first : end - first]]
 
     def document(self, i: int) -> np.ndarray:
         return self.ids(int(self.ends[i - 1]) if i else 0, int(self.ends[i]))
@@ -144,28 +150,36 @@ class Block:
 class Encoder:
     """The tokenizer of a file, with a table of the blank-free pieces it has met: a piece's ids don't depend on its neighbours.
 
-    That holds for tokenizers that split at blanks and drop them, and runs of letters from punctuation. Texts with control
-    characters that only some definitions of blanks include are encoded whole.
+    That holds for tokenizers that split at blanks and drop them, and runs of letters from punctuation. Texts with blanks beyond
+    ASCII, or with control characters that only some definitions of blanks include, are encoded whole.
     """
 
     MOST, MOST_IDS = 700_000, 8_000_000
-    ODD = re.compile("[\x00-\x08\x1c-\x1f\x7f-\x9f\u180e\u200b-\u200f\u2060\ufeff]")
-    #: A line each: a run of Latin letters (but the dotted capital I, which becomes two characters in lower case), then ASCII punctuation but the apostrophe, with which contractions begin; or anything else.
-    PLAIN = re.compile("(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]++)([!-&(-/:-@\\[-`{-~]*+)|(.+))(?:\n|\\Z)")
+    #: For Arrow's regular expressions.
+    ODD = r"[\x00-\x08\x1c-\x1f\x7f-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
+    #: Latin letters, but the dotted capital I, which becomes two characters in lower case; ASCII punctuation but the apostrophe, with which contractions begin.
+    LETTER, MARK = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}]", r"[!-&(-/:-@\[-`{-~]"
+    MARKS = string.punctuation.replace("'", "")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # runs of ASCII letters can go to the model itself, in lower case, if the steps before it do nothing else to them
-        probes = [*map(chr, range(97, 123)), "abcdefghijklmnopqrstuvwxyz", "nowhere", "the"]
-        self.direct = all(self._ids(x) == self._ids(x.upper()) == self._model_ids(x) for x in probes)
+        self.split = self.tokenizer.model.tokenize
+        # byte-level models name bytes by printable characters: most by their own, the others by the next ones from 256 on
+        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self.byte_names = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in printable)}
+        # runs of letters can go to the model itself, in lower case, if the steps before it do nothing else to them
+        every = pa.array(map(chr, range(1, 0x250)), pa.string())
+        letters = every.filter(pc.match_substring_regex(every, self.LETTER)).to_pylist()
+        probes = [*letters, "".join(letters[:52]), "".join(letters), "nowhere", "the", "Stra\u00dfe"]
+        self.direct = all(self._ids(x) == self._model_ids(x.lower()) for x in probes)
         self.clear_pieces()
         self.clear_runs()
 
     def clear_pieces(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[str, int] = {"": 0}
         self.flat, self.n_flat = np.zeros(1 << 16, np.int32), 0
         self.starts, self.sizes = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32)
 
@@ -179,7 +193,9 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _model_ids(self, word: str) -> list[int]:
-        return [token.id for token in self.tokenizer.model.tokenize(word)]
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.byte_names)
+        return [token.id for token in self.split(word)]
 
     def _add_runs(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         n = len(self.runs)
@@ -189,33 +205,36 @@ class Encoder:
         self.n_run_ids += len(ids)
         self.runs.update(zip(names, range(n, n + len(names)), strict=True))
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Adds pieces. A run of Latin letters before punctuation is looked up by itself; new runs of ASCII letters are split by the model, other new runs encoded in one go, other pieces one by one."""
-        # a piece holds no blank, so that all of them can be parted in one call
-        words, tails, others = map(list, zip(*self.PLAIN.findall("\n".join(pieces)), strict=True))
-        odd = dict.fromkeys(filter(None, others))
-        words = [(w.lower() if self.direct and w.isascii() else w) or x for w, x in zip(words, others, strict=True)]
-        known = self.runs
-        one_by_one = [x for x in odd | dict.fromkeys(tails) if x not in known]
+    def _learn(self, pieces: pa.Array) -> None:
+        """Adds pieces. A run of Latin letters before punctuation is looked up by itself; new runs are split by the model, or else encoded in one go, other pieces one by one."""
+        plain = pc.match_substring_regex(pieces, f"^{self.LETTER}+{self.MARK}*$")
+        words = pc.if_else(plain, pc.ascii_rtrim(pieces, self.MARKS), pieces)
+        tailed = pc.not_equal(pc.binary_length(words), pc.binary_length(pieces))
+        tails = pc.replace_with_mask(pa.array([""] * len(pieces)), tailed, pc.replace_substring_regex(pieces.filter(tailed), f"^{self.LETTER}+", ""))
+        if self.direct:
+            words = pc.if_else(plain, pc.utf8_lower(words), words)
+        words, tails = pc.dictionary_encode(words), pc.dictionary_encode(tails)
+        known, letters = self.runs, pc.match_substring_regex(words.dictionary, f"^{self.LETTER}+$").to_pylist()
+        names, ends = words.dictionary.to_pylist(), tails.dictionary.to_pylist()
+        one_by_one = [x for x in dict.fromkeys([*(x for x, run in zip(names, letters, strict=True) if not run), *ends]) if x not in known]
         if one_by_one:
             got = [self._ids(x) for x in one_by_one]
             self._add_runs(one_by_one, np.fromiter(chain.from_iterable(got), np.int32), np.fromiter(map(len, got), np.int32))
-        new = [x for x in dict.fromkeys(words) if x not in known]
-        plain = [x for x in new if x.isascii()] if self.direct else []
-        if plain:
-            got = [*map(self._model_ids, plain)]
-            self._add_runs(plain, np.fromiter(chain.from_iterable(got), np.int32), np.fromiter(map(len, got), np.int32))
-        together = [x for x in new if not x.isascii()] if self.direct else new
-        if together:
-            got = self.tokenizer.encode(" ".join(together), add_special_tokens=False)
-            sizes = np.bincount(np.array(got.word_ids, np.int64), minlength=len(together))
-            if len(sizes) == len(together) and sizes.all():
-                self._add_runs(together, np.array(got.ids, np.int32), sizes)
+        new = [x for x in names if x not in known]
+        if new and self.direct:
+            got = [*map(self._model_ids, new)]
+            self._add_runs(new, np.fromiter(chain.from_iterable(got), np.int32), np.fromiter(map(len, got), np.int32))
+        elif new:
+            got = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
+            sizes = np.bincount(np.array(got.word_ids, np.int64), minlength=len(new))
+            if len(sizes) == len(new) and sizes.all():
+                self._add_runs(new, np.array(got.ids, np.int32), sizes)
             else:  # a tokenizer that parts some run of letters
-                got = [*map(self._ids, together)]
-                self._add_runs(together, np.fromiter(chain.from_iterable(got), np.int32), np.fromiter(map(len, got), np.int32))
+                got = [*map(self._ids, new)]
+                self._add_runs(new, np.fromiter(chain.from_iterable(got), np.int32), np.fromiter(map(len, got), np.int32))
         both = np.empty((len(pieces), 2), np.int64)
-        both[:, 0], both[:, 1] = np.fromiter(map(known.__getitem__, words), np.int64, len(pieces)), np.fromiter(map(known.__getitem__, tails), np.int64, len(pieces))
+        for i, (column, values) in enumerate(((words, names), (tails, ends))):
+            both[:, i] = np.fromiter(map(known.__getitem__, values), np.int64, len(values))[column.indices.to_numpy()]
         part = self.run_sizes[both].astype(np.int64)
         flat, ends = part.ravel(), np.cumsum(part.ravel())
         add = self.run_ids[np.repeat(self.run_starts[both].ravel() - ends + flat, flat) + np.arange(int(ends[-1]))]
@@ -232,32 +251,37 @@ class Encoder:
         held[n : n + len(add)] = add
         return held
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text."""
+    def encode(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
+        """Ids of each text. Words are told apart and numbered by Arrow; each distinct one is looked up once."""
         if len(self.index) > self.MOST or self.n_flat > self.MOST_IDS:
             self.clear_pieces()
         if len(self.runs) > self.MOST or self.n_run_ids > self.MOST_IDS:
             self.clear_runs()
-        whole = [i for i, x in enumerate(texts) if x and self.ODD.search(x)]
-        known = [x.split() if x else [] for x in texts]
-        for i in whole:
-            known[i] = []
-        counts = np.fromiter(map(len, known), np.int64, len(known))
-        pieces = list(chain.from_iterable(known))
-        at = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int32, len(pieces))
-        if len(missing := np.flatnonzero(at < 0)):
-            new = dict.fromkeys(pieces[i] for i in missing.tolist())
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-            self._learn(list(new))
-            at[missing] = [self.index[pieces[i]] for i in missing.tolist()]
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        texts = texts.fill_null("")
+        odd = pc.match_substring_regex(texts, self.ODD)
+        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
+        words = pc.ascii_split_whitespace(pc.if_else(odd, "", texts) if whole else texts)
+        coded = pc.dictionary_encode(words.flatten())
+        pieces = coded.dictionary.to_pylist()
+        at = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            n = len(self.index)
+            self.index.update(zip([pieces[i] for i in missing.tolist()], range(n, n + len(missing)), strict=True))
+            self._learn(coded.dictionary.take(pa.array(missing)))
+            at[missing] = np.arange(n, n + len(missing))
+        at = at[coded.indices.to_numpy()]
         sizes = self.sizes[at].astype(np.int64)
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(total)]
-        until = np.concatenate([[0], ends])[np.cumsum(counts)].tolist()
+        offsets = np.array(words.offsets)
+        until = np.concatenate([[0], ends])[offsets[1:] - offsets[0]].tolist()
         out = [ids[a:b] for a, b in zip([0, *until[:-1]], until, strict=True)]
         for i in whole:
-            out[i] = np.array(self._ids(texts[i]), np.int32)
+            out[i] = np.array(self._ids(texts[i].as_py()), np.int32)
         return out
 
 
@@ -302,8 +326,8 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str | None = None, end_id:
             return pa.RecordBatch.from_pylist([{"part": part, "block": block, **x}], schema=pa.schema([("part", pa.int32()), ("block", pa.int32()), *[(c, pa.binary()) for c in ("doc_ids", "offsets", "rules", "spans", "body")], ("crc", pa.int64())]))
 
         encoder = _encoder(vocabulary)
-        for batch in slices(batches, "text", 2 << 20):
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
+        for batch in slices(batches, "text", 8 << 20):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text")), strict=True):
                 if names and size + len(ids) + 1 > block_ids:
                     yield flush()
                     names, counts, held, size, block = [], [], [], 0, block + 1
