@@ -10,7 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into numpy arrays at a time.
@@ -67,6 +67,12 @@ def discard(df: DataFrame | None) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def veiled(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str], list[Column]]:
+    """`docs` with columns named _0, _1, ..., so that no name an operator gives can clash; those names; and the columns once called `names`."""
+    own = [f"_{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*own), own, [F.col(own[docs.columns.index(n)]) for n in names]
+
+
 #: Ids that may be broadcast (8 bytes each).
 BROADCAST_IDS = 2_000_000
 

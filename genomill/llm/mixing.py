@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genomill.llm.common import cut, table
+from genomill.llm.common import cut, table, veiled
 
-#: More sources than this are refused: their shares are gathered in one row.
-MAX_SOURCES = 100_000
-#: Halvings of the exponent's interval.
-HALVINGS = 40
+#: Halvings of the exponent's interval, and how many of them one pass over the sources' shares decides.
+HALVINGS, AT_ONCE = 40, 5
 
 
 def _number(*parts: Column | str) -> Column:
@@ -18,34 +18,43 @@ def _number(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("long")
 
 
-def temperature(shares: DataFrame, max_epochs: float | None = None, entropy: float | None = None) -> DataFrame:
-    """One row: `alpha`, the exponent for `shares` (_tokens per source), to 6 decimals.
+def _words(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text.cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def temperature(shares: DataFrame, max_epochs: float | None = None, entropy: float | None = None) -> float:
+    """The exponent for `shares` (_tokens per source), to 6 decimals; 1 if no source has tokens.
 
     With `max_epochs`: the smallest exponent in [0, 1] at which the most repeated source is shown at most that many times as
     often as the least repeated one. With `entropy` (nats): the largest exponent whose weights have that entropy at least.
     Either condition holds on one side of a point that bisection finds; if none holds in [0, 1], the nearer end is taken.
     """
-    logs = shares.where("_tokens > 0").agg(F.array_sort(F.collect_list(F.ln(F.col("_tokens").cast("double")))).alias("l"))
     if (max_epochs is None) == (entropy is None):
         raise ValueError("give max_epochs or entropy")
+    logs = shares.where("_tokens > 0").select(F.ln(F.col("_tokens").cast("double")).alias("x"))
+    low, top = logs.agg(F.min("x"), F.max("x")).first()
+    if low is None:
+        return 1.0
 
-    def fine(a: Column) -> Column:
-        """Whether exponent a is on the side that exponent 1 (repetition) or 0 (entropy) is on."""
+    def fine(points: list[float]) -> list[bool]:
+        """For each exponent, whether the condition holds there: by one aggregation over the shares, however many they are."""
         if max_epochs is not None:
-            return (F.lit(1.0) - a) * (F.array_max("l") - F.array_min("l")) <= F.ln(F.lit(float(max_epochs)))
-        top = F.array_max("l")
-        z = F.aggregate("l", F.lit(0.0), lambda s, x: s + F.exp(a * (x - top)))
-        u = F.aggregate("l", F.lit(0.0), lambda s, x: s + F.exp(a * (x - top)) * a * (x - top))
-        return F.ln(z) - u / z >= F.lit(float(entropy))
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = (s["lo"] + s["hi"]) / 2
-        up = fine(mid) if max_epochs is not None else ~fine(mid)  # the sought point is below mid
-        return F.struct(F.when(up, s["lo"]).otherwise(mid).alias("lo"), F.when(up, mid).otherwise(s["hi"]).alias("hi"))
-
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi")), halve, lambda s: s["hi"] if max_epochs is not None else s["lo"])
-    ends = F.when(fine(F.lit(0.0)), 0.0).otherwise(found) if max_epochs is not None else F.when(fine(F.lit(1.0)), 1.0).otherwise(found)
-    return logs.select(F.round(ends, 6).alias("alpha"))
+            return [(1.0 - a) * (top - low) <= math.log(max_epochs) for a in points]
+        e = [F.exp(a * (F.col("x") - top)) for a in points]
+        sums = logs.agg(*[F.sum(x).alias(f"z{i}") for i, x in enumerate(e)], *[F.sum(x * a * (F.col("x") - top)).alias(f"u{i}") for i, (a, x) in enumerate(zip(points, e, strict=True))]).first()
+        return [math.log(sums[f"z{i}"]) - sums[f"u{i}"] / sums[f"z{i}"] >= entropy for i in range(len(points))]
+
+    if fine([0.0 if max_epochs is not None else 1.0])[0]:
+        return 0.0 if max_epochs is not None else 1.0
+    lo, hi = 0.0, 1.0
+    for _ in range(HALVINGS // AT_ONCE):
+        step = (hi - lo) / 2**AT_ONCE
+        points = [lo + step * i for i in range(1, 2**AT_ONCE)]
+        # the condition holds from some point on (repetition), or up to one (entropy)
+        holds = fine(points)
+        at = holds.index(True) if max_epochs is not None and True in holds else sum(holds) if max_epochs is None else len(points)
+        lo, hi = lo + step * at, lo + step * (at + 1)
+    return round(hi if max_epochs is not None else lo, 6)
 
 
 def mix(docs: DataFrame, max_epochs: float | None = 2.0, entropy: float | None = None, budget: int | None = None, block_tokens: int = 200_000, seed: int = 1) -> DataFrame:
@@ -58,18 +67,17 @@ def mix(docs: DataFrame, max_epochs: float | None = 2.0, entropy: float | None =
     shows blocks in its order while they fit the rest of the budget, and of the first that doesn't, documents in hash order
     while they fit. A document without tokens belongs to each whole epoch, and to the partial one with its block.
 
-    Null source: a source of its own. Null text or doc_id: no tokens; hashed as empty. Repeated rows: each is a document.
+    Null source: a source of its own. Null text: no tokens. Null doc_id: placed by its text. Repeated rows: each is a document.
     Columns of these three names are replaced, all others pass through. An empty table gives an empty result.
     """
     docs = docs.drop("mix_epoch", "mix_block", "mix_rank")
-    columns = docs.columns
-    source = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("-"))
-    docs = docs.withColumns({"_s": source, "_n": F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long"), "_h": _number(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))})
+    named = docs.columns
+    docs, columns, (doc_id, text, origin) = veiled(docs, "doc_id", "text", "source")
+    source = F.coalesce(F.concat(F.lit("s"), origin.cast("string")), F.lit("-"))
+    place = F.coalesce(doc_id.cast("string"), F.concat(F.lit("t"), text.cast("string")), F.lit(""))
+    docs = docs.withColumns({"_s": source, "_n": _words(text), "_h": _number(place), "_tie": F.xxhash64(text)})
     totals = cut(docs.groupBy("_s").agg(F.sum("_n").alias("_tokens")))
-    if totals.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    alpha = (temperature(totals, max_epochs, entropy).first() or [None])[0]
-    alpha = 1.0 if alpha is None else alpha
+    alpha = temperature(totals, max_epochs, entropy)
     raw = F.pow(F.col("_tokens").cast("double"), F.lit(alpha))
     scale = totals.where("_tokens > 0").agg(F.sum(raw).alias("z"), F.max(F.col("_tokens") / raw).alias("most")).first()
     unit = (scale["most"] if budget is None else budget / scale["z"]) if scale["z"] else 1.0
@@ -88,30 +96,22 @@ def mix(docs: DataFrame, max_epochs: float | None = 2.0, entropy: float | None =
     rows = docs.join(plan.select("_s", "_blocks"), "_s").withColumn("_b", F.col("_h") % F.col("_blocks")).join(ranked, ["_s", "_b"])
     running = F.sum("_n").over(Window.partitionBy("_s", "_b").orderBy("_h", "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     whole = rows.where("_left IS NULL")
-    cut_off = rows.where("_left IS NOT NULL").withColumn("_tie", F.xxhash64("text")).withColumn("_run", running).where("_run <= _left")
+    cut_off = rows.where("_left IS NOT NULL").withColumn("_run", running).where("_run <= _left")
     names = [*columns, "mix_epoch", F.col("_b").alias("mix_block"), "mix_rank"]
-    return whole.select(*names).unionByName(cut_off.select(*names))
+    return whole.select(*names).unionByName(cut_off.select(*names)).toDF(*named, "mix_epoch", "mix_block", "mix_rank")
 
 
-OP7_SQL = """
+_SQL = """
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce('s' || source, '-') AS s,
          coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS n,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 't' || text, '')), 1, 15) AS BIGINT) AS h
   FROM documents),
 t AS (SELECT s, CAST(sum(n) AS BIGINT) AS tokens FROM d GROUP BY s),
-span AS (SELECT max(ln(CAST(tokens AS DOUBLE))) - min(ln(CAST(tokens AS DOUBLE))) AS w FROM t WHERE tokens > 0),
-b(i, lo, hi) AS (
-  SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)
-  UNION ALL
-  SELECT i + 1, CASE WHEN (1 - (lo + hi) / 2) * w <= ln(2.0) THEN lo ELSE (lo + hi) / 2 END,
-         CASE WHEN (1 - (lo + hi) / 2) * w <= ln(2.0) THEN (lo + hi) / 2 ELSE hi END
-  FROM b, span WHERE i < 40),
-a AS (SELECT CASE WHEN (SELECT w FROM span) <= ln(2.0) THEN 0.0 ELSE round(hi, 6) END AS alpha FROM b WHERE i = 40),
-u AS (SELECT max(tokens / pow(CAST(tokens AS DOUBLE), alpha)) AS most FROM t, a WHERE tokens > 0),
+{bisection}u AS (SELECT {unit} AS most FROM t, a WHERE tokens > 0),
 e AS (
   SELECT s, tokens, CASE WHEN tokens > 0 THEN round(pow(CAST(tokens AS DOUBLE), alpha) * most / tokens, 6) ELSE 1.0 END AS epochs,
-         greatest(1, CAST(ceil(tokens / 200000.0) AS BIGINT)) AS blocks
+         greatest(1, CAST(ceil(tokens / {block}.0) AS BIGINT)) AS blocks
   FROM t, a, u),
 p AS (SELECT s, CAST(floor(epochs) AS BIGINT) AS whole, CAST(floor((epochs - floor(epochs)) * tokens) AS BIGINT) AS rest, blocks FROM e),
 x AS (SELECT d.*, p.whole, p.rest, d.h % p.blocks AS b FROM d JOIN p USING (s)),
@@ -129,12 +129,57 @@ FROM run JOIN sh ON run.s = sh.s AND run.b = sh.b WHERE sh.room IS NULL OR run.u
 """
 
 
-def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+_BISECTION = """span AS (SELECT max(ln(CAST(tokens AS DOUBLE))) - min(ln(CAST(tokens AS DOUBLE))) AS w FROM t WHERE tokens > 0),
+b(i, lo, hi) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)
+  UNION ALL
+  SELECT i + 1, CASE WHEN (1 - (lo + hi) / 2) * w <= ln(2.0) THEN lo ELSE (lo + hi) / 2 END,
+         CASE WHEN (1 - (lo + hi) / 2) * w <= ln(2.0) THEN (lo + hi) / 2 ELSE hi END
+  FROM b, span WHERE i < 40),
+a AS (SELECT CASE WHEN (SELECT w FROM span) <= ln(2.0) THEN 0.0 ELSE round(hi, 6) END AS alpha FROM b WHERE i = 40),
+"""
+_ENTROPY_BISECTION = """x0 AS (SELECT list(ln(CAST(tokens AS DOUBLE)) ORDER BY tokens) AS l, max(ln(CAST(tokens AS DOUBLE))) AS top FROM t WHERE tokens > 0),
+b(i, lo, hi) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)
+  UNION ALL
+  SELECT i + 1, CASE WHEN fine THEN mid ELSE lo END, CASE WHEN fine THEN hi ELSE mid END
+  FROM (SELECT i, lo, hi, mid, ln(list_sum(e)) - list_sum(list_transform(list_zip(e, l), lambda z: z[1] * mid * (z[2] - top))) / list_sum(e) >= {entropy} AS fine
+        FROM (SELECT i, lo, hi, (lo + hi) / 2 AS mid, l, top, list_transform(l, lambda v: exp((lo + hi) / 2 * (v - top))) AS e FROM b, x0 WHERE i < 40))),
+full_h AS (SELECT -sum(q * ln(q)) >= {entropy} AS ok FROM (SELECT tokens / sum(tokens) OVER () AS q FROM t WHERE tokens > 0)),
+a AS (SELECT CASE WHEN (SELECT ok FROM full_h) THEN 1.0 ELSE round(lo, 6) END AS alpha FROM b WHERE i = 40),
+"""
+
+
+def _sql(bisection: str, unit: str, block: int) -> str:
+    return _SQL.replace("{bisection}", bisection).replace("{unit}", unit).replace("{block}", str(block))
+
+
+ALL, BUDGET, SMALL_BLOCK, ENTROPY = "max(tokens / pow(CAST(tokens AS DOUBLE), alpha))", 150_000, 5_000, 1.2
+OP7_SQL = _sql(_BISECTION, ALL, 200_000)
+OP7_BUDGET_SQL = _sql(_BISECTION, f"{BUDGET} / sum(pow(CAST(tokens AS DOUBLE), alpha))", SMALL_BLOCK)
+OP7_ENTROPY_SQL = _sql(_ENTROPY_BISECTION.replace("{entropy}", str(ENTROPY)), ALL, SMALL_BLOCK)
+
+
+def _digest(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    counted = mix(docs)
-    return counted.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_tokens"), "mix_epoch", "mix_block", "mix_rank")
+    return mix(docs, **how).select("doc_id", "source", _words(F.col("text")).alias("n_tokens"), "mix_epoch", "mix_block", "mix_rank")
+
+
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(spark, sf_dir)
+
+
+def op7_mix_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A budget of tokens, dealt in small blocks: partial epochs, and documents cut off inside a block."""
+    return _digest(spark, sf_dir, budget=BUDGET, block_tokens=SMALL_BLOCK)
+
+
+def op7_mix_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of a given entropy."""
+    return _digest(spark, sf_dir, max_epochs=None, entropy=ENTROPY, block_tokens=SMALL_BLOCK)
 
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's weight asks, once at least."""
+    """Each document as often as its source's weight asks, once at least; null sources and texts too, and an empty table stays empty."""
     return mix(docs).select(docs.columns)

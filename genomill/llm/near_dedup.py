@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genomill.llm.common import NOT_BLANK, Words, cut, discard, grouped, mix64, picked, prepare, slices, table
+from genomill.llm.common import NOT_BLANK, Words, cut, discard, grouped, mix64, picked, prepare, slices, table, veiled
 from genomill.llm.graph import components
 
 #: Multipliers and summands of the universal hashes (multiply-shift over 64 bits), from a fixed seed.
@@ -272,10 +272,9 @@ def stage_minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     ties = stays.groupBy("component").agg(F.count("*").alias("n"), F.min("row_key").alias("least")).where("n > 1").select("component", "least")
     tied = cut(stays.join(ties, "component").select("doc_id", "row_key", "least"))
     lost = rows.where("doc_id <> component_id").select("doc_id", "row_key").union(tied.where("row_key <> least").select("doc_id", "row_key")).distinct().toDF("_lost_id", "_lost_key")
-    names = [f"_{i}" for i in range(len(docs.columns))]  # whatever the columns are called
-    doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    own, _, (doc_id, text) = veiled(docs, "doc_id", "text")
     match = (doc_id.cast("long") == F.col("_lost_id")) & (F.xxhash64(text.cast("string")) == F.col("_lost_key"))
-    own = docs.toDF(*names).join(lost, match, "left_anti")
+    own = own.join(lost, match, "left_anti")
     if not tied.isEmpty():
         again = tied.where("row_key = least").select("doc_id", "row_key").distinct().toDF("_lost_id", "_lost_key")
         one = own.join(again, match, "left_semi").withColumns({"_id": doc_id.cast("long"), "_key": F.xxhash64(text.cast("string"))}).dropDuplicates(["_id", "_key"]).drop("_id", "_key")

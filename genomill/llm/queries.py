@@ -6,11 +6,11 @@ from genomill.llm.decontaminate import op4_decontaminate
 from genomill.llm.html_text import op3_html
 from genomill.llm.langid import op6_langid
 from genomill.llm.line_dedup import op10_lines
-from genomill.llm.mixing import OP7_SQL, op7_mix
+from genomill.llm.mixing import OP7_BUDGET_SQL, OP7_ENTROPY_SQL, OP7_SQL, op7_mix, op7_mix_budget, op7_mix_entropy
 from genomill.llm.near_dedup import op9_minhash
 from genomill.llm.neighbours import op2_neighbours
 from genomill.llm.passages import op1_passages
-from genomill.llm.sharding import OP5_SQL, op5_shards
+from genomill.llm.sharding import OP5_SMALL_SQL, OP5_SQL, op5_shards, op5_small_shards
 from genomill.llm.token_ids import op8_token_ids
 
 QUERIES = {
@@ -24,6 +24,9 @@ QUERIES = {
     "op8_token_ids": op8_token_ids,
     "op9_minhash": op9_minhash,
     "op10_lines": op10_lines,
+    "op5_small_shards": op5_small_shards,
+    "op7_mix_budget": op7_mix_budget,
+    "op7_mix_entropy": op7_mix_entropy,
 }
 
-ORACLE_SQL = {"op5_shards": OP5_SQL, "op7_mix": OP7_SQL}
+ORACLE_SQL = {"op5_shards": OP5_SQL, "op7_mix": OP7_SQL, "op5_small_shards": OP5_SMALL_SQL, "op7_mix_budget": OP7_BUDGET_SQL, "op7_mix_entropy": OP7_ENTROPY_SQL}

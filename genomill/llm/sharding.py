@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genomill.llm.common import cut, table
+from genomill.llm.common import cut, table, veiled
 
 #: Bits of the hash (15 hexadecimal digits of md5).
 BITS = 60
@@ -44,8 +44,10 @@ def shard(docs: DataFrame, limit: int = 16 << 20, key: str = "doc_id", text: str
     others pass through. An empty table gives an empty result.
     """
     docs = docs.drop("shard", "shard_part", "shard_depth", "shard_bytes")
-    hashed = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("\x01"), F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    placed = docs.withColumns({"_h": F.conv(F.substring(hashed, 1, BITS // 4), 16, 10).cast("long"), "_bytes": F.coalesce(F.octet_length(F.col(text).cast("string")), F.lit(0)).cast("long")})
+    named = docs.columns
+    docs, _, (key_column, text_column) = veiled(docs, key, text)
+    hashed = F.md5(F.concat(F.coalesce(key_column.cast("string"), F.lit("")), F.lit("\x01"), F.coalesce(text_column.cast("string"), F.lit(""))))
+    placed = docs.withColumns({"_h": F.conv(F.substring(hashed, 1, BITS // 4), 16, 10).cast("long"), "_bytes": F.coalesce(F.octet_length(text_column.cast("string")), F.lit(0)).cast("long")})
     rows = placed.select("_h", "_bytes")
     total = rows.agg(F.sum("_bytes")).first()[0] or 0
     start = min(BITS - STEP, max(0, int(math.log2(max(1, total / limit))) - 2))
@@ -69,7 +71,7 @@ def shard(docs: DataFrame, limit: int = 16 << 20, key: str = "doc_id", text: str
     at = F.coalesce("_depth", F.lit(BITS))
     bits = F.when(at == 0, "").otherwise(F.lpad(F.bin(_prefix(at)), at, F.lit("0")))
     out = placed.withColumns({"shard": F.concat(F.lit("b"), bits), "shard_part": F.col("_part"), "shard_depth": at, "shard_bytes": F.col("_size")})
-    return out.select(*docs.columns, "shard", "shard_part", "shard_depth", "shard_bytes")
+    return out.select(*docs.columns, "shard", "shard_part", "shard_depth", "shard_bytes").toDF(*named, "shard", "shard_part", "shard_depth", "shard_bytes")
 
 
 def _parts(placed: DataFrame, limit: int) -> DataFrame:
@@ -89,30 +91,46 @@ def _parts(placed: DataFrame, limit: int) -> DataFrame:
     return numbered.select(*placed.columns, "_part").unionByName(placed.where("_depth IS NOT NULL").withColumn("_part", F.lit(0).cast("long")))
 
 
-LIMIT = 16 << 20
+LIMIT, SMALL_LIMIT = 16 << 20, 64 << 10
 
-OP5_SQL = f"""
+_SQL = """
 WITH h AS (
   SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
          CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(1) || coalesce(text, '')), 1, 15) AS BIGINT) AS h
   FROM documents),
-t AS (SELECT greatest(0, CAST(floor(log2(greatest(1.0, sum(n_bytes) / {LIMIT}.0))) AS INT) - 2) AS d0 FROM h),
+t AS (SELECT greatest(0, CAST(floor(log2(greatest(1.0, sum(n_bytes) / {limit}.0))) AS INT) - 2) AS d0 FROM h),
 levels AS (
   SELECT d, h >> (60 - d) AS p, sum(n_bytes) AS s
   FROM h, (SELECT unnest(generate_series(0, 60)) AS d) WHERE d >= (SELECT d0 FROM t) GROUP BY d, p),
 leaf AS (
-  SELECT h.doc_id, h.h, min(l.d) AS d FROM h JOIN levels l ON l.p = h.h >> (60 - l.d) AND l.s <= {LIMIT} GROUP BY h.doc_id, h.h)
+  SELECT h.h, min(l.d) AS d FROM (SELECT DISTINCT h FROM h) h JOIN levels l ON l.p = h.h >> (60 - l.d) AND l.s <= {limit} GROUP BY h.h),
+-- what no bit divides: copies of one row, dealt into parts that fit, or a row above the limit
+whole AS (
+  SELECT doc_id, n_bytes, h.h, (row_number() OVER (PARTITION BY h.h) - 1) // greatest(1, {limit} // n_bytes) AS part
+  FROM h ANTI JOIN leaf ON h.h = leaf.h)
 SELECT h.doc_id, h.n_bytes, 'b' || CASE WHEN f.d = 0 THEN '' ELSE lpad(bin(h.h >> (60 - f.d)), CAST(f.d AS INT), '0') END AS shard,
-       CAST(f.d AS INT) AS shard_depth, CAST(l.s AS BIGINT) AS shard_bytes
-FROM h JOIN leaf f USING (doc_id, h) JOIN levels l ON l.d = f.d AND l.p = h.h >> (60 - f.d)
+       CAST(0 AS BIGINT) AS shard_part, CAST(f.d AS INT) AS shard_depth, CAST(l.s AS BIGINT) AS shard_bytes
+FROM h JOIN leaf f ON h.h = f.h JOIN levels l ON l.d = f.d AND l.p = h.h >> (60 - f.d)
+UNION ALL
+SELECT doc_id, n_bytes, 'b' || lpad(bin(h), 60, '0'), CAST(part AS BIGINT), 60, CAST(sum(n_bytes) OVER (PARTITION BY h, part) AS BIGINT) FROM whole
 """
+OP5_SQL, OP5_SMALL_SQL = _SQL.format(limit=LIMIT), _SQL.format(limit=SMALL_LIMIT)
 
 
-def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _digest(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return shard(docs, LIMIT).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "shard", "shard_depth", "shard_bytes")
+    return shard(docs, limit).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "shard", "shard_part", "shard_depth", "shard_bytes")
+
+
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(spark, sf_dir, LIMIT)
+
+
+def op5_small_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of so few bytes that buckets split to many depths, and some documents exceed the limit by themselves."""
+    return _digest(spark, sf_dir, SMALL_LIMIT)
 
 
 def stage_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row gets its shard."""
+    """Every row gets its shard; null or empty texts too, an empty table stays empty, and other columns pass through."""
     return shard(docs, LIMIT)
