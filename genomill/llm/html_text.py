@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,7 +34,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 MARKED = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adsbygoogle banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright disqus footer gdpr header menu menubar masthead modal nav navbar navigation navigationbar newsletter notice notices pagination pager paywall popup promo promotion promoted related recommended respond share sharing shoutbox sidebar sidenav skyscraper social sponsor sponsored subscribe subscription tags toolbar topbar widget alert alerts complementary contentinfo search signup login".split()
 )
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: Marks that count outside of articles alone where they are only a part of a name: an entry-header or search-intro of an article is text.
+WEAK = frozenset("header menu search tags banner notice notices alert alerts login signup copyright widget complementary respond recommended".split())
+# A quoted value ends at its quote; one with a ">" inside must end before a blank, "/" or ">", else its quote was never closed and counts as a plain character.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\">]*+\"|'[^'>]*+'|\"[^\"]*+\"(?=[\s/>])|'[^']*+'(?=[\s/>])|[\"'])*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PARTS = re.compile(r"[a-z]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -53,32 +57,43 @@ class Block:
     good: bool | None = None
 
 
-def _marked(attributes: str) -> bool:
+def _marked(attributes: str, inside: bool) -> bool:
+    """Whether class, id or role names what is not main text, or the element is hidden."""
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
         if name in ("class", "id", "role"):
-            own = " ".join(x for x in value.split() if not x.startswith(("no-", "with-", "has-", "without-")))
-            if MARKED.intersection(_PARTS.findall(own)):
-                return True
+            for own in value.split():
+                if own in MARKED or not own.startswith(("no-", "with-", "has-", "without-")) and (MARKED - WEAK if inside else MARKED).intersection(_PARTS.findall(own)):
+                    return True
     return False
 
 
 def blocks_of(page: str) -> list[Block]:
     """Blocks in page order. Unclosed and stray tags are allowed for; what is dropped by its element or mark is flagged."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, drops, article number
+    stack: list[tuple[str, bool, int]] = []  # tag, drops, number of the innermost article
+    opened: Counter[str] = Counter()  # of the tags on the stack
     drops = links = articles = at = 0
     block = Block()
 
+    def pop(depth: int) -> list[tuple[str, bool, int]]:
+        """Everything from that depth on ends."""
+        nonlocal drops, links
+        gone = stack[depth:]
+        del stack[depth:]
+        opened.subtract(t for t, _, _ in gone)
+        drops -= sum(d for _, d, _ in gone)
+        links -= sum(t == "a" for t, _, _ in gone)
+        return gone
+
     def close() -> None:
         nonlocal block
         if block.parts:
             found.append(block)
-        inside = next((n for _, _, n in reversed(stack) if n), 0)
-        tags = [t for t, _, _ in stack]
-        block = Block(tag=tags[-1] if tags else "", inside=inside, heading=any(re.fullmatch("h[1-6]", t) for t in tags[-3:]), dropped=drops > 0)
+        last = stack[-3:]
+        block = Block(tag=last[-1][0] if last else "", inside=last[-1][2] if last else 0, heading=any(re.fullmatch("h[1-6]", t) for t, _, _ in last), dropped=drops > 0)
 
     def add(text: str) -> None:
         if text:
@@ -96,18 +111,15 @@ def blocks_of(page: str) -> list[Block]:
         if tag == "br":
             block.parts.append("\n")
         elif closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag) if opened[tag] else None
             if depth is not None and not (tag not in BLOCKS and any(t in BLOCKS for t, _, _ in stack[depth + 1 :])):
-                gone = stack[depth:]
-                del stack[depth:]
-                drops -= sum(d for _, d, _ in gone)
-                links -= sum(t == "a" for t, _, _ in gone)
-                if any(t in BLOCKS or d for t, d, _ in gone):
+                if any(t in BLOCKS or d for t, d, _ in pop(depth)):
                     close()
             elif tag in BLOCKS:
                 close()
             elif depth is not None:  # an inline end tag after unclosed blocks: only that element ends
                 _, d, _ = stack.pop(depth)
+                opened[tag] -= 1
                 drops, links = drops - d, links - (tag == "a")
         elif tag in VOID:
             if tag == "hr":
@@ -121,20 +133,18 @@ def blocks_of(page: str) -> list[Block]:
                 same = {"p"} | ({"li"} if tag == "li" else {"dt", "dd"} if tag in ("dt", "dd") else {"td", "th"} if tag in ("td", "th") else {"tr", "td", "th"} if tag == "tr" else set())
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in same:
-                        gone = stack[i:]
-                        del stack[i:]
-                        drops -= sum(d for _, d, _ in gone)
-                        links -= sum(t == "a" for t, _, _ in gone)
+                        pop(i)
                         break
                     if stack[i][0] in BLOCKS:
                         break
             if tag == "body":  # the head ends here, closed or not
-                stack.clear()
-                drops = links = 0
+                pop(0)
             main = tag in ("article", "main") and not drops
             articles += main
-            dropped = (tag in DROPPED and not (tag == "header" and any(n for _, _, n in stack))) or (tag not in ("html", "body", "article", "main") and _marked(m[3]))
-            stack.append((tag, dropped, articles if main else 0))
+            inside = articles if main else stack[-1][2] if stack else 0
+            dropped = tag in DROPPED and not (tag == "header" and inside) or tag not in ("html", "body", "article", "main") and _marked(m[3], inside > 0)
+            stack.append((tag, dropped, inside))
+            opened[tag] += 1
             drops += dropped
             links += tag == "a"
             if tag in BLOCKS or dropped:
@@ -152,22 +162,26 @@ def blocks_of(page: str) -> list[Block]:
 def classify(blocks: list[Block], stop: frozenset[str], low: float = 0.2, high: float = 0.3, short: int = 70, long: int = 200, link: float = 0.4) -> list[Block]:
     """Sets `good`. First pass: dropped or link-heavy blocks are bad; long ones with stop words good, without bad; the rest is open.
 
-    Second pass: an open block takes the label of its nearest decided neighbours within its own article (or outside of any);
+    Where article or main elements hold most of the good text, all outside is bad; else they count for nothing (teasers). Second pass: an open block takes the label of its nearest decided neighbours within its own article (or outside of any);
     where they differ, the good one counts inside an article, the bad one outside. An article without a decided block is good.
     """
-    articles = any(b.inside and not b.dropped for b in blocks)
     for b in blocks:
         size = len(b.text)
-        if b.dropped or articles and not b.inside:
-            b.good = False
-        elif b.linked > link * len("".join(b.text.split())):
+        if b.dropped or b.linked > link * len("".join(b.text.split())):
             b.good = False
         else:
             words = _WORD.findall(b.text.lower())
             density = sum(w in stop for w in words) / max(1, len(words))
             if size >= long and density >= high or size >= short and density >= low:
                 b.good = True
-            elif size >= long and not b.inside and density < low / 2:
+            elif size >= long and density < low / 2:
+                b.good = None if b.inside else False
+    inside, outside = (sum(len(b.text) for b in blocks if b.good and bool(b.inside) == x) for x in (True, False))
+    if any(b.inside and not b.dropped for b in blocks):
+        for b in blocks:
+            if inside < outside:
+                b.inside = 0
+            elif not b.inside:
                 b.good = False
     live = [b for b in blocks if not b.dropped]
     n = len(live)
@@ -198,7 +212,7 @@ def extract_text(pages: DataFrame, stop_words: dict[str, str] | None = None) ->
     """`pages` with `text`, the main text of the whole `html` (null or without main text: empty), and `n_chars`, its code points.
 
     Blocks are joined in page order by one line feed; white space inside a block is one blank; character references are
-    decoded. Where a page has article or main elements, only what they hold can be main text. Null ids or urls, repeated
+    decoded. Where article or main elements hold most of the running text, only what they hold can be main text. Null ids or urls, repeated
     rows: each row by itself. Columns text and n_chars of `pages` are replaced, all others pass through, html does not.
     """
     prepare(pages.sparkSession)
