@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genomill.llm.common import prepare, slices, table, utf8
+from genomill.llm.common import cut, prepare, slices, table, utf8
 
 DIMS = 4096
 #: Bytes as the n-grams see them: A-Z lower-cased, all other ASCII but letters one blank; bytes beyond ASCII as they are.
@@ -103,31 +103,40 @@ def _cluster(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12)
     return centres
 
 
-def fit(labelled: DataFrame, per_lang: int = 400, max_langs: int = 400, max_rows: int = 8000, clusters: int = 3, least: float = 0.02) -> Centroids:
-    """Learn from `text` and `lang` of labelled rows, of which at most `per_lang` a language (drawn by a hash of the text) and `max_rows` in all are used.
+def fit(labelled: DataFrame, per_lang: int = 400, max_rows: int = 8000, clusters: int = 3, least: float = 0.02) -> Centroids:
+    """Learn from `text` and `lang` of labelled rows, of which at most `per_lang` different texts a language (those of smallest hash) and about `max_rows` in all are used, one a language at least.
 
-    At most `max_langs` languages are accepted; beyond, a ValueError tells so. Rows with a
-    null text or lang take no part. No labelled row at all: a classifier without languages, which rejects every text. How near a
-    text must be is calibrated on the sample and on short pieces of it, by language and length (by length alone where a language
-    has too few such texts, and `least` where all have).
+    Texts are drawn by hashes alone, first below a bound that the language's count gives, so that no task sees all rows of a
+    frequent language. The model grows with the number of languages only. Rows with a null text or lang take no part. No labelled
+    row at all: a classifier without languages. How near a text must be is calibrated on the sample and on short pieces of it, by
+    language and length (by length alone where a language has too few such texts, and `least` where all have).
     """
     prepare(labelled.sparkSession)
-    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    langs = [r[0] for r in rows.select("lang").distinct().limit(max_langs + 1).collect()]
-    if len(langs) > max_langs:
-        raise ValueError(f"more than {max_langs} languages")
-    per_lang = min(per_lang, max(1, max_rows // max(1, len(langs))))
-    drawn = rows.withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))).where(F.col("_r") <= per_lang).drop("_r")
+    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("_h"))
+    texts = cut(rows.groupBy("lang", F.pmod("_h", F.lit(256)).alias("_salt")).agg(F.approx_count_distinct("_h").alias("n")).groupBy("lang").agg(F.sum("n").alias("n")))
+    n_langs = texts.count()
+    per_lang = min(per_lang, max(1, max_rows // max(1, n_langs)))
+    # twice as many as wanted are expected below the bound; the smallest hashes of a language with fewer are all of them
+    share = F.least(F.lit(1.0), (4.0 * per_lang + 100) / F.col("n"))
+    near = rows.join(F.broadcast(texts), "lang").where((F.col("_h").cast("double") / 2.0**64 + 0.5) <= share)
+    drawn = cut(near.select("lang", "_h").distinct().withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy("_h"))).where(F.col("_r") <= per_lang).drop("_r"))
+    # at most max_rows pairs, or one a language
+    drawn = rows.join(F.broadcast(drawn), ["lang", "_h"]).dropDuplicates(["lang", "_h"]).select("text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             counts = features(batch.column("text"))
             heads = [x[: PIECES[-1]] for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([x.astype("<f4").tobytes() for x in counts], pa.binary()), pa.array(heads, pa.string())], names=["lang", "counts", "head"])
+            at = [np.flatnonzero(x) for x in counts]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array([i.astype("<u2").tobytes() for i in at], pa.binary()), pa.array([x[i].astype("<f4").tobytes() for i, x in zip(at, counts, strict=True)], pa.binary()), pa.array(heads, pa.string())], names=["lang", "bins", "counts", "head"])
 
-    sample = drawn.mapInArrow(run, "lang string, counts binary, head string").orderBy("lang", "counts", "head").toArrow()
-    counts = np.frombuffer(b"".join(sample.column("counts").to_pylist()), "<f4").reshape(-1, DIMS)
+    sample = drawn.mapInArrow(run, "lang string, bins binary, counts binary, head string").toArrow().combine_chunks().sort_by([("lang", "ascending"), ("head", "ascending"), ("bins", "ascending"), ("counts", "ascending")])
+    counts = np.zeros((sample.num_rows, DIMS), np.float32)
+    for i, (at, x) in enumerate(zip(sample.column("bins"), sample.column("counts"), strict=True)):
+        counts[i, np.frombuffer(at.as_py(), "<u2")] = np.frombuffer(x.as_py(), "<f4")
     names, heads = np.array(sample.column("lang").to_pylist(), object), np.array(sample.column("head").to_pylist(), object)
+    langs = sorted(set(names.tolist()))
+    del sample
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(1)
     rng = np.random.default_rng(7)
     centres, owners, scores, powers, of = [np.zeros((0, DIMS), np.float32)], [], [], [], []
@@ -195,9 +204,16 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_langid(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that language ID rejects go; all columns pass through the scan that decides."""
+    """Documents that language ID rejects go; all columns pass through the scan that decides.
+
+    Null texts, texts without a letter and those too far from every centroid go. Where no document tells its language nothing
+    can be learned, and every document stays. Repeated rows share their fate; an empty table stays empty.
+    """
     prepare(spark)
-    shared = spark.sparkContext.broadcast(fit_on_folds(docs))
+    model = fit_on_folds(docs)
+    if not model.langs:
+        return docs
+    shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
