@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from genomill.llm.common import WORD_CHARS, Words, prepare, cut, mix64, slices, table
 
-#: Slots of a shift table (hashed by block; a shared slot keeps the smaller shift).
-SLOTS = 1 << 18
+#: Slots of a shift table for each block that it holds, rounded up to a power of two (hashed by block; a shared slot keeps the smaller shift).
+SLOTS_A_BLOCK, LEAST_SLOTS = 4, 1 << 12
 
 
 def _block(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -26,22 +26,22 @@ class Patterns:
 
     def __init__(self, length: int, windows: dict[bytes, set[str]]):
         self.length, self.block = length, min(2, length)
-        self.shift = np.full(SLOTS, length - self.block + 1, np.uint8)
-        self.buckets: dict[int, list[tuple[bytes, set[str]]]] = defaultdict(list)
+        self.buckets: dict[int, dict[bytes, set[str]]] = defaultdict(dict)
         texts = list(windows)
         words = Words(pa.array(texts, pa.binary()), WORD_CHARS)
         blocks = _block(words.hash, self.block)
+        ends = np.arange(self.block - 1, length)
+        held = blocks[words.first[:-1, None] + ends - self.block + 1] if texts else np.zeros((0, len(ends)), np.uint64)
+        self.slots = max(LEAST_SLOTS, 1 << int(np.ceil(np.log2(SLOTS_A_BLOCK * max(1, len(np.unique(held)))))))
+        self.shift = np.full(self.slots, min(255, length - self.block + 1), np.uint8)
+        np.minimum.at(self.shift, (held & np.uint64(self.slots - 1)).astype(np.int64), np.broadcast_to(np.minimum(255, length - 1 - ends).astype(np.uint8), held.shape))
         for row, text in enumerate(texts):
-            first = int(words.first[row])
-            for end in range(self.block - 1, length):
-                slot = int(blocks[first + end - self.block + 1]) & (SLOTS - 1)
-                self.shift[slot] = min(int(self.shift[slot]), length - 1 - end)
-            self.buckets[int(blocks[first + length - self.block])].append((text, windows[text]))
+            self.buckets[int(blocks[int(words.first[row]) + length - self.block])][text] = windows[text]
 
     def search(self, words: Words, blocks: dict[int, np.ndarray]) -> Iterator[tuple[int, int, set[str]]]:
         """(row, first word, items) of every occurrence."""
         block = blocks[self.block]
-        jumps = self.shift[(block & np.uint64(SLOTS - 1)).astype(np.int64)].tobytes()
+        jumps = self.shift[(block & np.uint64(self.slots - 1)).astype(np.int64)].tobytes()
         back, m, data = self.block - 1, self.length, words.data
         for row, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)):
             at = a + m - 1
@@ -52,9 +52,8 @@ class Patterns:
                     continue
                 if bucket := self.buckets.get(int(block[at - back])):
                     here = b" ".join(data[words.start[i] : words.end[i]].tobytes() for i in range(at - m + 1, at + 1))
-                    for text, items in bucket:
-                        if text == here:
-                            yield row, at - m + 1, items
+                    if here in bucket:
+                        yield row, at - m + 1, bucket[here]
                 at += 1
 
 
@@ -101,12 +100,12 @@ def _scan(docs: DataFrame, patterns: list[Patterns]) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = 10, max_words_a_pass: int = 4_000_000) -> DataFrame:
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = 10, max_words_a_pass: int = 400_000) -> DataFrame:
     """`docs` with _n_words, _hits (word spans, first and past-the-end in turn, merged), _items (sorted item_ids): what of `benchmark` occurs in each text.
 
     A-Z are lower-cased; words are runs of 0-9, a-z and everything beyond ASCII. A window is `width` consecutive words of an
     item; an item of fewer words, but not none, is one window. The patterns of a pass hold at most about `max_words_a_pass`
-    words of items (checked by a count, before anything is sent out); a larger benchmark is searched in several passes over
+    words of items, some 150 MB of windows (checked by a count, before anything is sent out; one longer item is a pass of its own); a larger benchmark is searched in several passes over
     the documents, dealt by a hash of the item. Null texts and documents without words: no words, no hits. Items with a null
     item_id or without words: never found. Repeated items count once. Repeated or null doc_ids: each row by
     itself. Columns of these three names in `docs` are replaced; all others pass through.
