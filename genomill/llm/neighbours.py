@@ -232,7 +232,8 @@ def nearest(vectors: DataFrame, k: int = 20, query: str = "vec_id % 20 = 0", rec
     found = found.groupBy("qrep", "rep").agg(F.max("score").alias("score")).withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1).drop("_r")
     found = found.join(equal.select("rep", "members"), "rep").select("qrep", "score", F.explode("members").alias("vec_id"))
     one = Window.partitionBy("qrep").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("_r", F.row_number().over(one)).where(F.col("_r") <= k + 1).drop("_r")
+    # written, so that Spark can split the partition of a vector that very many queries share
+    found = cut(found.withColumn("_r", F.row_number().over(one)).where(F.col("_r") <= k + 1).drop("_r"))
     ranked = asked.join(found, "qrep").where("vec_id <> query_id").withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
