@@ -204,7 +204,7 @@ def test_mixing(docs, none):
     epochs = {s: shown[s] / tokens[s] for s in tokens}
     assert max(epochs.values()) <= 2.0 and 1.0 <= min(epochs.values()) <= 1.05
     assert mixing.mix(none).collect() == []
-    alpha = mixing.temperature(docs.sparkSession.createDataFrame([("a", 900), ("b", 100)], "_s string, _tokens long"), entropy=0.5).first().alpha
+    alpha = mixing.temperature(docs.sparkSession.createDataFrame([("a", 900), ("b", 100)], "_s string, _tokens long"), entropy=0.5)
     p = np.array([0.9, 0.1]) ** alpha
     p /= p.sum()
     assert abs(-(p * np.log(p)).sum() - 0.5) < 1e-4
@@ -284,6 +284,73 @@ def test_html():
     assert html_text.main_text(None, stop) == html_text.main_text("", stop) == ""
 
 
+LONG = "The cat and the dog are in the house with all of their friends, and they have been there for a long time now."
+
+
+def test_html_marks_quotes_and_teasers():
+    stop = frozenset(w for t in html_text.STOP_WORDS.values() for w in t.split())
+    page = f"<article><div class='entry-header'><h1>Title</h1></div><div class='search-results-intro'><p>{LONG}</p></div><div class='cookie-box'>{LONG}</div></article><div class='site-header'>{LONG}</div>"
+    assert html_text.main_text(page, stop) == f"Title\n{LONG}"
+    assert html_text.main_text(f'<p class="x>{LONG}</p><p title="a > b" data-x=\'<i>\'>{LONG}</p>', stop) == f"{LONG}\n{LONG}"
+    teasers = "".join(f"<article><h3>Card {i}</h3></article>" for i in range(4))
+    assert LONG in html_text.main_text(f"<body>{teasers}<div><p>{LONG}</p><p>{LONG}</p></div></body>", stop)
+    for odd in ("<a " * 20_000, "<div>" * 20_000 + "</b>" * 20_000, "<p class=\"" * 20_000, "<" * 50_000, "<!-- " * 20_000):
+        html_text.main_text(odd + LONG, stop)  # time in proportion to length
+
+
+def test_html_tables(spark):
+    rows = [(1, "u", f"<article><p>{LONG}</p></article>", 5), (1, "u", f"<article><p>{LONG}</p></article>", 5), (None, None, None, None), (2, "v", "", 1), (3, "w", f"<article><p>{(LONG + ' ') * 3000}</p></article>", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int")
+    got = html_text.extract_text(pages)
+    assert got.columns == ["page_id", "url", "text", "n_chars"] and got.count() == 5
+    found = {(r.page_id, r.text[:20], r.n_chars) for r in got.collect()}
+    assert found == {(1, LONG[:20], len(LONG)), (None, "", 0), (2, "", 0), (3, LONG[:20], 3000 * (len(LONG) + 1) - 1)}
+    assert html_text.extract_text(pages.limit(0)).collect() == []
+
+
+def test_masked_tokens_cost_no_more_when_long(spark):
+    rows = [("x" * 400_000 + " a1 2 b",), ("a1b c-3 d",), ("",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "line string").select(line_dedup._masked(line_dedup.F.col("line"))).collect()]
+    assert got == ["x" * 400_000 + " <*> <*> b", "<*> <*> d", "", None]
+
+
+def test_lines_against_brute_force(spark, monkeypatch):
+    """Forms that differ in fields with digits alone: a template is a masked line, and recurs if five different texts hold it. Same with split leaves."""
+    rng = np.random.default_rng(4)
+    stems = [" ".join(f"w{chr(97 + int(x))}" for x in rng.integers(0, 26, int(rng.integers(4, 9)))) for _ in range(40)]
+    texts = []
+    for i in range(50):
+        lines = [f"{stems[int(rng.zipf(1.5)) % 40]} id{rng.integers(1000)}" if rng.random() < 0.8 else "  " for _ in range(int(rng.integers(0, 8)))]
+        texts.append("\n".join(lines))
+    rows = [(i, t, "x", 1, "y") for i, t in enumerate(texts)] + [(3, texts[3], "x", 1, "y"), (None, texts[4], "x", 1, "y"), (99, None, "x", 1, "y")]
+    mask = lambda line: " ".join("#" if any(c.isdigit() for c in w) else w for w in line.strip(" ").split(" "))
+    seen = {}
+    for t in set(texts):
+        for line in t.split("\n"):
+            if line.strip(" "):
+                seen.setdefault(mask(line), set()).add(t)
+    gone = {m for m, where in seen.items() if len(where) >= 5}
+    assert 3 < len(gone) < len(seen)
+    want = sorted((str(i), None if t is None else "\n".join(x for x in t.split("\n") if mask(x) not in gone)) for i, t, *_ in rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string, leaf string, at int, gone string")
+    for bound in (line_dedup.BOUND, 3):
+        monkeypatch.setattr(line_dedup, "BOUND", bound)
+        got = line_dedup.recurring_lines(df, alike=1.0).collect()
+        assert sorted(((str(r.doc_id), r.text) for r in got), key=str) == sorted(want, key=str), bound
+
+
+def test_clashing_columns_pass_through(spark):
+    names = ["doc_id", "text", "source", "_h", "_n", "_s", "_b", "_bytes", "_part", "h"]
+    rows = [(i, f"word {i} " * 30, None if i % 3 else "s", *[7 + i] * 7) for i in range(20)] + [(None, None, None, *[1] * 7), (None, "a b", "s", *[2] * 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} long" for n in names[3:]))
+    for got in (sharding.shard(df, 500), mixing.mix(df, max_epochs=1.5, block_tokens=50)):
+        assert got.columns[: len(names)] == names
+        assert {tuple(r)[: len(names)] for r in got.collect()} == set(rows)
+    benchmark = spark.createDataFrame([("b", "word 3 word 3")], "item_id string, text string")
+    found = decontaminate.find_benchmark(df, benchmark, 3)
+    assert {r.doc_id for r in found.where("size(_hits) > 0").collect()} == {3} and {r["_h"] for r in found.collect()} == {r[3] for r in rows}
+
+
 def test_lines(docs, none):
     spark = docs.sparkSession
     rows = [(i, f"{chr(97 + i) * 5} only here some words\n\nError 40{i} at host{i} in module core now") for i in range(6)] + [(9, None), (10, "")]
