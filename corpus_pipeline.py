@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from genomill.llm.common import cut, table
+from genomill.llm.common import cut, discard, table
 from genomill.llm.decontaminate import stage_decontaminate
 from genomill.llm.langid import stage_langid
 from genomill.llm.mixing import stage_mix
@@ -20,12 +20,14 @@ STAGES = [
     ("shard", stage_shards),
 ]
 
-#: Language ID, MinHash and the search have no SQL form; tests hold run() against a brute-force version.
+#: Language ID, MinHash and the search have no SQL form; tests/llm/test_pipeline.py holds run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of `documents` that all stages keep, with their shards; each stage is written and read again by the next."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir))
+        before, docs = docs, cut(stage(spark, docs, sf_dir))
+        discard(before)
     return docs
