@@ -224,7 +224,7 @@ def _classified(docs: DataFrame, k: int, percent: int, bands: int, rows: int, sl
     found = components(near.union(links), "a", "b")
 
     named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    least = cut(named.groupBy("component").agg(F.min("rep").alias("component_id")))  # written, so that a large component can be split
     answer = cut(named.join(least, "component").select("digest", "component", "component_id"))
     for x in (members, sets):
         discard(x)
