@@ -120,9 +120,12 @@ def pseudo_core(counts: DataFrame, least: Sequence[int]) -> DataFrame:
     return unicopy_presence(counts).select("gene_family_id", "present", F.explode(F.array(*map(F.lit, least))).alias("min_genomes")).where("present >= min_genomes")
 
 
-def presence_cumulative(counts: DataFrame) -> DataFrame:
-    """How many single-copy families are present in n genomes or more, for each n that occurs."""
+def presence_cumulative(counts: DataFrame, n_genomes: int | None = None) -> DataFrame:
+    """How many single-copy families are present in n genomes or more, for each n that occurs; or, of `n_genomes`, for each n from three quarters of them on."""
     per_n = unicopy_presence(counts).groupBy("present").agg(F.count("*").alias("_c"))  # a row for each number of genomes
+    if n_genomes is not None:
+        grid = counts.sparkSession.range(3 * n_genomes // 4, n_genomes + 1).withColumnRenamed("id", "n_genomes")
+        return grid.join(F.broadcast(per_n), F.col("present") >= F.col("n_genomes"), "left").groupBy("n_genomes").agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("n_families"))
     return per_n.select(F.col("present").alias("n_genomes"), F.sum("_c").over(Window.orderBy(F.desc("present"))).alias("n_families"))
 
 
@@ -147,22 +150,30 @@ def pangenome_class(sizes: DataFrame, core_share: float = 0.98, multi: float = 0
     return sizes.join(top).select(*sizes.columns, F.when(F.col("genome_present") >= core_share * F.col("_n"), "core").otherwise("accessory").alias("pangenome"), F.when((F.col("size") - F.col("genome_present")) / F.col("genome_present") <= multi, "single-copy").otherwise("multi-copy").alias("copies"))
 
 
-def jaccard_distances(counts: DataFrame) -> DataFrame:
-    """H1: 1 - shared / united families of two genomes, for pairs that share a family (all others: 1)."""
+def _all_pairs(near: DataFrame, genomes: DataFrame) -> DataFrame:
+    """`near` (genome_1, genome_2, distance) with the other pairs of genomes at distance 1: a full matrix, and so as large as one."""
+    a, b = (genomes.select(F.col("genome").alias(g)) for g in ("genome_1", "genome_2"))
+    return a.join(b, F.col("genome_1") < F.col("genome_2")).join(near, ["genome_1", "genome_2"], "left").withColumn("distance", F.coalesce("distance", F.lit(1.0)))
+
+
+def jaccard_distances(counts: DataFrame, full: bool = False) -> DataFrame:
+    """H1: 1 - shared / united families of two genomes, for pairs that share a family; `full`: for all pairs."""
     own = counts.groupBy("genome").agg(F.count("*").alias("_s"))
     a, b = (counts.select("gene_family_id", F.col("genome").alias(g)) for g in ("genome_1", "genome_2"))
     shared = a.join(b, "gene_family_id").where("genome_1 < genome_2").groupBy("genome_1", "genome_2").agg(F.count("*").alias("_k"))
     sized = shared.join(own.select(F.col("genome").alias("genome_1"), F.col("_s").alias("_1")), "genome_1").join(own.select(F.col("genome").alias("genome_2"), F.col("_s").alias("_2")), "genome_2")
-    return sized.select("genome_1", "genome_2", F.round(1 - F.col("_k") / (F.col("_1") + F.col("_2") - F.col("_k")), 9).alias("distance"))
+    near = sized.select("genome_1", "genome_2", F.round(1 - F.col("_k") / (F.col("_1") + F.col("_2") - F.col("_k")), 9).alias("distance"))
+    return _all_pairs(near, own) if full else near
 
 
-def bray_curtis(counts: DataFrame) -> DataFrame:
-    """H2: 1 - 2 * sum of smaller counts / all counts of two genomes, for pairs that share a family."""
+def bray_curtis(counts: DataFrame, full: bool = False) -> DataFrame:
+    """H2: 1 - 2 * sum of smaller counts / all counts of two genomes, for pairs that share a family; `full`: for all pairs."""
     own = counts.groupBy("genome").agg(F.sum("n").alias("_s"))
     a, b = (counts.select("gene_family_id", F.col("genome").alias(g), F.col("n").alias(f"_n{i}")) for i, g in ((1, "genome_1"), (2, "genome_2")))
     shared = a.join(b, "gene_family_id").where("genome_1 < genome_2").groupBy("genome_1", "genome_2").agg(F.sum(F.least("_n1", "_n2")).alias("_k"))
     sized = shared.join(own.select(F.col("genome").alias("genome_1"), F.col("_s").alias("_1")), "genome_1").join(own.select(F.col("genome").alias("genome_2"), F.col("_s").alias("_2")), "genome_2")
-    return sized.select("genome_1", "genome_2", F.round(1 - 2 * F.col("_k") / (F.col("_1") + F.col("_2")), 9).alias("distance"))
+    near = sized.select("genome_1", "genome_2", F.round(1 - 2 * F.col("_k") / (F.col("_1") + F.col("_2")), 9).alias("distance"))
+    return _all_pairs(near, own) if full else near
 
 
 def clade_sides(counts: DataFrame, clades: DataFrame) -> DataFrame:
@@ -172,16 +183,26 @@ def clade_sides(counts: DataFrame, clades: DataFrame) -> DataFrame:
     return seen.join(sizes, "clade")
 
 
-def specific_presence(counts: DataFrame, clades: DataFrame, relax: float) -> DataFrame:
-    """Families that at most round(n_in * relax) genomes of a clade lack and at most round(n_out * relax) of its contrast have (halves to even)."""
-    s = clade_sides(counts, clades)
-    return s.where((F.col("n_in") - F.col("has_in") <= F.bround(F.col("n_in") * relax)) & (F.col("has_out") <= F.bround(F.col("n_out") * relax))).select("clade", "gene_family_id", "has_in", "has_out")
+def _limits(sides: DataFrame, relax: float, limits: DataFrame | None) -> DataFrame:
+    """`sides` with maxabsin, maxpresout, maxpresin, maxabsout: as `limits` (clade and any of these) give them, else round(size * relax), halves to even."""
+    named = {"maxabsin": "n_in", "maxpresout": "n_out", "maxpresin": "n_in", "maxabsout": "n_out"}
+    given = [c for c in named if limits is not None and c in limits.columns]
+    if given:
+        sides = sides.join(limits.select("clade", *[F.col(c).alias(f"_{c}") for c in given]), "clade", "left")
+    default = {c: F.bround(F.col(n) * relax) for c, n in named.items()}
+    return sides.withColumns({c: F.coalesce(f"_{c}", default[c]) if c in given else default[c] for c in named})
+
+
+def specific_presence(counts: DataFrame, clades: DataFrame, relax: float, limits: DataFrame | None = None) -> DataFrame:
+    """Families that at most maxabsin genomes of a clade lack and at most maxpresout of its contrast have."""
+    s = _limits(clade_sides(counts, clades), relax, limits)
+    return s.where("n_in - has_in <= maxabsin AND has_out <= maxpresout").select("clade", "gene_family_id", "has_in", "has_out")
 
 
-def specific_absence(counts: DataFrame, clades: DataFrame, relax: float) -> DataFrame:
-    """The mirror image. Only families that some genome of the clade or its contrast has are asked about."""
-    s = clade_sides(counts, clades)
-    return s.where((F.col("has_in") <= F.bround(F.col("n_in") * relax)) & (F.col("n_out") - F.col("has_out") <= F.bround(F.col("n_out") * relax))).select("clade", "gene_family_id", "has_in", "has_out")
+def specific_absence(counts: DataFrame, clades: DataFrame, relax: float, limits: DataFrame | None = None) -> DataFrame:
+    """The mirror image, by maxpresin and maxabsout. Only families that some genome of the clade or its contrast has are asked about."""
+    s = _limits(clade_sides(counts, clades), relax, limits)
+    return s.where("has_in <= maxpresin AND n_out - has_out <= maxabsout").select("clade", "gene_family_id", "has_in", "has_out")
 
 
 def reference_genomes(clades: DataFrame, preferred: Sequence) -> DataFrame:

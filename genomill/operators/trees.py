@@ -163,3 +163,42 @@ def select_clades(values: DataFrame, paths: DataFrame, stem: Sequence[tuple[str,
     for i, (_, _, sign, threshold) in enumerate(within):
         keep &= COMPARISONS[sign](F.col(f"_{i}"), threshold)
     return summed.where(keep).select(F.col("ancestor").alias("node"))
+
+
+def clade_definition_members(nodes: DataFrame, paths: DataFrame, definitions: DataFrame) -> DataFrame:
+    """Clade, side (clade, sister, background), member (name) of clade definitions; the background is without the clade's own leaves."""
+    leaves = paths.join(_tips(nodes), "node").select(F.col("ancestor").alias("_top"), F.col("branch_name").alias("member"))
+    listed = lambda column, side: definitions.select("clade", F.col(column).alias("_top")).join(leaves, "_top").select("clade", F.lit(side).alias("side"), "member")
+    own = definitions.select(F.col("clade").alias("_top"), "clade").join(leaves, "_top").select("clade", "member")
+    return own.select("clade", F.lit("clade").alias("side"), "member").unionByName(listed("sister", "sister")).unionByName(listed("background", "background").join(own, ["clade", "member"], "left_anti"))
+
+
+def branch_ages(nodes: DataFrame, paths: DataFrame, root_age: float) -> DataFrame:
+    """branch_id, age of each node by summed branch lengths (`nodes.length`; null: 0), scaled so that the root has `root_age` and the farthest leaf 0."""
+    lengths = nodes.select(F.col("branch_id").alias("ancestor"), F.coalesce("length", F.lit(0.0)).alias("_l"))
+    far = paths.join(lengths, "ancestor").join(nodes.where("parent_branch_id IS NULL").select(F.col("branch_id").alias("_root")), F.col("ancestor") == F.col("_root"), "left_anti").groupBy("node").agg(F.sum("_l").alias("_d"))
+    deep = nodes.select(F.col("branch_id").alias("node")).join(far, "node", "left").select("node", F.coalesce("_d", F.lit(0.0)).alias("_d"))
+    return deep.join(deep.agg(F.max("_d").alias("_m"))).select(F.col("node").alias("branch_id"), F.round(F.when(F.col("_m") > 0, root_age * (1 - F.col("_d") / F.col("_m"))).otherwise(root_age), 9).alias("age"))
+
+
+def translate_events(events: DataFrame, leaves: DataFrame, paths: DataFrame) -> DataFrame:
+    """Events (lineage, sample, event_type, don, rec: branches of a collapsed tree) on the full tree's branches, once a lineage and sample.
+
+    `leaves` (branch, node): the full tree's leaves that each collapsed branch stands for; a branch becomes their last common ancestor.
+    Transfers whose ends become one branch are dropped.
+    """
+    mrca = common_ancestors(leaves.select(F.col("branch").alias("_b"), "node"), paths, "_b").select("_b", "mrca")
+    for c in ("don", "rec"):
+        events = events.join(mrca.withColumnsRenamed({"_b": c, "mrca": f"_{c}"}), c, "left")
+    moved = events.select("lineage", "sample", "event_type", F.col("_don").alias("don"), F.col("_rec").alias("rec"))
+    return moved.where("don IS NULL OR rec IS NULL OR don <> rec").distinct()
+
+
+def drop_tagged(nodes: DataFrame, paths: DataFrame, collapsed: str = "_CC-clade", replaced: str = "_RC-clade") -> DataFrame:
+    """Nodes without those under a branch named with the tag `collapsed`, and of the leaves named with `replaced` and one same ending only the first by name."""
+    tag = F.regexp_extract("branch_name", f"({replaced}.*)$", 1)
+    gone = paths.join(nodes.where(F.col("branch_name").contains(collapsed)).select(F.col("branch_id").alias("ancestor")), "ancestor", "left_semi").select(F.col("node").alias("branch_id"))
+    tagged = nodes.where(F.col("is_tip") & (tag != "")).withColumn("_t", tag)
+    first = tagged.groupBy("_t").agg(F.min(F.struct("branch_name", "branch_id")).alias("_f")).select("_f.branch_id")
+    extra = tagged.select("branch_id").join(first, "branch_id", "left_anti")
+    return nodes.join(gone.union(extra).distinct(), "branch_id", "left_anti")
