@@ -73,8 +73,8 @@ def veiled(docs: DataFrame, *names: str) -> tuple[DataFrame, list[str], list[Col
     return docs.toDF(*own), own, [F.col(own[docs.columns.index(n)]) for n in names]
 
 
-#: Ids that may be broadcast (8 bytes each).
-BROADCAST_IDS = 2_000_000
+#: Ids that may be broadcast (about 100 bytes each in memory).
+BROADCAST_IDS = 500_000
 
 
 def picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
