@@ -18,23 +18,23 @@ def filter_events(events: DataFrame, n: int, fmin: float = 0.0, fmax: float | No
     return events.where(keep)
 
 
-def lineage_matches(events: DataFrame, families: DataFrame | None = None, scope: str = "between_fams", blocks: int = 1) -> DataFrame:
+def lineage_matches(events: DataFrame, families: DataFrame | None = None, scope: str = "between_fams", block: int = 2000) -> DataFrame:
     """Pairs of lineages (rlocds_id_1 <= rlocds_id_2) with each event they share: event_id, freq_1, freq_2.
 
-    `scope`: `between_fams` (families differ), `within_fams` (families agree) or `all`; the last two hold self-pairs. With
-    `blocks` > 1 the lineages of an event are dealt into so many blocks and the blocks joined pairwise, so that an event
-    with very many lineages is no single join key; each pair still comes out once.
+    `scope`: `between_fams` (families differ), `within_fams` (families agree) or `all`; the last two hold self-pairs. The lineages
+    of an event with more than `block` of them are dealt into blocks of about that many, and the blocks joined pairwise, so that
+    no task pairs all of a hot event; each pair still comes out once.
     """
     if families is not None:
         events = events.join(families.select("rlocds_id", "gene_family_id"), "rlocds_id")
     side = events.select("event_id", "rlocds_id", "freq", *(["gene_family_id"] if families is not None else []))
-    left, right = (side.withColumnsRenamed({c: f"{c}_{i}" for c in side.columns if c != "event_id"}) for i in (1, 2))
-    keys = ["event_id"]
-    if blocks > 1:
-        every = F.sequence(F.lit(0), F.lit(blocks - 1))
-        left = left.withColumn("_b1", F.pmod(F.xxhash64("rlocds_id_1"), F.lit(blocks)).cast("int")).withColumn("_b2", F.explode(every))
-        right = right.withColumn("_b2", F.pmod(F.xxhash64("rlocds_id_2"), F.lit(blocks)).cast("int")).withColumn("_b1", F.explode(every))
-        keys += ["_b1", "_b2"]
+    hot = side.groupBy("event_id").agg(F.count("*").alias("_n")).where(F.col("_n") > block).select("event_id", F.ceil(F.col("_n") / block).cast("int").alias("_k"))
+    dealt = side.join(hot, "event_id", "left").withColumn("_k", F.coalesce("_k", F.lit(1)))
+    left, right = (dealt.withColumnsRenamed({c: f"{c}_{i}" for c in side.columns if c != "event_id"}) for i in (1, 2))
+    every = F.explode(F.expr("sequence(0, _k - 1)"))
+    left = left.withColumn("_b1", F.expr("cast(pmod(xxhash64(rlocds_id_1), _k) AS int)")).withColumn("_b2", every).drop("_k")
+    right = right.withColumn("_b2", F.expr("cast(pmod(xxhash64(rlocds_id_2), _k) AS int)")).withColumn("_b1", every).drop("_k")
+    keys = ["event_id", "_b1", "_b2"]
     pairs = left.join(right, keys).where("rlocds_id_2 >= rlocds_id_1")
     if scope == "between_fams":
         pairs = pairs.where("gene_family_id_1 <> gene_family_id_2")
@@ -50,11 +50,11 @@ def able_lineages(events: DataFrame, n: int, min_joint: float) -> DataFrame:
     return events.withColumn("_sum", F.sum("freq").over(Window.partitionBy("rlocds_id"))).where(F.col("_sum") >= min_joint * n).drop("_sum")
 
 
-def coevolution_scores(events: DataFrame, n: int, families: DataFrame | None = None, scope: str = "between_fams", min_joint: float = 1.0, blocks: int = 1) -> DataFrame:
+def coevolution_scores(events: DataFrame, n: int, families: DataFrame | None = None, scope: str = "between_fams", min_joint: float = 1.0, block: int = 2000) -> DataFrame:
     """rlocds_id_1, rlocds_id_2, score = sum(freq_1 * freq_2) / n², of pairs that reach `min_joint`.
 
     Products are summed as integers and divided once, so that the score doesn't depend on the order of rows.
     """
-    matches = lineage_matches(able_lineages(events, n, min_joint), families, scope, blocks)
+    matches = lineage_matches(able_lineages(events, n, min_joint), families, scope, block)
     joint = matches.groupBy("rlocds_id_1", "rlocds_id_2").agg(F.sum(F.col("freq_1").cast("long") * F.col("freq_2").cast("long")).alias("_joint"))
     return joint.where(F.col("_joint") >= min_joint * n * n).select("rlocds_id_1", "rlocds_id_2", (F.col("_joint") / F.lit(float(n * n))).alias("score"))

@@ -73,7 +73,7 @@ def e7_contrasts(s, d):
 
 def c22_aliased_matches(s, d):
     events = view(s, d, "species_tree_events").select(F.col("event_id").alias("id"), "event_type", F.col("don_branch_id").alias("don"), F.col("rec_branch_id").alias("rec"))
-    aliases = view(s, d, "clade_members").where("side = 'clade'").select((F.col("genome") + 25).alias("place"), F.concat(F.lit("P"), F.col("clade").cast("string")).alias("population"))
+    aliases = view(s, d, "populations").select(F.col("node").alias("place"), F.concat(F.lit("P"), F.col("clade").cast("string")).alias("population"))
     return ops.matches_with_aliases(events, events, aliases)
 
 
@@ -98,11 +98,10 @@ def j4_branch_ages(s, d):
 
 
 def j7_translated_events(s, d):
-    """Branches of regions (named by their number) become the last common ancestors of their nations' leaves."""
+    """Branches of populations (named by their number) become the last common ancestors of their suppliers' leaves."""
     _, paths = _tree(s, d)
-    leaves = view(s, d, "clade_members").where("side = 'clade'").select(F.col("clade").alias("branch"), (F.col("genome") + 25).alias("node"))
-    lines = table(s, d, "lineitem").join(table(s, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    events = lines.select(F.col("l_orderkey").alias("lineage"), F.col("l_linenumber").alias("sample"), F.lit("T").alias("event_type"), (F.col("s_nationkey") % 5).alias("don"), (F.col("l_partkey") % 5).alias("rec"))
+    leaves = view(s, d, "populations").select(F.col("clade").alias("branch"), "node")
+    events = table(s, d, "lineitem").select(F.col("l_orderkey").alias("lineage"), F.col("l_linenumber").alias("sample"), F.lit("T").alias("event_type"), F.floor(F.col("l_suppkey") / 7).alias("don"), (F.col("l_partkey") % 5).alias("rec"))
     return trees.translate_events(events, leaves, paths)
 
 
@@ -121,7 +120,7 @@ def _full_sql(value, pairs):
 
 QUERIES = {
     "c14_annotate_pairs": (lambda s, d: ops.annotate_pairs(d15_coevolution_scores(s, d), view(s, d, "assemblies").select(F.col("assembly_id").alias("rlocds_id"), "species", "taxid"), "rlocds_id_1", "rlocds_id_2", "rlocds_id"), oracle(f"WITH p AS ({D15_SQL}) SELECT p.*, x.species AS species_1, x.taxid AS taxid_1, y.species AS species_2, y.taxid AS taxid_2 FROM p LEFT JOIN assemblies x ON x.assembly_id = rlocds_id_1 LEFT JOIN assemblies y ON y.assembly_id = rlocds_id_2")),
-    "c22_aliased_matches": (c22_aliased_matches, oracle("""WITH al AS (SELECT CAST(genome + 25 AS VARCHAR) AS place, concat('P', CAST(clade AS VARCHAR)) AS population FROM clade_members WHERE side = 'clade'),
+    "c22_aliased_matches": (c22_aliased_matches, oracle("""WITH al AS (SELECT CAST(node AS VARCHAR) AS place, concat('P', CAST(clade AS VARCHAR)) AS population FROM populations),
 x AS (SELECT event_id AS id, event_type, coalesce(CAST(don_branch_id AS VARCHAR), '') AS don, CAST(rec_branch_id AS VARCHAR) AS rec FROM species_tree_events),
 d AS (SELECT id, event_type, don AS d, rec FROM x UNION SELECT id, event_type, population, rec FROM x JOIN al ON place = don),
 r AS (SELECT id, event_type, d, rec AS r FROM d UNION SELECT id, event_type, d, population FROM d JOIN al ON place = rec), m AS (SELECT event_type, d, r, min(id) AS id_2 FROM r GROUP BY ALL)
@@ -155,7 +154,7 @@ lf AS (SELECT ancestor AS top, t.branch_name AS member FROM paths p JOIN tips US
 SELECT clade, 'clade' AS side, member FROM own UNION ALL SELECT c.clade, 'sister', member FROM c JOIN species_tree s ON s.parent_branch_id = c.p AND s.branch_id <> c.clade JOIN lf ON top = s.branch_id
 UNION ALL SELECT g.clade, 'background', member FROM g JOIN lf ON top = background WHERE r = 1 AND NOT EXISTS (SELECT 1 FROM own o WHERE o.clade = g.clade AND o.member = lf.member)""")),
     "j4_branch_ages": (j4_branch_ages, oracle(PATHS + ", d AS (SELECT node, sum(CASE WHEN ancestor = 1 THEN 0 ELSE ancestor % 7 + 0.5 END)::DOUBLE AS d FROM paths GROUP BY 1) SELECT node AS branch_id, round(2.0 * (1 - d / (SELECT max(d) FROM d)), 9)::DOUBLE AS age FROM d")),
-    "j7_translated_events": (j7_translated_events, oracle(PATHS + """, m AS (SELECT clade, genome + 25 AS node, count(*) OVER (PARTITION BY clade) AS n FROM clade_members WHERE side = 'clade'),
+    "j7_translated_events": (j7_translated_events, oracle(PATHS + """, m AS (SELECT clade, node, count(*) OVER (PARTITION BY clade) AS n FROM populations),
 a AS (SELECT clade, ancestor, sum(distance) AS d FROM m JOIN paths USING (node) GROUP BY clade, ancestor, n HAVING count(*) = n), mrca AS (SELECT clade, arg_min(ancestor, d) AS b FROM a GROUP BY 1)
-SELECT DISTINCT l_orderkey AS lineage, l_linenumber AS sample, 'T' AS event_type, x.b AS don, y.b AS rec FROM lineitem JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN mrca x ON x.clade = s_nationkey % 5 LEFT JOIN mrca y ON y.clade = l_partkey % 5 WHERE x.b IS NULL OR y.b IS NULL OR x.b <> y.b""")),
+SELECT DISTINCT l_orderkey AS lineage, l_linenumber AS sample, 'T' AS event_type, x.b AS don, y.b AS rec FROM lineitem LEFT JOIN mrca x ON x.clade = floor(l_suppkey / 7) LEFT JOIN mrca y ON y.clade = l_partkey % 5 WHERE x.b IS NULL OR y.b IS NULL OR x.b <> y.b""")),
 }

@@ -60,11 +60,11 @@ QUERIES = {
     "d10_missing_markers": (lambda s, d: ops.missing_markers(_by_genome(s, d), ops.unicopy_presence(_by_genome(s, d)).where("present >= 25"), view(s, d, "assemblies").select(F.col("assembly_id").alias("genome"))), oracle(f"WITH {UNICOPY}, f AS (SELECT gene_family_id FROM u WHERE present >= 25) SELECT assembly_id AS genome, (SELECT count(*) FROM f) - count(h.genome) AS n_missing FROM assemblies LEFT JOIN (SELECT genome FROM n JOIN f USING (gene_family_id)) h ON h.genome = assembly_id GROUP BY 1")),
     "f7_family_bands": (lambda s, d: ops.family_bands(ops.family_sizes(_genomes(s, d)), [(4, 24), (25, 34), (35, None)]), oracle(f"WITH g AS ({GENOMES}), z AS (SELECT gene_family_id, count(*) AS size, count(DISTINCT assembly_id) AS genome_present FROM g WHERE gene_family_id IS NOT NULL GROUP BY 1) SELECT *, CASE WHEN size < 25 THEN 1 WHEN size < 35 THEN 2 ELSE 3 END AS band FROM z WHERE size >= 4")),
     "b20_pangenome_class": (lambda s, d: ops.pangenome_class(ops.family_sizes(_genomes(s, d))), oracle(f"WITH g AS ({GENOMES}), z AS (SELECT gene_family_id, count(*) AS size, count(DISTINCT assembly_id) AS genome_present FROM g WHERE gene_family_id IS NOT NULL GROUP BY 1) SELECT *, CASE WHEN genome_present >= 0.98 * max(genome_present) OVER () THEN 'core' ELSE 'accessory' END AS pangenome, CASE WHEN (size - genome_present) / genome_present <= 0.10 THEN 'single-copy' ELSE 'multi-copy' END AS copies FROM z")),
-    "h1_jaccard": (lambda s, d: ops.jaccard_distances(_by_taxon(s, d).where("n >= 2")), oracle(f"WITH {BY_TAXON}, p AS (SELECT * FROM n WHERE n >= 2), z AS (SELECT genome, count(*) AS c FROM p GROUP BY 1), k AS (SELECT a.genome AS genome_1, b.genome AS genome_2, count(*) AS k FROM p a JOIN p b ON a.gene_family_id = b.gene_family_id AND a.genome < b.genome GROUP BY 1, 2) SELECT genome_1, genome_2, round(1 - k / (x.c + y.c - k), 9) AS distance FROM k JOIN z x ON x.genome = genome_1 JOIN z y ON y.genome = genome_2")),
+    "h1_jaccard": (lambda s, d: ops.jaccard_distances(_by_taxon(s, d)), oracle(f"WITH {BY_TAXON}, p AS (SELECT * FROM n), z AS (SELECT genome, count(*) AS c FROM p GROUP BY 1), k AS (SELECT a.genome AS genome_1, b.genome AS genome_2, count(*) AS k FROM p a JOIN p b ON a.gene_family_id = b.gene_family_id AND a.genome < b.genome GROUP BY 1, 2) SELECT genome_1, genome_2, round(1 - k / (x.c + y.c - k), 9) AS distance FROM k JOIN z x ON x.genome = genome_1 JOIN z y ON y.genome = genome_2")),
     "h2_bray_curtis": (lambda s, d: ops.bray_curtis(_by_taxon(s, d)), oracle(f"WITH {BY_TAXON}, z AS (SELECT genome, sum(n) AS c FROM n GROUP BY 1), k AS (SELECT a.genome AS genome_1, b.genome AS genome_2, sum(least(a.n, b.n)) AS k FROM n a JOIN n b ON a.gene_family_id = b.gene_family_id AND a.genome < b.genome GROUP BY 1, 2) SELECT genome_1, genome_2, round(1 - 2 * k / (x.c + y.c), 9) AS distance FROM k JOIN z x ON x.genome = genome_1 JOIN z y ON y.genome = genome_2")),
     "e1_specific_presence": (lambda s, d: ops.specific_presence(_by_taxon(s, d), view(s, d, "clade_members"), 0.4), oracle(f"WITH {SIDES} SELECT clade, gene_family_id, has_in, has_out FROM s WHERE n_in - has_in <= round_even(n_in * 0.4, 0) AND has_out <= round_even(n_out * 0.4, 0)")),
     "e2_specific_absence": (lambda s, d: ops.specific_absence(_by_taxon(s, d), view(s, d, "clade_members"), 0.4), oracle(f"WITH {SIDES} SELECT clade, gene_family_id, has_in, has_out FROM s WHERE has_in <= round_even(n_in * 0.4, 0) AND n_out - has_out <= round_even(n_out * 0.4, 0)")),
-    "e3_reference_genomes": (lambda s, d: ops.reference_genomes(view(s, d, "clade_members"), [7, 12, 3]), oracle("SELECT clade, arg_min(genome, CASE genome WHEN 7 THEN 1 WHEN 12 THEN 2 WHEN 3 THEN 3 ELSE 4 + genome END) AS genome FROM clade_members WHERE side = 'clade' GROUP BY 1")),
+    "e3_reference_genomes": (lambda s, d: ops.reference_genomes(view(s, d, "populations"), [7, 12, 3]), oracle("SELECT clade, arg_min(genome, CASE genome WHEN 7 THEN 1 WHEN 12 THEN 2 WHEN 3 THEN 3 ELSE 4 + genome END) AS genome FROM populations GROUP BY 1")),
     "e6_breaches": (lambda s, d: ops.breaches(_by_taxon(s, d), view(s, d, "clade_members"), ops.specific_presence(_by_taxon(s, d), view(s, d, "clade_members"), 0.4).select("clade", "gene_family_id")), oracle(f"WITH {SIDES}, p AS (SELECT clade, gene_family_id FROM s WHERE n_in - has_in <= round_even(n_in * 0.4, 0) AND has_out <= round_even(n_out * 0.4, 0)) SELECT clade, gene_family_id, string_agg(DISTINCT CAST(genome AS VARCHAR), ',' ORDER BY CAST(genome AS VARCHAR)) AS genomes FROM p JOIN n USING (gene_family_id) JOIN clade_members c USING (clade, genome) WHERE c.side = 'contrast' GROUP BY 1, 2")),
     "d17_annotation_lines": (lambda s, d: ops.annotation_lines(view(s, d, "functional_annotations"), view(s, d, "interpro2go")), oracle("SELECT nr_protein_id, string_agg(DISTINCT go_id, '|' ORDER BY go_id) AS go_terms FROM functional_annotations JOIN interpro2go USING (interpro_id) GROUP BY 1")),
     "d28_enrichment": (lambda s, d: ops.enrichment(view(s, d, "coding_sequences").where("gene_family_id IS NOT NULL AND l_quantity >= 45").select((F.col("l_suppkey") % 5).alias("study"), F.col("gene_family_id").alias("gene")), view(s, d, "proteins").select(F.col("nr_protein_id").alias("gene"), F.col("protein_family_id").alias("term"))), oracle("""WITH pop AS (SELECT nr_protein_id AS gene, protein_family_id AS term FROM proteins), st AS (SELECT DISTINCT l_suppkey % 5 AS study, gene_family_id AS gene FROM coding_sequences WHERE gene_family_id IS NOT NULL AND l_quantity >= 45),

@@ -65,7 +65,7 @@ def e5_specific_details(s, d):
 
 QUERIES = {
     "c9_events_with_branches": (lambda s, d: _events(s, d).select("event_id", "event_type", "don_branch", "rec_branch"), oracle(f"WITH {EV} SELECT event_id, event_type, don_branch, rec_branch FROM ev")),
-    "c10_events_excluding": (lambda s, d: ops.events_excluding(view(s, d, "species_tree_events"), view(s, d, "species_tree"), ["N1", "N2", "FRANCE"]).select("event_id", "rec_branch"), oracle(f"WITH {EV} SELECT event_id, rec_branch FROM ev WHERE rec_branch NOT IN ('N1', 'N2', 'FRANCE')")),
+    "c10_events_excluding": (lambda s, d: ops.events_excluding(view(s, d, "species_tree_events"), view(s, d, "species_tree"), ["N1", "N2", "Supplier#000000003"]).select("event_id", "rec_branch"), oracle(f"WITH {EV} SELECT event_id, rec_branch FROM ev WHERE rec_branch NOT IN ('N1', 'N2', 'Supplier#000000003')")),
     "d11_event_density": (_density, oracle(f"WITH {DENSITY} SELECT * FROM dens")),
     "d12_event_density_by_recipient": (lambda s, d: ops.event_density_by(_density(s, d), "rec"), oracle(f"WITH {DENSITY} SELECT event_type, rec_branch, CAST(sum(n_lineages) AS BIGINT) AS n_lineages, round(sum(cum_freq), 6) AS cum_freq FROM dens GROUP BY 1, 2")),
     "d12_event_density_by_donor": (lambda s, d: ops.event_density_by(_density(s, d), "don"), oracle(f"WITH {DENSITY} SELECT event_type, don_branch, CAST(sum(n_lineages) AS BIGINT) AS n_lineages, round(sum(cum_freq), 6) AS cum_freq FROM dens WHERE don_branch IS NOT NULL GROUP BY 1, 2")),
@@ -83,9 +83,9 @@ SELECT fam1, og1, fam2, og2, any_value(n_links) AS n_links, count(*) AS n_best,
     "h3_score_distance_fit": (lambda s, d: ops.score_distance_fit(_same(s, d)), oracle(f"WITH {SAME} SELECT replicon, count(*) AS n, round(regr_slope(score, distance), 9) AS slope, round(regr_intercept(score, distance), 9) AS intercept FROM same GROUP BY 1")),
     "d18_lineage_annotation": (lambda s, d: ops.lineage_annotation(_named(s, d), "assembly_id"), oracle(f"WITH g AS ({GENOMES}) SELECT assembly_id, max(product) AS product, count(*) AS n_genes, count(DISTINCT assembly_id) AS n_genomes, count(*) FILTER (replicon_type = 'chromosome') AS n_chromosome, count(*) FILTER (replicon_type = 'plasmid') AS n_plasmid, CASE WHEN count(DISTINCT replicon_type) = 2 THEN 'both' ELSE max(replicon_type) END AS replicons FROM g JOIN proteins USING (nr_protein_id) GROUP BY 1")),
     "d19_family_annotation": (lambda s, d: ops.lineage_annotation(_named(s, d), "gene_family_id").where("gene_family_id IS NOT NULL"), oracle(f"WITH g AS ({GENOMES}) SELECT gene_family_id, max(product) AS product, count(*) AS n_genes, count(DISTINCT assembly_id) AS n_genomes, count(*) FILTER (replicon_type = 'chromosome') AS n_chromosome, count(*) FILTER (replicon_type = 'plasmid') AS n_plasmid, CASE WHEN count(DISTINCT replicon_type) = 2 THEN 'both' ELSE max(replicon_type) END AS replicons FROM g JOIN proteins USING (nr_protein_id) WHERE gene_family_id IS NOT NULL GROUP BY 1")),
-    "f2_adjacent_genes": (lambda s, d: ops.adjacent_genes(view(s, d, "ordered_genes").where("event <> 'click'"), 2), oracle("SELECT * FROM (SELECT replicon, gene_rank AS gene_1, lead(gene_rank) OVER (PARTITION BY replicon ORDER BY gene_rank) AS gene_2 FROM ordered_genes WHERE event <> 'click') WHERE gene_2 - gene_1 <= 2")),
+    "f2_adjacent_genes": (lambda s, d: ops.adjacent_genes(view(s, d, "ordered_genes").withColumn("replicon", F.concat_ws("/", "replicon", "event")), 2), oracle("SELECT * FROM (SELECT concat(replicon, '/', event) AS replicon, gene_rank AS gene_1, lead(gene_rank) OVER (PARTITION BY replicon, event ORDER BY gene_rank) AS gene_2 FROM ordered_genes) WHERE gene_2 - gene_1 <= 2")),
     "f3_event_blocks": (lambda s, d: ops.event_blocks(view(s, d, "ordered_genes"), 2), oracle("WITH l AS (SELECT *, coalesce(gene_rank - lag(gene_rank) OVER (PARTITION BY replicon, event ORDER BY gene_rank) > 3, false) AS begins FROM ordered_genes), b AS (SELECT *, sum(begins::INT) OVER (PARTITION BY replicon, event ORDER BY gene_rank) AS block FROM l) SELECT replicon, event, min(gene_rank) AS first_gene, max(gene_rank) AS last_gene, count(*) AS n_genes, round(sum(freq), 6) AS sum_freq, min(freq) AS min_freq, max(freq) AS max_freq, round(avg(freq), 6) AS mean_freq, round(median(freq), 6) AS median_freq FROM b GROUP BY replicon, event, block")),
     "d25_core_background": (lambda s, d: ops.core_background(counting.cds_codes(_genomes(s, d)), _go(s, d), 29), oracle(f"WITH g AS ({GENOMES}), {GO}, c AS (SELECT gene_family_id, min(code || '_' || cds_no) AS cds_code FROM g WHERE gene_family_id IS NOT NULL GROUP BY 1 HAVING count(*) = 29 AND count(DISTINCT assembly_id) = 29) SELECT DISTINCT gene_family_id, cds_code, go_id FROM c JOIN go ON nr_protein_id = gene_family_id")),
-    "d27_pan_background": (lambda s, d: ops.pan_background(_genomes(s, d), _go(s, d).where("go_id NOT LIKE '%e%'"), view(s, d, "clade_members")), oracle(f"WITH {BY_TAXON}, {GO} SELECT DISTINCT clade, gene_family_id, go_id FROM n JOIN clade_members USING (genome) LEFT JOIN go ON nr_protein_id = gene_family_id AND go_id NOT LIKE '%e%' WHERE side = 'clade'")),
+    "d27_pan_background": (lambda s, d: ops.pan_background(_genomes(s, d), _go(s, d), view(s, d, "clade_members")), oracle(f"WITH {BY_TAXON}, {GO} SELECT DISTINCT clade, gene_family_id, go_id FROM n JOIN clade_members USING (genome) LEFT JOIN go ON nr_protein_id = gene_family_id WHERE side = 'clade'")),
     "e5_specific_details": (e5_specific_details, oracle(f"WITH {SIDES}, {GO} SELECT DISTINCT clade, gene_family_id, product, go_id FROM s LEFT JOIN proteins p ON p.nr_protein_id = gene_family_id LEFT JOIN go ON go.nr_protein_id = gene_family_id WHERE n_in - has_in <= round_even(n_in * 0.4, 0) AND has_out <= round_even(n_out * 0.4, 0)")),
 }

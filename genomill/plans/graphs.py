@@ -13,7 +13,6 @@ ROUNDS = 3
 FREQ = "f AS (SELECT family, a, b, count(*) AS freq FROM (SELECT x.family, x.gene AS a, y.gene AS b FROM og_samples x JOIN og_samples y ON x.family = y.family AND x.sample = y.sample AND x.og = y.og AND x.gene < y.gene UNION ALL SELECT family, min(gene), min(gene) FROM og_samples GROUP BY family, sample, og HAVING count(*) = 1) GROUP BY 1, 2, 3)"
 GRAPH = f"e AS (SELECT rlocds_id_1 AS a, rlocds_id_2 AS b, score AS weight FROM ({D15_SQL})), u AS (SELECT a, b, weight FROM e UNION ALL SELECT b, a, weight FROM e), l0 AS (SELECT DISTINCT a AS node, a AS community FROM u)"
 LABELS = GRAPH + "".join(f", w{i} AS (SELECT a, community, round(sum(weight), 6) AS w FROM u JOIN l{i} ON node = b GROUP BY 1, 2), l{i + 1} AS (SELECT a AS node, community FROM w{i} QUALIFY row_number() OVER (PARTITION BY a ORDER BY w DESC, community) = 1)" for i in range(ROUNDS)) + f", inside AS (SELECT x.community, a, b, weight FROM e JOIN l{ROUNDS} x ON x.node = a JOIN l{ROUNDS} y ON y.node = b AND x.community = y.community)"
-ALIGNED = "aligned AS (SELECT family, genome, md5(max(seq)) AS seq FROM sequences WHERE family IS NOT NULL AND genome IS NOT NULL GROUP BY 1, 2)"
 CLUSTERS = "c AS (SELECT family || '/' || genome || '/' || CAST(length(seq) AS VARCHAR) AS cluster, seq_id AS member FROM sequences WHERE seq IS NOT NULL AND family IS NOT NULL AND genome IS NOT NULL)"
 
 
@@ -29,10 +28,6 @@ def _communities(s, d):
     return ops.label_propagation(_graph(s, d), ROUNDS)
 
 
-def _aligned(s, d):
-    return view(s, d, "sequences").where("family IS NOT NULL AND genome IS NOT NULL").groupBy("family", "genome").agg(F.md5(F.max("seq")).alias("seq"))
-
-
 def _clusters(s, d):
     return view(s, d, "sequences").where("seq IS NOT NULL AND family IS NOT NULL AND genome IS NOT NULL").select(F.concat_ws("/", "family", "genome", F.length("seq").cast("string")).alias("cluster"), F.col("seq_id").alias("member"))
 
@@ -61,8 +56,8 @@ QUERIES = {
     "f8_representatives": (lambda s, d: seqs.representatives(view(s, d, "sequences"), "genome", view(s, d, "sequences").where("length(seq) > 5000").select("seq_id")), oracle("SELECT genome, arg_min(seq_id, {'a': CASE WHEN length(seq) > 5000 THEN 0 ELSE 1 END, 'b': seq_id}) AS representative FROM sequences GROUP BY 1")),
     "f1_family_ids": (lambda s, d: seqs.assign_family_ids(_clusters(s, d), "FAM", 6), oracle(f"WITH {CLUSTERS}, z AS (SELECT cluster, row_number() OVER (ORDER BY cluster) AS no FROM (SELECT cluster FROM c GROUP BY 1 HAVING count(*) > 1)) SELECT cluster, member, 'FAM' || lpad(CAST(coalesce(no, 0) AS VARCHAR), 6, '0') AS family_id FROM c LEFT JOIN z USING (cluster)")),
     "k5_carry_over_ids": (lambda s, d: seqs.carry_over_ids(_clusters(s, d), view(s, d, "sequences").where("length(seq) > 2000").select(F.col("seq_id").alias("member"), (F.length("seq") % 97).alias("family_no"))), oracle(f"WITH {CLUSTERS}, p AS (SELECT seq_id AS member, length(seq) % 97 AS family_no FROM sequences WHERE length(seq) > 2000), m AS (SELECT cluster, min(family_no) AS lo, max(family_no) AS hi FROM c LEFT JOIN p USING (member) GROUP BY 1) SELECT cluster, CASE WHEN lo = hi THEN lo END AS family_no, lo <> hi AS conflict FROM m WHERE lo IS NOT NULL UNION ALL SELECT cluster, row_number() OVER (ORDER BY cluster) + (SELECT coalesce(max(family_no), 0) FROM p), false FROM m WHERE lo IS NULL")),
-    "k8_concat_alignments": (lambda s, d: seqs.concat_alignments(_aligned(s, d), _aligned(s, d)), oracle(f"WITH {ALIGNED}, g AS (SELECT DISTINCT genome FROM aligned), w AS (SELECT family, max(length(seq)) AS w FROM aligned GROUP BY 1) SELECT genome, string_agg(rpad(coalesce(seq, ''), w::INT, '-'), '' ORDER BY family) AS seq FROM g CROSS JOIN w LEFT JOIN aligned USING (family, genome) GROUP BY 1")),
-    "k9_variable_sites": (lambda s, d: seqs.variable_sites(_aligned(s, d)), oracle(f"WITH {ALIGNED}, x AS (SELECT family, genome, i, substr(seq, i::INT, 1) AS base FROM aligned, generate_series(1, 32) t(i)), v AS (SELECT family, i FROM x GROUP BY 1, 2 HAVING count(DISTINCT base) > 1) SELECT family, genome, string_agg(base, '' ORDER BY i) AS seq FROM x JOIN v USING (family, i) GROUP BY 1, 2")),
-    "d30_base_frequencies": (lambda s, d: seqs.base_frequencies(_aligned(s, d)), oracle(f"WITH {ALIGNED} SELECT family, base, count(*) AS n FROM (SELECT family, unnest(string_split(seq, '')) AS base FROM aligned) GROUP BY 1, 2")),
+    "k8_concat_alignments": (lambda s, d: seqs.concat_alignments(view(s, d, "alignments"), view(s, d, "alignments")), oracle("WITH g AS (SELECT DISTINCT genome FROM alignments), w AS (SELECT family, max(length(seq)) AS w FROM alignments GROUP BY 1) SELECT genome, string_agg(rpad(coalesce(seq, ''), w::INT, '-'), '' ORDER BY family) AS seq FROM g CROSS JOIN w LEFT JOIN alignments USING (family, genome) GROUP BY 1")),
+    "k9_variable_sites": (lambda s, d: seqs.variable_sites(view(s, d, "alignments")), oracle("WITH x AS (SELECT family, genome, i, substr(seq, i, 1) AS base FROM (SELECT *, unnest(generate_series(1, length(seq))) AS i FROM alignments)), v AS (SELECT family, i FROM x GROUP BY 1, 2 HAVING count(DISTINCT base) > 1) SELECT family, genome, string_agg(base, '' ORDER BY i) AS seq FROM x JOIN v USING (family, i) GROUP BY 1, 2")),
+    "d30_base_frequencies": (lambda s, d: seqs.base_frequencies(view(s, d, "alignments")), oracle("SELECT family, base, count(*) AS n FROM (SELECT family, unnest(string_split(seq, '')) AS base FROM alignments) GROUP BY 1, 2")),
     "d31_describe": (lambda s, d: seqs.describe(view(s, d, "sequences").withColumn("n_chars", F.length("seq")), "genome", "n_chars"), oracle("SELECT genome, count(seq) AS n, round(avg(length(seq)), 6) AS mean, round(median(length(seq)), 6) AS median, round(quantile_cont(length(seq), 0.25), 6) AS q25, round(quantile_cont(length(seq), 0.75), 6) AS q75, round(var_samp(length(seq)), 3) AS variance FROM sequences GROUP BY 1")),
 }

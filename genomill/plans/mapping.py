@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from genomill.operators import mapping as ops
 from genomill.operators import trees
-from genomill.plans.counting import BY_TAXON, GENOMES, _by_taxon, _genomes
+from genomill.operators import counting
+from genomill.plans.counting import GENOMES, _genomes
 from genomill.plans.trees import PATHS, _tree
 from genomill.plans.views import oracle, view
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 LABELS = "cds AS (SELECT code AS cds_code, code AS label, taxid AS gene_family_id, species AS clade FROM assemblies), rep AS (SELECT DISTINCT gene_family_id, clade AS clade_or_cds, gene_family_id || '-' || clade AS label FROM cds WHERE clade IN ('BUILDING', 'MACHINERY') UNION ALL SELECT gene_family_id, cds_code, 'R' || cds_code FROM cds WHERE clade = 'HOUSEHOLD'), ev AS (SELECT DISTINCT code AS label FROM assemblies JOIN gene_lineage_events ON rlocds_id = assembly_id WHERE freq >= 90 UNION ALL SELECT label FROM rep)"
-OCCURRENCE = f"{BY_TAXON}, pops AS (SELECT clade AS population, genome FROM clade_members WHERE side = 'clade'), grid AS (SELECT f.gene_family_id AS clade, p.population, p.genome, coalesce(n, 0) AS n FROM (SELECT DISTINCT gene_family_id, population FROM n JOIN pops USING (genome)) f JOIN pops p USING (population) LEFT JOIN n ON n.gene_family_id = f.gene_family_id AND n.genome = p.genome), occ AS (SELECT clade, population, count(*) AS census, round(sum(n) / count(*), 9) AS mean, median(n)::DOUBLE AS median FROM grid GROUP BY 1, 2)"
+OCCURRENCE = "n AS (SELECT gene_family_id, l_suppkey AS genome, count(*) AS n FROM coding_sequences WHERE gene_family_id IS NOT NULL GROUP BY 1, 2), pops AS (SELECT clade AS population, genome, node FROM populations), grid AS (SELECT f.gene_family_id AS clade, p.population, p.genome, coalesce(n, 0) AS n FROM (SELECT DISTINCT gene_family_id, population FROM n JOIN pops USING (genome)) f JOIN pops p USING (population) LEFT JOIN n ON n.gene_family_id = f.gene_family_id AND n.genome = p.genome), occ AS (SELECT clade, population, count(*) AS census, round(sum(n) / count(*), 9) AS mean, median(n)::DOUBLE AS median FROM grid GROUP BY 1, 2)"
 
 
 def _labels(s, d):
@@ -34,13 +35,13 @@ def c12_label_to_cds(s, d):
 
 
 def _occurrence(s, d):
-    populations = view(s, d, "clade_members").where("side = 'clade'").select(F.col("clade").alias("population"), "genome")
-    return ops.population_occurrence(_by_taxon(s, d).withColumnRenamed("gene_family_id", "clade"), populations)
+    populations = view(s, d, "populations").select(F.col("clade").alias("population"), "genome")
+    return ops.population_occurrence(counting.gene_counts(view(s, d, "coding_sequences"), "l_suppkey").withColumnRenamed("gene_family_id", "clade"), populations)
 
 
 def f6_ancestral_population(s, d):
     nodes, paths = _tree(s, d)
-    members = view(s, d, "clade_members").where("side = 'clade'").select(F.col("clade").alias("population"), (F.col("genome") + 25).alias("node"))
+    members = view(s, d, "populations").select(F.col("clade").alias("population"), "node")
     mrca = trees.common_ancestors(members, paths, "population").withColumnRenamed("mrca", "node")
     return ops.ancestral_population(_occurrence(s, d), mrca.join(trees.depths(paths), "node").select("population", "depth"))
 
@@ -59,13 +60,13 @@ def k6_cds_families(s, d):
 QUERIES = {
     "c11_label_to_family": (c11_label_to_family, oracle(f"WITH {LABELS}, x AS (SELECT label, gene_family_id FROM cds UNION SELECT label, gene_family_id FROM rep) SELECT label, gene_family_id, row_number() OVER (ORDER BY label, gene_family_id) AS label_no FROM x WHERE label IN (SELECT label FROM ev)")),
     "c12_label_to_cds": (c12_label_to_cds, oracle(f"WITH {LABELS}, x AS (SELECT label, cds_code FROM cds UNION SELECT rep.label, cds_code FROM rep JOIN cds ON cds_code = clade_or_cds UNION SELECT rep.label, cds_code FROM rep JOIN cds ON clade = clade_or_cds AND cds.gene_family_id = rep.gene_family_id) SELECT * FROM x WHERE label IN (SELECT label FROM ev)")),
-    "c19_translate_ids": (lambda s, d: ops.translate_ids(view(s, d, "replicons").select("genomic_accession", F.col("assembly_id").cast("string").alias("name")), view(s, d, "assemblies").where("species <> 'BUILDING'").select(F.col("assembly_id").cast("string").alias("old"), F.col("code").alias("new")), "name"), oracle("SELECT genomic_accession, code AS name FROM replicons JOIN assemblies USING (assembly_id) WHERE species <> 'BUILDING'")),
+    "c19_translate_ids": (lambda s, d: ops.translate_ids(view(s, d, "replicons").select("genomic_accession", F.col("assembly_id").cast("string").alias("name")), view(s, d, "assemblies").select(F.col("assembly_id").cast("string").alias("old"), F.col("code").alias("new")), "name"), oracle("SELECT genomic_accession, code AS name FROM replicons JOIN assemblies USING (assembly_id)")),
     "c20_to_representative": (lambda s, d: ops.to_representative(view(s, d, "coding_sequences").select("nr_protein_id"), _same_product(s, d), "nr_protein_id").groupBy("nr_protein_id").agg(F.count("*").alias("n")), oracle("WITH r AS (SELECT nr_protein_id, min(nr_protein_id) OVER (PARTITION BY product) AS r FROM proteins) SELECT r AS nr_protein_id, count(*) AS n FROM coding_sequences JOIN r USING (nr_protein_id) GROUP BY 1")),
     "c20_expand_members": (lambda s, d: ops.expand_members(view(s, d, "coding_sequences").groupBy("nr_protein_id").agg(F.count("*").alias("n")), _same_product(s, d), "nr_protein_id"), oracle("WITH r AS (SELECT nr_protein_id, min(nr_protein_id) OVER (PARTITION BY product) AS r FROM proteins), c AS (SELECT nr_protein_id, count(*) AS n FROM coding_sequences GROUP BY 1) SELECT r.nr_protein_id, n FROM c JOIN r ON r.r = c.nr_protein_id")),
     "d20_member_annotation": (d20_member_annotation, oracle(f"WITH g AS ({GENOMES}) SELECT DISTINCT o.gene_family_id, og_id, product FROM orthologous_groups o JOIN g ON g.assembly_id = rlocds_id JOIN proteins USING (nr_protein_id)")),
     "d21_clade_profiles": (lambda s, d: ops.clade_profiles(view(s, d, "assemblies").select(F.col("taxid").alias("clade"), "species"), SEGMENTS), oracle("SELECT taxid AS clade, " + ", ".join(f"count(*) FILTER (species = '{x}') AS \"{x}\"" for x in SEGMENTS) + " FROM assemblies GROUP BY 1")),
     "d22_population_occurrence": (_occurrence, oracle(f"WITH {OCCURRENCE} SELECT * FROM occ")),
-    "f6_ancestral_population": (f6_ancestral_population, oracle(f"{PATHS}, {OCCURRENCE}, a AS (SELECT population, ancestor, sum(distance) AS d FROM pops JOIN paths ON node = genome + 25 GROUP BY 1, 2 HAVING count(*) = (SELECT count(*) FROM pops p WHERE p.population = pops.population)), m AS (SELECT population, arg_min(ancestor, d) AS node FROM a GROUP BY 1), z AS (SELECT population, max(distance) AS depth FROM m JOIN paths USING (node) GROUP BY 1) SELECT clade, population FROM occ JOIN z USING (population) QUALIFY row_number() OVER (PARTITION BY clade ORDER BY median >= 0.5 AND census > 1 DESC, depth, census DESC, mean DESC, population) = 1")),
+    "f6_ancestral_population": (f6_ancestral_population, oracle(f"{PATHS}, {OCCURRENCE}, a AS (SELECT population, ancestor, sum(distance) AS d FROM pops JOIN paths USING (node) GROUP BY 1, 2 HAVING count(*) = (SELECT count(*) FROM pops p WHERE p.population = pops.population)), m AS (SELECT population, arg_min(ancestor, d) AS node FROM a GROUP BY 1), z AS (SELECT population, max(distance) AS depth FROM m JOIN paths USING (node) GROUP BY 1) SELECT clade, population FROM occ JOIN z USING (population) QUALIFY row_number() OVER (PARTITION BY clade ORDER BY median >= 0.5 AND census > 1 DESC, depth, census DESC, mean DESC, population) = 1")),
     "f9_name_populations": (lambda s, d: ops.name_populations(view(s, d, "assemblies").select(F.col("taxid").alias("population"), F.col("species").alias("label"))), oracle("WITH c AS (SELECT taxid AS population, substr(species, 1, 3) AS p, count(*) AS n FROM assemblies GROUP BY 1, 2), b AS (SELECT population, p FROM c QUALIFY row_number() OVER (PARTITION BY population ORDER BY n DESC, p) = 1) SELECT population, p || row_number() OVER (PARTITION BY p ORDER BY population) AS name FROM b")),
     "i10_pool_populations": (lambda s, d: ops.pool_populations(trees.tip_distances(*_tree(s, d)), 4), oracle(f"{PATHS}, e AS (SELECT a.node AS a, b.node AS b FROM paths a JOIN paths b USING (ancestor) WHERE a.node <> b.node AND a.node IN (SELECT node FROM tips) AND b.node IN (SELECT node FROM tips) GROUP BY 1, 2 HAVING min(a.distance + b.distance) <= 4), r AS (SELECT a AS node, a AS other FROM e UNION SELECT r.node, b FROM r JOIN e ON a = other), c AS (SELECT node, min(other) AS pool FROM r GROUP BY 1) SELECT pool, string_agg(node, ',' ORDER BY node) AS members FROM c GROUP BY 1")),
     "d29_og_report": (lambda s, d: ops.og_report(view(s, d, "lineage_families"), view(s, d, "orthologous_groups"), 1), oracle("SELECT count(*) AS n_lineages, count(og_id) AS n_in_groups, count(DISTINCT l.gene_family_id) AS n_families, count(DISTINCT o.gene_family_id) AS n_families_in_groups, count(DISTINCT o.gene_family_id || '-' || og_id) AS n_groups FROM lineage_families l LEFT JOIN orthologous_groups o USING (rlocds_id)")),

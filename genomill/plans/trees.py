@@ -33,24 +33,20 @@ def j6_event_lineages(s, d):
 
 
 def j10_population_nodes(s, d):
-    members = view(s, d, "clade_members").where("side = 'clade'").select("clade", (F.col("genome") + 25).alias("node"))
-    return ops.common_ancestors(members, _tree(s, d)[1], "clade")
+    return ops.common_ancestors(view(s, d, "populations").select("clade", "node"), _tree(s, d)[1], "clade")
 
 
 def j8_strict_groups(s, d):
     nodes, paths = _tree(s, d)
-    gains = nodes.where("branch_id % 5 < 2").select(F.col("branch_id").alias("node"), F.expr("CASE branch_id % 5 WHEN 0 THEN 'T' ELSE 'D' END").alias("event_type"))
-    return ops.strict_groups(nodes, paths, gains)
+    return ops.strict_groups(nodes, paths, view(s, d, "branch_gains"))
 
 
 def j9_unicopy_groups(s, d):
-    nodes, paths = _tree(s, d)
-    return ops.unicopy_groups(paths, nodes.where("is_tip").select(F.col("branch_id").alias("node"), (F.col("branch_id") % 7).alias("species")))
+    return ops.unicopy_groups(_tree(s, d)[1], view(s, d, "populations").select("node", "species"))
 
 
 def j12_select_clades(s, d):
-    nodes, paths = _tree(s, d)
-    return ops.select_clades(nodes.select(F.col("branch_id").alias("node"), (F.col("branch_id") * 7 % 10).alias("support")), paths, [("support", ">=", 4)], [("mean", "support", "<=", 5), ("max", "support", "<", 9)], 2)
+    return ops.select_clades(view(s, d, "branch_support"), _tree(s, d)[1], [("support", ">=", 4)], [("mean", "support", "<=", 5), ("max", "support", "<", 9)], 2)
 
 
 QUERIES = {
@@ -64,10 +60,10 @@ SELECT t.i * n + r + 1 AS event_id, t.x AS event_type, CAST(NULL AS INT) AS don_
 UNION ALL SELECT 4 * count(*) + 1, 'O', NULL, NULL FROM species_tree
 UNION ALL SELECT 4 * a.n + 2 + o.r * a.n + a.r, 'T', o.b, a.b FROM r a, r o WHERE o.r <> a.r UNION ALL SELECT 4 * n + 2 + n * n + r, 'T', NULL, b FROM r""")),
     "j6_event_lineages": (j6_event_lineages, oracle(PATHS + " SELECT DISTINCT p.node AS tip, event_id FROM paths p JOIN tips USING (node) JOIN species_tree_events e ON e.rec_branch_id = p.ancestor WHERE event_type <> 'S'")),
-    "j8_strict_groups": (j8_strict_groups, oracle(PATHS + """, u AS (SELECT p.*, row_number() OVER (PARTITION BY p.node ORDER BY distance) AS r FROM paths p JOIN tips USING (node) WHERE ancestor % 5 = 0 OR (ancestor % 5 = 1 AND distance > 0))
-SELECT t.node AS tip, u.ancestor AS gain_node, CASE WHEN u.ancestor % 5 = 1 THEN c.ancestor END AS child FROM tips t LEFT JOIN u ON u.node = t.node AND r = 1 LEFT JOIN paths c ON c.node = t.node AND c.distance = u.distance - 1""")),
-    "j9_unicopy_groups": (j9_unicopy_groups, oracle(PATHS + ", u AS (SELECT ancestor FROM paths JOIN tips USING (node) GROUP BY 1 HAVING count(*) = count(DISTINCT node % 7)) SELECT node AS tip, arg_max(ancestor, distance) AS og_node FROM paths JOIN tips USING (node) JOIN u USING (ancestor) GROUP BY 1")),
-    "j10_population_nodes": (j10_population_nodes, oracle(PATHS + ", m AS (SELECT clade, genome + 25 AS node, count(*) OVER (PARTITION BY clade) AS n_members FROM clade_members WHERE side = 'clade'), a AS (SELECT clade, n_members, ancestor, sum(distance) AS d FROM m JOIN paths USING (node) GROUP BY 1, 2, 3 HAVING count(*) = n_members) SELECT clade, n_members, arg_min(ancestor, d) AS mrca FROM a GROUP BY 1, 2")),
+    "j8_strict_groups": (j8_strict_groups, oracle(PATHS + """, u AS (SELECT p.*, event_type, row_number() OVER (PARTITION BY p.node ORDER BY distance) AS r FROM paths p JOIN tips USING (node) JOIN branch_gains g ON g.node = ancestor WHERE event_type = 'T' OR distance > 0)
+SELECT t.node AS tip, u.ancestor AS gain_node, CASE WHEN event_type = 'D' THEN c.ancestor END AS child FROM tips t LEFT JOIN u ON u.node = t.node AND r = 1 LEFT JOIN paths c ON c.node = t.node AND c.distance = u.distance - 1""")),
+    "j9_unicopy_groups": (j9_unicopy_groups, oracle(PATHS + ", u AS (SELECT ancestor FROM paths JOIN populations USING (node) GROUP BY 1 HAVING count(*) = count(DISTINCT species)) SELECT node AS tip, arg_max(ancestor, distance) AS og_node FROM paths JOIN tips USING (node) JOIN u USING (ancestor) GROUP BY 1")),
+    "j10_population_nodes": (j10_population_nodes, oracle(PATHS + ", m AS (SELECT clade, node, count(*) OVER (PARTITION BY clade) AS n_members FROM populations), a AS (SELECT clade, n_members, ancestor, sum(distance) AS d FROM m JOIN paths USING (node) GROUP BY 1, 2, 3 HAVING count(*) = n_members) SELECT clade, n_members, arg_min(ancestor, d) AS mrca FROM a GROUP BY 1, 2")),
     "j11_tip_distances": (lambda s, d: ops.tip_distances(*_tree(s, d)), oracle(PATHS + " SELECT a.node AS tip_1, b.node AS tip_2, min(a.distance + b.distance) AS distance FROM paths a JOIN paths b USING (ancestor) WHERE a.node < b.node AND a.node IN (SELECT node FROM tips) AND b.node IN (SELECT node FROM tips) GROUP BY 1, 2")),
-    "j12_select_clades": (j12_select_clades, oracle(PATHS + " SELECT ancestor AS node FROM paths WHERE distance BETWEEN 1 AND 2 AND ancestor * 7 % 10 >= 4 GROUP BY 1 HAVING avg(node * 7 % 10) <= 5 AND max(node * 7 % 10) < 9")),
+    "j12_select_clades": (j12_select_clades, oracle(PATHS + " SELECT ancestor AS node FROM paths p JOIN branch_support b ON b.node = ancestor JOIN branch_support w ON w.node = p.node WHERE distance BETWEEN 1 AND 2 AND b.support >= 4 GROUP BY 1 HAVING avg(w.support) <= 5 AND max(w.support) < 9")),
 }

@@ -9,7 +9,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = "region nation customer supplier part orders lineitem events documents".split()
+TABLES = "region nation customer supplier part orders lineitem events documents conversations".split()
 
 VIEWS = {
     "assemblies": "SELECT c_custkey AS assembly_id, c_nationkey AS taxid, c_mktsegment AS species, concat('G', CAST(c_custkey AS VARCHAR(20))) AS code FROM customer",
@@ -20,13 +20,17 @@ VIEWS = {
     "interpro2go": "SELECT DISTINCT concat(p_brand, '/', p_type) AS interpro_id, p_name AS go_id FROM part",
     "gene_lineage_events": "SELECT o_custkey AS rlocds_id, l_partkey AS event_id, CAST(least(sum(l_quantity), 100) AS BIGINT) AS freq FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey",
     "lineage_families": "SELECT c_custkey AS rlocds_id, c_nationkey AS gene_family_id FROM customer",
-    "orthologous_groups": "SELECT c_custkey AS rlocds_id, c_nationkey AS gene_family_id, dense_rank() OVER (PARTITION BY c_nationkey ORDER BY c_mktsegment) AS og_id, 1 AS ortholog_col_id FROM customer WHERE c_custkey % 10 <> 0",
-    "species_tree": "SELECT CAST(n_nationkey + 25 AS INT) AS branch_id, CAST(floor((n_nationkey + 25) / 2) AS INT) AS parent_branch_id, n_name AS branch_name, true AS is_tip FROM nation UNION ALL SELECT CAST(n_nationkey AS INT), CASE WHEN n_nationkey = 1 THEN NULL ELSE CAST(floor(n_nationkey / 2) AS INT) END, concat('N', CAST(n_nationkey AS VARCHAR(20))), false FROM nation WHERE n_nationkey BETWEEN 1 AND 24",
-    "species_tree_events": "SELECT p_partkey AS event_id, substr('DTLSO', CAST(p_size % 5 + 1 AS INT), 1) AS event_type, CASE WHEN p_size % 5 = 1 THEN CAST(p_partkey % 49 + 1 AS INT) END AS don_branch_id, CAST(p_partkey * 7 % 49 + 1 AS INT) AS rec_branch_id FROM part",
+    "orthologous_groups": "SELECT c_custkey AS rlocds_id, c_nationkey AS gene_family_id, dense_rank() OVER (PARTITION BY c_nationkey ORDER BY c_mktsegment) AS og_id, 1 AS ortholog_col_id FROM customer WHERE c_acctbal >= 0",
+    "species_tree": "SELECT CAST(s_suppkey + n_tips AS INT) AS branch_id, CAST(floor((s_suppkey + n_tips) / 2) AS INT) AS parent_branch_id, s_name AS branch_name, true AS is_tip FROM supplier CROSS JOIN (SELECT count(*) AS n_tips FROM supplier) z UNION ALL SELECT CAST(s_suppkey AS INT), CASE WHEN s_suppkey = 1 THEN NULL ELSE CAST(floor(s_suppkey / 2) AS INT) END, concat('N', CAST(s_suppkey AS VARCHAR(20))), false FROM supplier WHERE s_suppkey > 0",
+    "species_tree_events": "SELECT p_partkey AS event_id, substr('DTLSO', CAST(p_size % 5 + 1 AS INT), 1) AS event_type, CASE WHEN p_size % 5 = 1 THEN CAST(p_partkey % (2 * n_tips - 1) + 1 AS INT) END AS don_branch_id, CAST(p_partkey * 7 % (2 * n_tips - 1) + 1 AS INT) AS rec_branch_id FROM part CROSS JOIN (SELECT count(*) AS n_tips FROM supplier) z",
+    "populations": "SELECT CAST(floor(s_suppkey / 7) AS BIGINT) AS clade, s_suppkey AS genome, s_suppkey + n_tips AS node, s_nationkey AS species, 'clade' AS side FROM supplier CROSS JOIN (SELECT count(*) AS n_tips FROM supplier) z",
+    "branch_gains": "SELECT s_suppkey AS node, CASE WHEN s_acctbal < 2000 THEN 'T' ELSE 'D' END AS event_type FROM supplier WHERE s_suppkey > 0 AND s_acctbal < 6000",
+    "branch_support": "SELECT s_suppkey + n_tips AS node, CAST(floor((s_acctbal + 1000) / 1100) AS INT) AS support FROM supplier CROSS JOIN (SELECT count(*) AS n_tips FROM supplier) z UNION ALL SELECT s_suppkey, CAST(floor((s_acctbal + 1000) / 1100) AS INT) FROM supplier WHERE s_suppkey > 0",
     "clade_members": "SELECT r_regionkey AS clade, n_nationkey AS genome, CASE WHEN n_regionkey = r_regionkey THEN 'clade' ELSE 'contrast' END AS side FROM region CROSS JOIN nation",
     "og_samples": "SELECT l_suppkey AS family, l_linenumber AS sample, l_partkey AS gene, min(month(l_shipdate)) AS og FROM lineitem GROUP BY l_suppkey, l_linenumber, l_partkey",
     "ordered_genes": "SELECT user_id AS replicon, event_type AS event, value AS freq, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gene_rank FROM events",
     "sequences": "SELECT doc_id AS seq_id, lang AS genome, source AS family, text AS seq FROM documents",
+    "alignments": "SELECT turn AS family, conv_id AS genome, text AS seq FROM conversations",
 }
 
 

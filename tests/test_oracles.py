@@ -35,5 +35,5 @@ def test_hot_events_in_blocks_give_the_same_pairs(spark, sf):
     from genomill.plans.views import view
 
     events, families = view(spark, sf, "gene_lineage_events"), view(spark, sf, "lineage_families")
-    plain, blocked = (sorted(coevolution_scores(events, 100, families, "between_fams", 0.5, b).collect()) for b in (1, 3))
+    plain, blocked = (sorted(coevolution_scores(events, 100, families, "between_fams", 0.5, b).collect()) for b in (2000, 7))
     assert plain == blocked and plain
