@@ -214,8 +214,8 @@ class Encoder:
         if self.direct:
             words = pc.if_else(plain, pc.utf8_lower(words), words)
         words, tails = pc.dictionary_encode(words), pc.dictionary_encode(tails)
-        known, letters = self.runs, pc.match_substring_regex(words.dictionary, f"^{self.LETTER}+$").to_pylist()
-        names, ends = words.dictionary.to_pylist(), tails.dictionary.to_pylist()
+        known, letters = self.runs, self._listed(pc.match_substring_regex(words.dictionary, f"^{self.LETTER}+$"))
+        names, ends = self._listed(words.dictionary), self._listed(tails.dictionary)
         one_by_one = [x for x in dict.fromkeys([*(x for x, run in zip(names, letters, strict=True) if not run), *ends]) if x not in known]
         if one_by_one:
             got = [self._ids(x) for x in one_by_one]
@@ -244,6 +244,11 @@ class Encoder:
         self.sizes = self._room(self.sizes, n, sizes)
         self.n_flat += len(add)
 
+    @staticmethod
+    def _listed(column: pa.Array) -> list:
+        """As to_pylist, by way of numpy, which is faster."""
+        return column.to_numpy(zero_copy_only=False).tolist()
+
     @staticmethod
     def _room(held: np.ndarray, n: int, add: np.ndarray) -> np.ndarray:
         if n + len(add) > len(held):
@@ -264,7 +269,7 @@ class Encoder:
         whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist()
         words = pc.ascii_split_whitespace(pc.if_else(odd, "", texts) if whole else texts)
         coded = pc.dictionary_encode(words.flatten())
-        pieces = coded.dictionary.to_pylist()
+        pieces = self._listed(coded.dictionary)
         at = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
         missing = np.flatnonzero(at < 0)
         if len(missing):
