@@ -60,6 +60,13 @@ def explode_cross_references(df: DataFrame, key: str, column: str, without: Sequ
     return dbs.where(~F.col("db").isin(*without)).select(key, "db", F.explode(F.split("_i", r",\s*")).alias("id")).where("id <> ''")
 
 
+def cross_references(df: DataFrame, key: str, column: str, pubmed: str, added: DataFrame | None = None) -> DataFrame:
+    """Key, db, id of the cross-references in `column`, of comma-separated PubMed ids, and of rows added by hand (key, db, id)."""
+    out = explode_cross_references(df, key, column)
+    ids = df.select(key, F.lit("PubMed").alias("db"), F.explode(F.split(pubmed, ",")).alias("id")).withColumn("id", F.trim("id")).where("id <> ''")
+    return out.unionByName(ids) if added is None else out.unionByName(ids).unionByName(added.select(key, "db", "id"))
+
+
 def replicon_type(attributes: Column, mol_type: Column) -> Column:
     """The attribute `genome`, else chromosome or plasmid if flagged, else the first word of the kind of molecule."""
     kind = F.coalesce(attributes["genome"], F.when(attributes["chromosome"].isNotNull(), "chromosome").when(attributes["plasmid-name"].isNotNull(), "plasmid"), F.substring_index(mol_type, " ", 1))
@@ -91,10 +98,21 @@ def min_genomes(text: str, n: int) -> int:
 
 
 def families_matching(df: DataFrame, pattern: str = "transposase") -> DataFrame:
-    """Families with a product that matches, whatever the case."""
+    """Families with a product that matches, whatever the case."""
     return df.where(F.col("product").rlike(f"(?i){pattern}")).select("gene_family_id").distinct()
 
 
+def find_families(df: DataFrame, terms: Sequence[str]) -> DataFrame:
+    """Term, gene_family_id: the family of that id, else all families with a product that holds the term; a term found nowhere has no row.
+
+    `df` (gene_family_id, product). The terms are a user's list and part of the plan, so that `df` is read without a join on text.
+    """
+    wanted = F.array(*[F.lit(t) for t in terms]).cast("array<string>")
+    by_id = df.where(F.col("gene_family_id").cast("string").isin(list(terms))).select(F.col("gene_family_id").cast("string").alias("term"), "gene_family_id").distinct()
+    by_product = df.where("gene_family_id IS NOT NULL").select(F.explode(F.filter(wanted, lambda t: F.contains(F.col("product"), t))).alias("term"), "gene_family_id").distinct()
+    return by_id.unionByName(by_product.join(by_id.select("term").distinct(), "term", "left_anti"))
+
+
 def organism_label(organism: Column, strain: Column) -> Column:
     """Organism with ` str. ` and the strain, unless the name ends with it; brackets go."""
     name = F.translate(organism, "[]()", "")

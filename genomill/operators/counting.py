@@ -222,6 +222,12 @@ def annotation_lines(annotations: DataFrame, terms: DataFrame) -> DataFrame:
     return annotations.join(terms, "interpro_id").groupBy("nr_protein_id").agg(F.array_join(F.array_sort(F.collect_set("go_id")), "|").alias("go_terms"))
 
 
+def pathway_lines(annotations: DataFrame, pathways: DataFrame) -> DataFrame:
+    """The distinct pathways of each protein in one line, as `db:id`. `pathways` (interpro_id, db, pathway_id)."""
+    named = pathways.where("db IS NOT NULL AND pathway_id IS NOT NULL").select("interpro_id", F.concat_ws(":", "db", "pathway_id").alias("go_id"))
+    return annotation_lines(annotations, named).withColumnRenamed("go_terms", "pathways")
+
+
 def enrichment(study: DataFrame, population: DataFrame) -> DataFrame:
     """Per study and term, genes with the term in study (k of n) and population (m of all), and Fisher's one-sided p.
 

@@ -28,6 +28,18 @@ def label_to_cds(cds: DataFrame, replaced: DataFrame, collapsed: DataFrame, even
     return itself.unionByName(single).unionByName(clade).distinct().join(events.select("label"), "label", "left_semi")
 
 
+def replaced_labels(cds: DataFrame, replaced: DataFrame, collapsed: DataFrame) -> DataFrame:
+    """cds_code, label: the label that replaced a gene, or the first one (in order) that replaced a clade it was collapsed into; else itself.
+
+    `cds` (cds_code, gene_family_id), `replaced` (gene_family_id, clade_or_cds, label), `collapsed` (gene_family_id, clade, cds_code).
+    """
+    key = ["gene_family_id", "cds_code"]
+    single = replaced.select("gene_family_id", F.col("clade_or_cds").alias("cds_code"), "label", F.lit(0).alias("_by"))
+    clade = collapsed.join(replaced.withColumnRenamed("clade_or_cds", "clade"), ["gene_family_id", "clade"]).select(*key, "label", F.lit(1).alias("_by"))
+    first = single.unionByName(clade).groupBy(*key).agg(F.min_by("label", F.struct("_by", "label")).alias("label"))
+    return cds.select(*key).distinct().join(first, key, "left").select(*key, F.coalesce("label", "cds_code").alias("label"))
+
+
 def translate_ids(df: DataFrame, names: DataFrame, column: str) -> DataFrame:
     """`column` by the names of a table (old, new); rows without a name go."""
     return df.withColumnRenamed(column, "old").join(names.select("old", "new"), "old").withColumnRenamed("new", column).select(*df.columns)
@@ -55,6 +67,17 @@ def clade_profiles(members: DataFrame, species: Sequence[str]) -> DataFrame:
     return members.groupBy("clade").pivot("species", list(species)).agg(F.count(F.lit(1))).fillna(0)
 
 
+def clade_frequencies(lines: DataFrame, populations: Sequence[str]) -> DataFrame:
+    """Family, clade, and a column for each population in order, from lines `clade<TAB>pop:freq<TAB>pop:freq`; absent ones are 0. `lines` (family, value).
+
+    Of a population that a line names twice the last frequency counts.
+    """
+    cells = F.slice(F.split("value", "\t"), 2, F.greatest(F.size(F.split("value", "\t")) - 1, F.lit(0)))
+    of = lambda p: F.element_at(F.concat(F.array(F.lit("0")), F.transform(F.filter("_f", lambda c: F.substring_index(c, ":", 1) == p), lambda c: F.substring_index(c, ":", -1))), -1)
+    split = lines.where("value <> ''").select("family", F.substring_index("value", "\t", 1).alias("clade"), cells.alias("_f"))
+    return split.select("family", "clade", *[of(p).try_cast("double").alias(p) for p in populations])
+
+
 def population_occurrence(counts: DataFrame, populations: DataFrame) -> DataFrame:
     """Clade, population, census, mean and median of the counts over all members of a population, absent ones as 0.
 

@@ -87,6 +87,10 @@ def h4_sketch_distances(s, d):
     return similarity.sketch_distances(texts, 5, 200)
 
 
+def k7_similarity_families(s, d):
+    return similarity.similarity_families(view(s, d, "sequences").select(F.col("seq_id").alias("id"), F.col("seq").alias("text")), 5, 20, 0.75)
+
+
 def j3_clade_members(s, d):
     nodes, paths = _tree(s, d)
     return trees.clade_definition_members(nodes, paths, trees.clade_definitions(nodes, paths, 6))
@@ -114,6 +118,15 @@ j AS (SELECT id_1, id_2, round(len(list_intersect(list_intersect(s1, s2), u)) /
 SELECT id_1, id_2, jaccard, round(-ln(2 * jaccard / (1 + jaccard)) / {k}, 9) + 0.0 AS distance FROM j WHERE jaccard > 0"""
 
 
+K7_SQL = """WITH RECURSIVE t AS (SELECT seq_id AS id, string_split(seq, ' ') AS w FROM sequences WHERE seq IS NOT NULL),
+h AS (SELECT DISTINCT id, CAST('0x' || substr(md5(array_to_string(w[i:i + 4], ' ')), 1, 15) AS BIGINT) AS h FROM (SELECT id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM t)),
+o AS (SELECT id, list(h ORDER BY h) AS s FROM h GROUP BY 1), e AS (SELECT id, len(s) AS n, unnest(s[1:20]) AS h FROM o), c AS (SELECT h, id AS centre FROM e QUALIFY row_number() OVER (PARTITION BY h ORDER BY n DESC, id) = 1),
+p AS (SELECT DISTINCT id, centre FROM e JOIN c USING (h) WHERE id <> centre), j AS (SELECT p.id, centre, len(list_intersect(x.s, y.s)) AS k, len(x.s) + len(y.s) AS m FROM p JOIN o x ON x.id = p.id JOIN o y ON y.id = centre),
+l AS (SELECT id, centre FROM j WHERE k >= 0.75 * (m - k)), u AS (SELECT id AS a, centre AS b FROM l UNION SELECT centre, id FROM l),
+r AS (SELECT a AS node, a AS other FROM u UNION SELECT r.node, b FROM r JOIN u ON u.a = r.other), f AS (SELECT node AS id, min(other) AS family FROM r GROUP BY 1)
+SELECT id, coalesce(family, id) AS family FROM (SELECT DISTINCT seq_id AS id FROM sequences) LEFT JOIN f USING (id)"""
+
+
 def _full_sql(value, pairs):
     return f"WITH {BY_TAXON}, z AS (SELECT genome, {value} AS c FROM n GROUP BY 1), k AS (SELECT a.genome AS genome_1, b.genome AS genome_2, {pairs} AS k FROM n a JOIN n b ON a.gene_family_id = b.gene_family_id AND a.genome < b.genome GROUP BY 1, 2)"
 
@@ -145,6 +158,7 @@ SELECT clade, gene_family_id, coalesce(string_agg(genome, ',' ORDER BY genome) F
     "h1_jaccard_full": (lambda s, d: counting.jaccard_distances(_by_taxon(s, d), full=True), oracle(_full_sql("count(*)", "count(*)") + " SELECT x.genome AS genome_1, y.genome AS genome_2, coalesce(round(1 - k / (x.c + y.c - k), 9), 1.0) AS distance FROM z x JOIN z y ON x.genome < y.genome LEFT JOIN k ON genome_1 = x.genome AND genome_2 = y.genome")),
     "h2_bray_curtis_full": (lambda s, d: counting.bray_curtis(_by_taxon(s, d), full=True), oracle(_full_sql("sum(n)", "sum(least(a.n, b.n))") + " SELECT x.genome AS genome_1, y.genome AS genome_2, coalesce(round(1 - 2 * k / (x.c + y.c), 9), 1.0) AS distance FROM z x JOIN z y ON x.genome < y.genome LEFT JOIN k ON genome_1 = x.genome AND genome_2 = y.genome")),
     "h4_sketch_distances": (h4_sketch_distances, oracle(_sketch_sql(5, 200))),
+    "k7_similarity_families": (k7_similarity_families, oracle(K7_SQL)),
     "i7_vertices": (lambda s, d: ops.annotate_vertices(graphs.association_graph(_graph(s, d)), view(s, d, "lineage_families").withColumnRenamed("rlocds_id", "node"), _nodes(s, d, "species")), oracle(f"WITH {GRAPH}, v AS (SELECT a AS node, count(*) AS degree, round(sum(weight), 6) AS strength FROM u GROUP BY 1) SELECT v.*, gene_family_id, species FROM v LEFT JOIN lineage_families ON rlocds_id = node LEFT JOIN assemblies ON assembly_id = node")),
     "i8_community_tables": (lambda s, d: ops.community_tables(_graph(s, d), _communities(s, d), _nodes(s, d, "species", "taxid"), view(s, d, "replicons").select(F.col("assembly_id").alias("node"), F.col("replicon_type").alias("replicon"))), oracle(f"WITH {LABELS}, r AS (SELECT DISTINCT assembly_id, replicon_type FROM replicons) SELECT i.*, x.species AS species_1, x.taxid AS taxid_1, y.species AS species_2, y.taxid AS taxid_2, EXISTS (SELECT 1 FROM r p JOIN r q USING (replicon_type) WHERE p.assembly_id = i.a AND q.assembly_id = i.b) AS same_replicon FROM inside i LEFT JOIN assemblies x ON x.assembly_id = a LEFT JOIN assemblies y ON y.assembly_id = b")),
     "i9_community_events": (lambda s, d: ops.community_events(_communities(s, d), view(s, d, "gene_lineage_events"), view(s, d, "species_tree_events"), 50), oracle(f"WITH {LABELS}, {COMMUNITY} SELECT community, event_id, count(*) AS n_members, CAST(sum(freq) AS BIGINT) AS freq, event_type, don_branch_id, rec_branch_id FROM m JOIN gene_lineage_events ON rlocds_id = node JOIN species_tree_events USING (event_id) GROUP BY ALL")),

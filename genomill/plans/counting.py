@@ -67,6 +67,7 @@ QUERIES = {
     "e3_reference_genomes": (lambda s, d: ops.reference_genomes(view(s, d, "populations"), [7, 12, 3]), oracle("SELECT clade, arg_min(genome, CASE genome WHEN 7 THEN 1 WHEN 12 THEN 2 WHEN 3 THEN 3 ELSE 4 + genome END) AS genome FROM populations GROUP BY 1")),
     "e6_breaches": (lambda s, d: ops.breaches(_by_taxon(s, d), view(s, d, "clade_members"), ops.specific_presence(_by_taxon(s, d), view(s, d, "clade_members"), 0.4).select("clade", "gene_family_id")), oracle(f"WITH {SIDES}, p AS (SELECT clade, gene_family_id FROM s WHERE n_in - has_in <= round_even(n_in * 0.4, 0) AND has_out <= round_even(n_out * 0.4, 0)) SELECT clade, gene_family_id, string_agg(DISTINCT CAST(genome AS VARCHAR), ',' ORDER BY CAST(genome AS VARCHAR)) AS genomes FROM p JOIN n USING (gene_family_id) JOIN clade_members c USING (clade, genome) WHERE c.side = 'contrast' GROUP BY 1, 2")),
     "d17_annotation_lines": (lambda s, d: ops.annotation_lines(view(s, d, "functional_annotations"), view(s, d, "interpro2go")), oracle("SELECT nr_protein_id, string_agg(DISTINCT go_id, '|' ORDER BY go_id) AS go_terms FROM functional_annotations JOIN interpro2go USING (interpro_id) GROUP BY 1")),
+    "d17_pathway_lines": (lambda s, d: ops.pathway_lines(view(s, d, "functional_annotations"), table(s, d, "part").select(F.concat("p_brand", F.lit("/"), "p_type").alias("interpro_id"), F.element_at(F.split("p_name", " "), 2).alias("db"), F.col("p_size").alias("pathway_id")).distinct()), oracle("WITH w AS (SELECT DISTINCT concat(p_brand, '/', p_type) AS interpro_id, concat(string_split(p_name, ' ')[2], ':', p_size) AS pathway FROM part WHERE p_name LIKE '% %' AND p_size IS NOT NULL) SELECT nr_protein_id, string_agg(DISTINCT pathway, '|' ORDER BY pathway) AS pathways FROM functional_annotations JOIN w USING (interpro_id) GROUP BY 1")),
     "d28_enrichment": (lambda s, d: ops.enrichment(view(s, d, "coding_sequences").where("gene_family_id IS NOT NULL AND l_quantity >= 45").select((F.col("l_suppkey") % 5).alias("study"), F.col("gene_family_id").alias("gene")), view(s, d, "proteins").select(F.col("nr_protein_id").alias("gene"), F.col("protein_family_id").alias("term"))), oracle("""WITH pop AS (SELECT nr_protein_id AS gene, protein_family_id AS term FROM proteins), st AS (SELECT DISTINCT l_suppkey % 5 AS study, gene_family_id AS gene FROM coding_sequences WHERE gene_family_id IS NOT NULL AND l_quantity >= 45),
 t AS (SELECT count(*) AS a FROM pop), m AS (SELECT term, count(*) AS m FROM pop GROUP BY 1), n AS (SELECT study, count(*) AS n FROM st GROUP BY 1), k AS (SELECT study, term, count(*) AS k FROM st JOIN pop USING (gene) GROUP BY 1, 2),
 x AS (SELECT *, unnest(generate_series(k, least(n, m))) AS i FROM k JOIN n USING (study) JOIN m USING (term), t)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from genomill.functions.text import families_matching, find_families
 from genomill.operators import mapping as ops
 from genomill.operators import trees
 from genomill.operators import counting
 from genomill.plans.counting import GENOMES, _genomes
 from genomill.plans.trees import PATHS, _tree
-from genomill.plans.views import oracle, view
+from genomill.plans.views import oracle, table, view
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 LABELS = "cds AS (SELECT code AS cds_code, code AS label, taxid AS gene_family_id, species AS clade FROM assemblies), rep AS (SELECT DISTINCT gene_family_id, clade AS clade_or_cds, gene_family_id || '-' || clade AS label FROM cds WHERE clade IN ('BUILDING', 'MACHINERY') UNION ALL SELECT gene_family_id, cds_code, 'R' || cds_code FROM cds WHERE clade = 'HOUSEHOLD'), ev AS (SELECT DISTINCT code AS label FROM assemblies JOIN gene_lineage_events ON rlocds_id = assembly_id WHERE freq >= 90 UNION ALL SELECT label FROM rep)"
@@ -34,6 +35,23 @@ def c12_label_to_cds(s, d):
     return ops.label_to_cds(cds, rep, cds.select("gene_family_id", "clade", "cds_code"), events)
 
 
+def c21_replaced_labels(s, d):
+    cds, rep, _ = _labels(s, d)
+    return ops.replaced_labels(cds, rep, cds.select("gene_family_id", "clade", "cds_code"))
+
+
+def _products(s, d):
+    return view(s, d, "proteins").select(F.col("protein_family_id").alias("gene_family_id"), "product")
+
+
+def d23_clade_frequencies(s, d):
+    """Lines of text with half more than the customers of each segment in a nation."""
+    sums = table(s, d, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"))
+    text = sums.groupBy("c_nationkey").agg(F.array_join(F.sort_array(F.collect_list(F.concat_ws(":", "c_mktsegment", F.format_string("%d.5", "n")))), "\t").alias("_t"))
+    lines = text.select((F.col("c_nationkey") % 5).alias("family"), F.concat_ws("\t", F.concat(F.lit("C"), F.col("c_nationkey").cast("string")), "_t").alias("value"))
+    return ops.clade_frequencies(lines, SEGMENTS)
+
+
 def _occurrence(s, d):
     populations = view(s, d, "populations").select(F.col("clade").alias("population"), "genome")
     return ops.population_occurrence(counting.gene_counts(view(s, d, "coding_sequences"), "l_suppkey").withColumnRenamed("gene_family_id", "clade"), populations)
@@ -64,6 +82,10 @@ QUERIES = {
     "c20_to_representative": (lambda s, d: ops.to_representative(view(s, d, "coding_sequences").select("nr_protein_id"), _same_product(s, d), "nr_protein_id").groupBy("nr_protein_id").agg(F.count("*").alias("n")), oracle("WITH r AS (SELECT nr_protein_id, min(nr_protein_id) OVER (PARTITION BY product) AS r FROM proteins) SELECT r AS nr_protein_id, count(*) AS n FROM coding_sequences JOIN r USING (nr_protein_id) GROUP BY 1")),
     "c20_expand_members": (lambda s, d: ops.expand_members(view(s, d, "coding_sequences").groupBy("nr_protein_id").agg(F.count("*").alias("n")), _same_product(s, d), "nr_protein_id"), oracle("WITH r AS (SELECT nr_protein_id, min(nr_protein_id) OVER (PARTITION BY product) AS r FROM proteins), c AS (SELECT nr_protein_id, count(*) AS n FROM coding_sequences GROUP BY 1) SELECT r.nr_protein_id, n FROM c JOIN r ON r.r = c.nr_protein_id")),
     "d20_member_annotation": (d20_member_annotation, oracle(f"WITH g AS ({GENOMES}) SELECT DISTINCT o.gene_family_id, og_id, product FROM orthologous_groups o JOIN g ON g.assembly_id = rlocds_id JOIN proteins USING (nr_protein_id)")),
+    "b13_find_families": (lambda s, d: find_families(_products(s, d), ["Brand#7", "widget", "hot gear", "no such"]), oracle("WITH t AS (SELECT unnest(['Brand#7', 'widget', 'hot gear', 'no such']) AS term), i AS (SELECT DISTINCT term, protein_family_id AS gene_family_id FROM t JOIN proteins ON protein_family_id = term) SELECT * FROM i UNION SELECT term, protein_family_id FROM t JOIN proteins ON contains(product, term) WHERE protein_family_id IS NOT NULL AND term NOT IN (SELECT term FROM i)")),
+    "b14_families_matching": (lambda s, d: families_matching(_products(s, d), "RED (widget|bolt)"), oracle("SELECT DISTINCT protein_family_id AS gene_family_id FROM proteins WHERE regexp_matches(product, '(?i)RED (widget|bolt)')")),
+    "c21_replaced_labels": (c21_replaced_labels, oracle(f"WITH {LABELS}, a AS (SELECT gene_family_id, clade_or_cds AS cds_code, label, 0 AS k FROM rep UNION ALL SELECT c.gene_family_id, c.cds_code, r.label, 1 FROM cds c JOIN rep r ON r.gene_family_id = c.gene_family_id AND r.clade_or_cds = c.clade), f AS (SELECT gene_family_id, cds_code, label FROM a QUALIFY row_number() OVER (PARTITION BY gene_family_id, cds_code ORDER BY k, label) = 1) SELECT DISTINCT c.gene_family_id, c.cds_code, coalesce(f.label, c.cds_code) AS label FROM cds c LEFT JOIN f USING (gene_family_id, cds_code)")),
+    "d23_clade_frequencies": (d23_clade_frequencies, "SELECT c_nationkey % 5 AS family, concat('C', c_nationkey) AS clade, " + ", ".join(f"CASE WHEN count(*) FILTER (c_mktsegment = '{x}') > 0 THEN count(*) FILTER (c_mktsegment = '{x}') + 0.5::DOUBLE ELSE 0::DOUBLE END AS \"{x}\"" for x in SEGMENTS) + " FROM customer GROUP BY c_nationkey"),
     "d21_clade_profiles": (lambda s, d: ops.clade_profiles(view(s, d, "assemblies").select(F.col("taxid").alias("clade"), "species"), SEGMENTS), oracle("SELECT taxid AS clade, " + ", ".join(f"count(*) FILTER (species = '{x}') AS \"{x}\"" for x in SEGMENTS) + " FROM assemblies GROUP BY 1")),
     "d22_population_occurrence": (_occurrence, oracle(f"WITH {OCCURRENCE} SELECT * FROM occ")),
     "f6_ancestral_population": (f6_ancestral_population, oracle(f"{PATHS}, {OCCURRENCE}, a AS (SELECT population, ancestor, sum(distance) AS d FROM pops JOIN paths USING (node) GROUP BY 1, 2 HAVING count(*) = (SELECT count(*) FROM pops p WHERE p.population = pops.population)), m AS (SELECT population, arg_min(ancestor, d) AS node FROM a GROUP BY 1), z AS (SELECT population, max(distance) AS depth FROM m JOIN paths USING (node) GROUP BY 1) SELECT clade, population FROM occ JOIN z USING (population) QUALIFY row_number() OVER (PARTITION BY clade ORDER BY median >= 0.5 AND census > 1 DESC, depth, census DESC, mean DESC, population) = 1")),

@@ -98,3 +98,45 @@ def test_overrides_and_events(spark):
     assert rows(fn.apply_overrides(df, new, "id", ["host", "note"]), "id") == [(1, "h", "n; m"), (2, "y", "k")]
     nodes = spark.createDataFrame([(1, ".T@a->b.D@c.d")], "node int, label string")
     assert rows(fn.explode_events(nodes), "place") == [(1, 0, "T", "a", "b"), (1, 1, "D", None, "c"), (1, 2, "S", None, "d")]
+
+
+def test_cross_references_of_all_kinds(spark):
+    df = spark.createDataFrame([("g", "Assembly: A1; BioProject: P1, P2", "12, 13"), ("h", None, None)], "k string, v string, pmid string")
+    added = spark.createDataFrame([("SRA", "S9", "h")], "db string, id string, k string")
+    assert rows(fn.cross_references(df, "k", "v", "pmid", added), "k", "id") == [("g", "PubMed", "12"), ("g", "PubMed", "13"), ("g", "BioProject", "P1"), ("g", "BioProject", "P2"), ("h", "SRA", "S9")]
+    assert fn.cross_references(df, "k", "v", "pmid").where("k = 'h'").isEmpty()
+
+
+def test_find_families(spark):
+    df = spark.createDataFrame([(1, "DNA ligase 2"), (2, "ligase"), (None, "ligase"), (3, None)], "gene_family_id int, product string")
+    assert rows(fn.find_families(df, ["2", "ligase", "none"]), "term", "gene_family_id") == [("2", 2), ("ligase", 1), ("ligase", 2)]
+    assert rows(fn.find_families(df, [])) == []
+    assert rows(fn.families_matching(df, "LIGASE$").where("gene_family_id IS NOT NULL")) == [(2,)]
+
+
+def test_replicon_types_and_lab_strains(spark):
+    kinds = spark.createDataFrame([({"genome": "ANONYMOUS"}, "genomic DNA"), ({"genome": "mitochondrion"}, "genomic DNA"), ({"chromosome": "1"}, "genomic DNA"), ({"plasmid-name": "p"}, "genomic DNA"), ({}, "other RNA")], "a map<string,string>, m string")
+    assert rows(kinds.select(fn.replicon_type(F.col("a"), F.col("m")))) == [("chromosome",), ("mitochondrion",), ("chromosome",), ("plasmid",), ("other",)]
+    strains = spark.createDataFrame([("Laboratory stock", "X y", "1"), (None, "Escherichia coli", "K12"), (None, "Escherichia coli", None), ("soil", "X y", "K12")], "f string, s string, t string")
+    assert rows(strains.select(fn.is_lab_strain([F.col("f")], F.col("s"), F.col("t")))) == [(True,), (True,), (False,), (False,)]
+
+
+def test_code_dump(spark):
+    genes = spark.createDataFrame([("lcl|AB1.1_cds_1", "X_1"), ("AB1.1_cds_2", "X_2")], "genbank_cds_id string, cds_code string")
+    assert rows(src.dump_codes(genes)) == [("AB1.1_cds_1", "X_1"), ("AB1.1_cds_2", "X_2")]
+
+
+def test_clade_frequencies(spark):
+    from genomill.operators.mapping import clade_frequencies
+
+    df = spark.createDataFrame([("F", "c1\tA:2\tB:0.5"), ("F", "c2"), ("G", "c1\tB:1\tB:3"), ("G", "")], "family string, value string")
+    assert rows(clade_frequencies(df, ["B", "A"]), "family", "clade") == [("F", "c1", 0.5, 2.0), ("F", "c2", 0.0, 0.0), ("G", "c1", 3.0, 0.0)]
+
+
+def test_similarity_families(spark):
+    from genomill.operators.similarity import similarity_families
+
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = spark.createDataFrame([(5, base), (2, base + " x"), (9, base), (7, "a b"), (8, "a b"), (1, None), (3, "q r s t u v"), (4, "")], "id int, text string")
+    assert rows(similarity_families(texts, 5, 20, 0.75), "id") == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 2), (7, 7), (8, 7), (9, 2)]
+    assert rows(similarity_families(texts.where("id < 0"), 5, 20, 0.75)) == []
