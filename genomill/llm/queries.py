@@ -1,4 +1,4 @@
-"""The queries of the ten corpus operators, each over its whole table, and SQL for those that SQL can express."""
+"""The queries of the corpus operators, each over its whole table, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from genomill.llm.mixing import OP7_BUDGET_SQL, OP7_ENTROPY_SQL, OP7_SQL, op7_mi
 from genomill.llm.near_dedup import op9_minhash
 from genomill.llm.neighbours import op2_neighbours
 from genomill.llm.passages import op1_passages
+from genomill.llm.prefix_trie import OP12_SQL, op12_prefix_trie
 from genomill.llm.sharding import OP5_SMALL_SQL, OP5_SQL, op5_shards, op5_small_shards
 from genomill.llm.token_ids import op8_token_ids
 
@@ -24,9 +25,10 @@ QUERIES = {
     "op8_token_ids": op8_token_ids,
     "op9_minhash": op9_minhash,
     "op10_lines": op10_lines,
+    "op12_prefix_trie": op12_prefix_trie,
     "op5_small_shards": op5_small_shards,
     "op7_mix_budget": op7_mix_budget,
     "op7_mix_entropy": op7_mix_entropy,
 }
 
-ORACLE_SQL = {"op5_shards": OP5_SQL, "op7_mix": OP7_SQL, "op5_small_shards": OP5_SMALL_SQL, "op7_mix_budget": OP7_BUDGET_SQL, "op7_mix_entropy": OP7_ENTROPY_SQL}
+ORACLE_SQL = {"op5_shards": OP5_SQL, "op7_mix": OP7_SQL, "op5_small_shards": OP5_SMALL_SQL, "op7_mix_budget": OP7_BUDGET_SQL, "op7_mix_entropy": OP7_ENTROPY_SQL, "op12_prefix_trie": OP12_SQL}

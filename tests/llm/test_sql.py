@@ -13,7 +13,7 @@ def norm(v):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "embeddings", "pages"):
+    for t in ("documents", "benchmark", "embeddings", "pages", "conversations", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     got = QUERIES[name](spark, sf)
     want = con.execute(ORACLE_SQL[name])
