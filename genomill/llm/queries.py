@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from genomill.llm.collocations import OP11_SQL, op11_collocations
 from genomill.llm.decontaminate import op4_decontaminate
 from genomill.llm.html_text import op3_html
 from genomill.llm.langid import op6_langid
@@ -25,10 +26,11 @@ QUERIES = {
     "op8_token_ids": op8_token_ids,
     "op9_minhash": op9_minhash,
     "op10_lines": op10_lines,
+    "op11_collocations": op11_collocations,
     "op12_prefix_trie": op12_prefix_trie,
     "op5_small_shards": op5_small_shards,
     "op7_mix_budget": op7_mix_budget,
     "op7_mix_entropy": op7_mix_entropy,
 }
 
-ORACLE_SQL = {"op5_shards": OP5_SQL, "op7_mix": OP7_SQL, "op5_small_shards": OP5_SMALL_SQL, "op7_mix_budget": OP7_BUDGET_SQL, "op7_mix_entropy": OP7_ENTROPY_SQL, "op12_prefix_trie": OP12_SQL}
+ORACLE_SQL = {"op5_shards": OP5_SQL, "op7_mix": OP7_SQL, "op5_small_shards": OP5_SMALL_SQL, "op7_mix_budget": OP7_BUDGET_SQL, "op7_mix_entropy": OP7_ENTROPY_SQL, "op11_collocations": OP11_SQL, "op12_prefix_trie": OP12_SQL}
