@@ -12,6 +12,7 @@ from genomill.llm.near_dedup import op9_minhash
 from genomill.llm.neighbours import op2_neighbours
 from genomill.llm.passages import op1_passages
 from genomill.llm.prefix_trie import OP12_SQL, op12_prefix_trie
+from genomill.llm.quality import op13_quality
 from genomill.llm.sharding import OP5_SMALL_SQL, OP5_SQL, op5_shards, op5_small_shards
 from genomill.llm.token_ids import op8_token_ids
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_lines": op10_lines,
     "op11_collocations": op11_collocations,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_quality": op13_quality,
     "op5_small_shards": op5_small_shards,
     "op7_mix_budget": op7_mix_budget,
     "op7_mix_entropy": op7_mix_entropy,
