@@ -135,34 +135,34 @@ def _learn(x: np.ndarray, many: np.ndarray, y: np.ndarray, rounds: int, batch: i
     return model
 
 
-def fit(labelled: DataFrame, per_label: int = 2000, longest: int = 64, rounds: int = 25) -> Attention:
-    """Learn from `text` and `quality` (0, 1; others don't count) of labelled rows.
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = 2000, longest: int = 64, rounds: int = 25) -> Attention:
+    """Learn from `text` of `docs` (doc_id, text) and `quality` (0, 1; others don't count) of `labels` (doc_id, quality).
 
-    At most `per_label` different texts a label are used, those of smallest hash among texts of up to `longest` passages (4,096
-    words); each is encoded whole. The two bounds hold the driver's share at some 130,000 passages of 1 KB or so. Scores are
-    shifted to the share of label 1 among all different labelled texts. Null texts are empty. Rows of one label alone, or none:
-    every score is the share of label 1, smoothed by one of each.
+    At most `per_label` different texts a label are drawn, those of smallest hash, and used if they have up to `longest` passages
+    (4,096 words); each is encoded whole. The two bounds hold the driver's share at some 250,000 passages of 1 KB. Scores are
+    shifted to the share of label 1 among all different labelled texts. Null texts are empty. Texts of one label alone, or none:
+    every score is the share of label 1, smoothed by one of each. Only ids and hashes of texts are shuffled.
     """
-    prepare(labelled.sparkSession)
-    rows = labelled.where("quality IN (0, 1)").select(F.col("quality").cast("int").alias("quality"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("_h", F.xxhash64("text"))
-    short = F.size(F.split("text", r"[\x20\x09-\x0D]+")) <= longest * PASSAGE
-    held = cut(rows.groupBy("quality", "_h").agg(F.first(short).alias("_short")))
+    prepare(docs.sparkSession)
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("_h", F.xxhash64("text"))
+    known = labels.where("quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))
+    held = cut(rows.select("doc_id", "_h").join(known, "doc_id").select("quality", "_h").distinct())
     sizes = {r.quality: r.n for r in held.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not n0 or not n1:
         return Attention({}, np.zeros(0), np.zeros(0), constant=(n1 + 1) / (n0 + n1 + 2))
     # of many, only hashes below a bound are ordered: four times as many as wanted are expected there
     bound = F.when(F.col("quality") == 1, min(1.0, (4.0 * per_label + 100) / n1)).otherwise(min(1.0, (4.0 * per_label + 100) / n0))
-    near = held.where("_short").where(F.col("_h").cast("double") / 2.0**64 + 0.5 <= bound)
+    near = held.where(F.col("_h").cast("double") / 2.0**64 + 0.5 <= bound)
     drawn = cut(near.withColumn("_r", F.row_number().over(Window.partitionBy("quality").orderBy("_h"))).where(F.col("_r") <= per_label).select("quality", "_h"))
-    texts = rows.join(F.broadcast(drawn), ["quality", "_h"]).dropDuplicates(["quality", "_h"])  # 2 x per_label rows at most
+    texts = rows.select("text", "_h").join(F.broadcast(drawn), "_h").dropDuplicates(["quality", "_h"])  # 2 x per_label rows at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             x, many = passages(batch.column("text"))
             ends = np.cumsum(many)
-            yield pa.RecordBatch.from_arrays([batch.column("quality"), batch.column("_h"), pa.array([x[b - m : b].astype("<f2").tobytes() for b, m in zip(ends, many, strict=True)], pa.binary())], names=["quality", "h", "x"])
+            coded = pa.array([x[b - m : b].astype("<f2").tobytes() if m <= longest else None for b, m in zip(ends, many, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("quality"), batch.column("_h"), coded], names=["quality", "h", "x"]).filter(coded.is_valid())
 
     sample = texts.select("quality", "_h", "text").mapInArrow(run, "quality int, h long, x binary").toArrow().sort_by([("h", "ascending"), ("quality", "ascending")])
     discard(held)
@@ -194,7 +194,6 @@ def _fold():
 
 
 def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    labelled = docs.select("doc_id", "text").where(_fold() != 0).join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
-    found = predict(docs, fit(labelled))
-    return found.select("doc_id", F.coalesce(_fold() == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs.where(_fold() != 0), table(spark, sf_dir, "labels").where(_fold() != 0))
+    return predict(docs, model).select("doc_id", F.coalesce(_fold() == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

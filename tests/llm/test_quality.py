@@ -71,15 +71,15 @@ def test_odd_rows_and_single_labels(spark):
     bad = [(100 + i, "BUY!! " * int(rng.integers(5, 300)), None, 0, 0) for i in range(40)]
     odd = [(None, None, None, None, 1), (500, "", None, 7, 1), (500, "", None, None, 1), (501, "long word " * 200_000, None, 1, 1), (502, " \t", None, 0, 1)]
     rows = spark.createDataFrame(good + bad + odd, SCHEMA)
-    model = quality.fit(rows, per_label=30, longest=8)
+    model = quality.fit(rows, rows, per_label=30, longest=8)
     got = quality.predict(rows, model).collect()
     assert len(got) == 105 and all(0 <= r.score <= 1 for r in got)
     scores = {r.doc_id: r.score for r in got}
     assert min(scores[i] for i in range(60)) > 0.5 > max(scores[100 + i] for i in range(40))
     none = rows.where("false")
     assert quality.predict(none, model).collect() == []
-    assert {r.score for r in quality.predict(rows, quality.fit(none)).collect()} == {0.5}
+    assert {r.score for r in quality.predict(rows, quality.fit(none, none)).collect()} == {0.5}
     only = lambda model: {round(r.score, 9) for r in quality.predict(rows, model).collect()}
-    assert only(quality.fit(rows.where("quality = 1"))) == {round(62 / 63, 9)}
+    assert only(quality.fit(rows, rows.where("quality = 1"))) == {round(62 / 63, 9)}
     n0 = len({r[1] for r in bad}) + 1
-    assert only(quality.fit(rows.where("quality = 0 OR doc_id = 501"), longest=8)) == {round(2 / (n0 + 3), 9)}  # all of label 1 is too long to learn from
+    assert only(quality.fit(rows, rows.where("quality = 0 OR doc_id = 501"), longest=8)) == {round(2 / (n0 + 3), 9)}  # all of label 1 is too long to learn from
