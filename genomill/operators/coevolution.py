@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from genomill.operators.trees import settle
+
 
 def filter_events(events: DataFrame, n: int, fmin: float = 0.0, fmax: float | None = None, types: Sequence[str] = ()) -> DataFrame:
     """Rows whose frequency is at least int(fmin * n) and below int(fmax * n), and whose type is in `types` (none: any type)."""
@@ -18,43 +20,89 @@ def filter_events(events: DataFrame, n: int, fmin: float = 0.0, fmax: float | No
     return events.where(keep)
 
 
+def _side(events: DataFrame, families: DataFrame | None) -> DataFrame:
+    """event_id, rlocds_id, freq and, if families are given, gene_family_id of each event of a lineage, written once."""
+    if families is not None:
+        events = events.join(families.select("rlocds_id", "gene_family_id"), "rlocds_id")
+    return settle(events.select("event_id", "rlocds_id", "freq", *(["gene_family_id"] if families is not None else [])))
+
+
+def _met(side: DataFrame, sizes: DataFrame, scope: str, block: int) -> DataFrame:
+    """rlocds_id_1 <= rlocds_id_2, event_id, freq_1, freq_2: lineages that meet in an event.
+
+    The lineages of an event with more than `block` of them are dealt into blocks of about that many by a hash, and the blocks
+    joined pairwise, so that no task pairs all of a hot event; all other events are joined as they are. `sizes` (event_id, _n; settled).
+    """
+    if scope not in ("between_fams", "within_fams", "all"):
+        raise ValueError(f"no scope {scope}")
+    hot = sizes.where(F.col("_n") > block).select("event_id", F.ceil(F.col("_n") / block).cast("int").alias("_k"))
+
+    def joined(rows: DataFrame, keys: list[str], of=lambda df, i: df) -> DataFrame:
+        left, right = (of(rows.withColumnsRenamed({c: f"{c}_{i}" for c in side.columns if c != "event_id"}), i) for i in (1, 2))
+        pairs = left.join(right, keys).where("rlocds_id_2 >= rlocds_id_1")
+        if scope != "all":
+            alike = F.col("gene_family_id_1") == F.col("gene_family_id_2")
+            pairs = pairs.where(alike if scope == "within_fams" else ~alike)
+        return pairs.select("rlocds_id_1", "rlocds_id_2", "event_id", "freq_1", "freq_2")
+
+    if hot.isEmpty():
+        return joined(side, ["event_id"])
+
+    def dealt(df: DataFrame, i: int) -> DataFrame:
+        own, other = F.expr(f"cast(pmod(xxhash64(rlocds_id_{i}), _k) AS int)"), F.explode(F.expr("sequence(0, _k - 1)"))
+        return df.withColumn(f"_b{i}", own).withColumn(f"_b{3 - i}", other).drop("_k")
+
+    return joined(side.join(hot, "event_id", "left_anti"), ["event_id"]).unionByName(joined(side.join(hot, "event_id"), ["event_id", "_b1", "_b2"], dealt))
+
+
 def lineage_matches(events: DataFrame, families: DataFrame | None = None, scope: str = "between_fams", block: int = 2000) -> DataFrame:
     """Pairs of lineages (rlocds_id_1 <= rlocds_id_2) with each event they share: event_id, freq_1, freq_2.
 
-    `scope`: `between_fams` (families differ), `within_fams` (families agree) or `all`; the last two hold self-pairs. The lineages
-    of an event with more than `block` of them are dealt into blocks of about that many, and the blocks joined pairwise, so that
-    no task pairs all of a hot event; each pair still comes out once.
+    `scope`: `between_fams` (families differ), `within_fams` (families agree) or `all`; the last two hold self-pairs.
     """
-    if families is not None:
-        events = events.join(families.select("rlocds_id", "gene_family_id"), "rlocds_id")
-    side = events.select("event_id", "rlocds_id", "freq", *(["gene_family_id"] if families is not None else []))
-    hot = side.groupBy("event_id").agg(F.count("*").alias("_n")).where(F.col("_n") > block).select("event_id", F.ceil(F.col("_n") / block).cast("int").alias("_k"))
-    dealt = side.join(hot, "event_id", "left").withColumn("_k", F.coalesce("_k", F.lit(1)))
-    left, right = (dealt.withColumnsRenamed({c: f"{c}_{i}" for c in side.columns if c != "event_id"}) for i in (1, 2))
-    every = F.explode(F.expr("sequence(0, _k - 1)"))
-    left = left.withColumn("_b1", F.expr("cast(pmod(xxhash64(rlocds_id_1), _k) AS int)")).withColumn("_b2", every).drop("_k")
-    right = right.withColumn("_b2", F.expr("cast(pmod(xxhash64(rlocds_id_2), _k) AS int)")).withColumn("_b1", every).drop("_k")
-    keys = ["event_id", "_b1", "_b2"]
-    pairs = left.join(right, keys).where("rlocds_id_2 >= rlocds_id_1")
-    if scope == "between_fams":
-        pairs = pairs.where("gene_family_id_1 <> gene_family_id_2")
-    elif scope == "within_fams":
-        pairs = pairs.where("gene_family_id_1 = gene_family_id_2")
-    elif scope != "all":
-        raise ValueError(f"no scope {scope}")
-    return pairs.select("rlocds_id_1", "rlocds_id_2", "event_id", "freq_1", "freq_2")
+    side = _side(events, families)
+    return _met(side, settle(side.groupBy("event_id").agg(F.count("*").alias("_n"))), scope, block)
+
+
+def _marked(side: DataFrame, budget: float) -> tuple[DataFrame, DataFrame]:
+    """`side` with _heavy, whether an event belongs to its lineage's prefix, and _bound, the most that it can add to a score of the lineage; and the sizes of events.
+
+    The bound is the lineage's frequency times the event's largest. Events are ordered by bound for each partner they would
+    give, so that hot events of little weight come first; those whose bounds add up to less than `budget` are left out of the prefix.
+    """
+    most = settle(side.groupBy("event_id").agg(F.max("freq").alias("_most"), F.count("*").alias("_n")))
+    known = side.join(most, "event_id").withColumn("_bound", F.col("freq").cast("long") * F.col("_most").cast("long"))
+    order = Window.partitionBy("rlocds_id").orderBy(F.col("_bound") / F.col("_n"), "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    return settle(known.select(*side.columns, "_bound", (F.sum("_bound").over(order) >= budget).alias("_heavy"))), most
 
 
-def able_lineages(events: DataFrame, n: int, min_joint: float) -> DataFrame:
-    """Events of lineages that can reach the score at all: a partner's frequency is n at most, so their own must sum to min_joint * n."""
-    return events.withColumn("_sum", F.sum("freq").over(Window.partitionBy("rlocds_id"))).where(F.col("_sum") >= min_joint * n).drop("_sum")
+def prefix_scores(marked: DataFrame, sizes: DataFrame, scope: str, block: int) -> DataFrame:
+    """rlocds_id_1, rlocds_id_2, _joint: summed products over the events that lie in both lineages' prefixes."""
+    met = _met(marked.where("_heavy").drop("_heavy", "_bound"), sizes, scope, block)
+    return met.groupBy("rlocds_id_1", "rlocds_id_2").agg(F.sum(F.col("freq_1").cast("long") * F.col("freq_2").cast("long")).alias("_joint"))
 
 
-def coevolution_scores(events: DataFrame, n: int, families: DataFrame | None = None, scope: str = "between_fams", min_joint: float = 1.0, block: int = 2000) -> DataFrame:
+def coevolution_scores(events: DataFrame, n: int, families: DataFrame | None = None, scope: str = "between_fams", min_joint: float = 1.0, block: int = 2000, share: float = 0.25) -> DataFrame:
     """rlocds_id_1, rlocds_id_2, score = sum(freq_1 * freq_2) / n², of pairs that reach `min_joint`.
 
-    Products are summed as integers and divided once, so that the score doesn't depend on the order of rows.
+    Each lineage's events of least possible weight, up to `share` of the score to reach, are left out of its prefix. Two lineages
+    lose less than that on either side, so that what they share in both prefixes must come to the score but those two bounds: only
+    such pairs are candidates, and only for them the events left out are looked up. `share` (0 to 0.5) changes the work, not the
+    result. Products are summed as integers and divided once, so that the score doesn't depend on the order of rows.
     """
-    matches = lineage_matches(able_lineages(events, n, min_joint), families, scope, block)
-    joint = matches.groupBy("rlocds_id_1", "rlocds_id_2").agg(F.sum(F.col("freq_1").cast("long") * F.col("freq_2").cast("long")).alias("_joint"))
-    return joint.where(F.col("_joint") >= min_joint * n * n).select("rlocds_id_1", "rlocds_id_2", (F.col("_joint") / F.lit(float(n * n))).alias("score"))
+    least = min_joint * n * n
+    marked, sizes = _marked(_side(events, families), share * least)
+    near = prefix_scores(marked, sizes, scope, block).where(F.col("_joint") >= (1 - 2 * share) * least)
+    rows = marked.select("event_id", F.col("rlocds_id").alias("_l"), F.col("freq").cast("long").alias("_f"), "_bound", "_heavy")
+    rest = rows.where("NOT _heavy").groupBy("_l").agg(F.sum("_bound").alias("_rest"))
+    for i in (1, 2):
+        near = near.join(rest.select(F.col("_l").alias(f"rlocds_id_{i}"), F.col("_rest").alias(f"_rest_{i}")), f"rlocds_id_{i}", "left")
+    pair = ["rlocds_id_1", "rlocds_id_2"]
+    near = settle(near.where(F.col("_joint") + F.coalesce("_rest_1", F.lit(0)) + F.coalesce("_rest_2", F.lit(0)) >= least).select(*pair, "_joint"))
+    left_out = []
+    for own, other, partner in (("rlocds_id_1", "rlocds_id_2", "true"), ("rlocds_id_2", "rlocds_id_1", "_heavy")):
+        light = near.select(*pair).join(rows.where("NOT _heavy").select(F.col("_l").alias(own), "event_id", F.col("_f").alias("_own")), own)
+        met = light.join(rows.where(partner).select(F.col("_l").alias(other), "event_id", F.col("_f").alias("_other")), [other, "event_id"])
+        left_out.append(met.select(*pair, (F.col("_own") * F.col("_other")).alias("_joint")))
+    joint = near.unionByName(left_out[0]).unionByName(left_out[1]).groupBy(*pair).agg(F.sum("_joint").alias("_joint"))
+    return joint.where(F.col("_joint") >= least).select(*pair, (F.col("_joint") / F.lit(float(n * n))).alias("score"))

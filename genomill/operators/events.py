@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from genomill.operators.ranks import quantiles
+from genomill.operators.trees import settle
+
 
 def events_with_branches(events: DataFrame, nodes: DataFrame) -> DataFrame:
     """Events with the names of their recipient and, if any, donor branch."""
@@ -76,17 +80,18 @@ def condense_scores(pairs: DataFrame) -> DataFrame:
 
 
 def score_quantiles(scores: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Prob, value: exact quantiles of all scores, interpolated."""
-    q = scores.agg(F.percentile("score", F.array(*map(F.lit, probs))).alias("_q"))
-    return q.select(F.explode(F.arrays_zip(F.array(*map(F.lit, probs)).alias("prob"), F.col("_q").alias("value"))).alias("_z")).select("_z.prob", F.round("_z.value", 9).alias("value"))
+    """Prob, value: exact quantiles of all scores, interpolated (null without scores)."""
+    found = quantiles(settle(scores.select("score")), "score", probs)
+    rows = [(float(p), None if v is None else round(v, 9)) for p, v in zip(probs, found, strict=True)]
+    return scores.sparkSession.createDataFrame(rows, "prob double, value double")
 
 
 def top_associations(scores: DataFrame, quantile: float | None = None, least: float | None = None) -> DataFrame:
-    """pairs at or above a quantile of the scores, or a score."""
-    if least is not None:
-        return scores.where(F.col("score") >= least)
-    cut = scores.agg(F.percentile("score", F.lit(quantile)).alias("_cut"))
-    return scores.join(cut).where("score >= _cut").drop("_cut")
+    """pairs at or above a quantile of the scores, or a score. Scores are computed once."""
+    if least is None:
+        scores = settle(scores)
+        least = quantiles(scores, "score", [quantile])[0]
+    return scores.where(F.col("score") >= (math.inf if least is None else least))
 
 
 def circular_distance(a: Column, b: Column, size: Column) -> Column:

@@ -1,9 +1,10 @@
-"""Trees as tables (branch_id, parent_branch_id, branch_name, is_tip): closure, clades, ages, common ancestors, groups of genes."""
+"""Trees as tables (branch_id, parent_branch_id, branch_name, is_tip): closure, clades, ages, groups of genes."""
 
 from __future__ import annotations
 
 import operator
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,21 +15,24 @@ SUMMARIES = {"min": F.min, "max": F.max, "mean": F.avg, "median": F.median}
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """`df` with its lineage cut by a checkpoint in the shared folder; a temporary folder only where none is set and Spark is local."""
+    """`df` written as Parquet into the folder that all executors share (`spark.checkpoint.dir`) and read back, so that its lineage ends and
+    later plans know its size; a temporary folder only where none is set and Spark is local."""
     spark = df.sparkSession
     sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        where = spark.conf.get("spark.checkpoint.dir", None)
-        if not where:
-            if not sc.master.startswith("local[") and sc.master != "local":
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            where = tempfile.mkdtemp(prefix="spark-")
+    where = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not where:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        where = tempfile.mkdtemp(prefix="spark-")
         sc.setCheckpointDir(where)
-    return df.checkpoint()
+        where = sc.getCheckpointDir()
+    path = f"{where}/settled-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def closure(nodes: DataFrame) -> DataFrame:
-    """Node, ancestor, distance for each ancestor of a node, itself (0) included.
+    """Node, ancestor, distance for each ancestor of a node, itself (0) included.
 
     Known paths are doubled in each round, so that a tree of depth h takes log2(h) joins.
     """
@@ -54,11 +58,6 @@ def _tips(nodes: DataFrame) -> DataFrame:
     return nodes.where("is_tip").select(F.col("branch_id").alias("node"), "branch_name")
 
 
-def leaf_sets(nodes: DataFrame, paths: DataFrame) -> DataFrame:
-    """The leaves under each node: their number and sorted names."""
-    return paths.join(_tips(nodes), "node").groupBy("ancestor").agg(F.count("*").alias("n_leaves"), F.array_join(F.array_sort(F.collect_list("branch_name")), ",").alias("leaves"))
-
-
 def clade_definitions(nodes: DataFrame, paths: DataFrame, least: int) -> DataFrame:
     """Each clade of two leaves or more but the root's, with its sister and its background.
 
@@ -115,21 +114,6 @@ def event_lineages(nodes: DataFrame, paths: DataFrame, events: DataFrame) -> Dat
     return paths.join(_tips(nodes), "node").select(F.col("node").alias("tip"), F.col("ancestor").alias("node")).join(events, "node").select("tip", "event_id").distinct()
 
 
-def common_ancestors(members: DataFrame, paths: DataFrame, key: str) -> DataFrame:
-    """The most recent common ancestor of each set of nodes. `members` (key, node)."""
-    members = members.select(key, "node").distinct()
-    sizes = members.groupBy(key).agg(F.count("*").alias("n_members"))
-    shared = members.join(paths, "node").groupBy(key, "ancestor").agg(F.count("*").alias("_n"), F.sum("distance").alias("_d")).join(sizes, key).where("_n = n_members")
-    return shared.groupBy(key, "n_members").agg(F.min_by("ancestor", "_d").alias("mrca"))
-
-
-def tip_distances(nodes: DataFrame, paths: DataFrame) -> DataFrame:
-    """Edges between two tips, by way of the common ancestor nearest to both."""
-    tips = paths.join(_tips(nodes), "node")
-    a, b = (tips.select("ancestor", F.col("node").alias(f"tip_{i}"), F.col("distance").alias(f"_{i}")) for i in (1, 2))
-    return a.join(b, "ancestor").where("tip_1 < tip_2").groupBy("tip_1", "tip_2").agg(F.min(F.col("_1") + F.col("_2")).alias("distance"))
-
-
 def strict_groups(nodes: DataFrame, paths: DataFrame, gains: DataFrame) -> DataFrame:
     """Groups that a gain splits off: tip, gain_node, child (null: the backbone group).
 
@@ -181,19 +165,6 @@ def branch_ages(nodes: DataFrame, paths: DataFrame, root_age: float) -> DataFram
     return deep.join(deep.agg(F.max("_d").alias("_m"))).select(F.col("node").alias("branch_id"), F.round(F.when(F.col("_m") > 0, root_age * (1 - F.col("_d") / F.col("_m"))).otherwise(root_age), 9).alias("age"))
 
 
-def translate_events(events: DataFrame, leaves: DataFrame, paths: DataFrame) -> DataFrame:
-    """Events (lineage, sample, event_type, don, rec: branches of a collapsed tree) on the full tree's branches, once a lineage and sample.
-
-    `leaves` (branch, node): the full tree's leaves that each collapsed branch stands for; a branch becomes their last common ancestor.
-    Transfers whose ends become one branch are dropped.
-    """
-    mrca = common_ancestors(leaves.select(F.col("branch").alias("_b"), "node"), paths, "_b").select("_b", "mrca")
-    for c in ("don", "rec"):
-        events = events.join(mrca.withColumnsRenamed({"_b": c, "mrca": f"_{c}"}), c, "left")
-    moved = events.select("lineage", "sample", "event_type", F.col("_don").alias("don"), F.col("_rec").alias("rec"))
-    return moved.where("don IS NULL OR rec IS NULL OR don <> rec").distinct()
-
-
 def drop_tagged(nodes: DataFrame, paths: DataFrame, collapsed: str = "_CC-clade", replaced: str = "_RC-clade") -> DataFrame:
     """Nodes without those under a branch named with the tag `collapsed`, and of the leaves named with `replaced` and one same ending only the first by name."""
     tag = F.regexp_extract("branch_name", f"({replaced}.*)$", 1)

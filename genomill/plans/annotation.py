@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from genomill.operators import annotation as ops
-from genomill.operators import coevolution, counting, graphs, similarity, trees
+from genomill.operators import coevolution, counting, graphs, intervals, similarity, trees
 from genomill.plans.coevolution import D15_SQL, d15_coevolution_scores
 from genomill.plans.counting import BY_TAXON, SIDES, UNICOPY, _by_genome, _by_taxon, _genomes, _go
 from genomill.plans.events import GO
 from genomill.plans.graphs import GRAPH, LABELS, ROUNDS, _communities, _graph
-from genomill.plans.trees import PATHS, SIZES, _tree
+from genomill.plans.trees import PATHS, SIZES, _tree, _walk
 from genomill.plans.views import oracle, table, view
 
 # an order's lines as the genes of a family, each under one of three flags as genomes: some families have one gene in each
@@ -87,8 +87,16 @@ def h4_sketch_distances(s, d):
     return similarity.sketch_distances(texts, 5, 200)
 
 
+def h4_similar_sketches(s, d):
+    return similarity.sketch_distances(_texts(s, d), 5, 200, 0.5)
+
+
 def k7_similarity_families(s, d):
-    return similarity.similarity_families(view(s, d, "sequences").select(F.col("seq_id").alias("id"), F.col("seq").alias("text")), 5, 20, 0.75)
+    return similarity.similarity_families(_texts(s, d), 5, 0.75)
+
+
+def _texts(s, d):
+    return view(s, d, "sequences").select(F.col("seq_id").alias("id"), F.col("seq").alias("text"))
 
 
 def j3_clade_members(s, d):
@@ -103,26 +111,26 @@ def j4_branch_ages(s, d):
 
 def j7_translated_events(s, d):
     """Branches of populations (named by their number) become the last common ancestors of their suppliers' leaves."""
-    _, paths = _tree(s, d)
     leaves = view(s, d, "populations").select(F.col("clade").alias("branch"), "node")
     events = table(s, d, "lineitem").select(F.col("l_orderkey").alias("lineage"), F.col("l_linenumber").alias("sample"), F.lit("T").alias("event_type"), F.floor(F.col("l_suppkey") / 7).alias("don"), (F.col("l_partkey") % 5).alias("rec"))
-    return trees.translate_events(events, leaves, paths)
+    return intervals.translate_events(events, leaves, *_walk(s, d)[1:])
 
 
-def _sketch_sql(k, size):
-    return f"""WITH t AS (SELECT concat(family, '/', genome) AS id, string_split(seq, ' ') AS w FROM sequences WHERE family IS NOT NULL AND genome IS NOT NULL AND seq IS NOT NULL),
+def _sketch_sql(k, size, ids="concat(family, '/', genome)", known="family IS NOT NULL AND genome IS NOT NULL", least=1e-9):
+    return f"""WITH t AS (SELECT {ids} AS id, string_split(seq, ' ') AS w FROM sequences WHERE {known} AND seq IS NOT NULL),
 h AS (SELECT DISTINCT id, CAST('0x' || substr(md5(array_to_string(w[i:i + {k - 1}], ' ')), 1, 15) AS BIGINT) AS h FROM (SELECT id, w, unnest(generate_series(1, greatest(len(w) - {k - 1}, 1))) AS i FROM t)),
-k AS (SELECT id, list(h ORDER BY h) AS s FROM (SELECT id, h FROM h QUALIFY row_number() OVER (PARTITION BY id ORDER BY h) <= {size}) GROUP BY 1),
-p AS (SELECT a.id AS id_1, b.id AS id_2, a.s AS s1, b.s AS s2, list_slice(list_sort(list_distinct(list_concat(a.s, b.s))), 1, {size}) AS u FROM k a JOIN k b ON a.id < b.id),
+b AS (SELECT id, h FROM h QUALIFY row_number() OVER (PARTITION BY id ORDER BY h) <= {size}), k AS (SELECT id, list(h ORDER BY h) AS s FROM b GROUP BY 1),
+m AS (SELECT DISTINCT x.id AS id_1, y.id AS id_2 FROM b x JOIN b y ON x.h = y.h AND x.id < y.id),
+p AS (SELECT id_1, id_2, a.s AS s1, c.s AS s2, list_slice(list_sort(list_distinct(list_concat(a.s, c.s))), 1, {size}) AS u FROM m JOIN k a ON a.id = id_1 JOIN k c ON c.id = id_2),
 j AS (SELECT id_1, id_2, round(len(list_intersect(list_intersect(s1, s2), u)) / len(u), 9) AS jaccard FROM p)
-SELECT id_1, id_2, jaccard, round(-ln(2 * jaccard / (1 + jaccard)) / {k}, 9) + 0.0 AS distance FROM j WHERE jaccard > 0"""
+SELECT id_1, id_2, jaccard, round(-ln(2 * jaccard / (1 + jaccard)) / {k}, 9) + 0.0 AS distance FROM j WHERE jaccard >= {least}"""
 
 
+# every pair of different texts that share a shingle is compared; links are followed to the end
 K7_SQL = """WITH RECURSIVE t AS (SELECT seq_id AS id, string_split(seq, ' ') AS w FROM sequences WHERE seq IS NOT NULL),
-h AS (SELECT DISTINCT id, CAST('0x' || substr(md5(array_to_string(w[i:i + 4], ' ')), 1, 15) AS BIGINT) AS h FROM (SELECT id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM t)),
-o AS (SELECT id, list(h ORDER BY h) AS s FROM h GROUP BY 1), e AS (SELECT id, len(s) AS n, unnest(s[1:20]) AS h FROM o), c AS (SELECT h, id AS centre FROM e QUALIFY row_number() OVER (PARTITION BY h ORDER BY n DESC, id) = 1),
-p AS (SELECT DISTINCT id, centre FROM e JOIN c USING (h) WHERE id <> centre), j AS (SELECT p.id, centre, len(list_intersect(x.s, y.s)) AS k, len(x.s) + len(y.s) AS m FROM p JOIN o x ON x.id = p.id JOIN o y ON y.id = centre),
-l AS (SELECT id, centre FROM j WHERE k >= 0.75 * (m - k)), u AS (SELECT id AS a, centre AS b FROM l UNION SELECT centre, id FROM l),
+h AS MATERIALIZED (SELECT DISTINCT id, CAST('0x' || substr(md5(array_to_string(w[i:i + 4], ' ')), 1, 15) AS BIGINT) AS h FROM (SELECT id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM t)),
+n AS (SELECT id, count(*) AS n FROM h GROUP BY 1), k AS (SELECT x.id AS a, y.id AS b, count(*) AS k FROM h x JOIN h y ON x.h = y.h AND x.id < y.id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM k JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 4 * k >= 3 * (x.n + y.n - k)), u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
 r AS (SELECT a AS node, a AS other FROM u UNION SELECT r.node, b FROM r JOIN u ON u.a = r.other), f AS (SELECT node AS id, min(other) AS family FROM r GROUP BY 1)
 SELECT id, coalesce(family, id) AS family FROM (SELECT DISTINCT seq_id AS id FROM sequences) LEFT JOIN f USING (id)"""
 
@@ -158,6 +166,7 @@ SELECT clade, gene_family_id, coalesce(string_agg(genome, ',' ORDER BY genome) F
     "h1_jaccard_full": (lambda s, d: counting.jaccard_distances(_by_taxon(s, d), full=True), oracle(_full_sql("count(*)", "count(*)") + " SELECT x.genome AS genome_1, y.genome AS genome_2, coalesce(round(1 - k / (x.c + y.c - k), 9), 1.0) AS distance FROM z x JOIN z y ON x.genome < y.genome LEFT JOIN k ON genome_1 = x.genome AND genome_2 = y.genome")),
     "h2_bray_curtis_full": (lambda s, d: counting.bray_curtis(_by_taxon(s, d), full=True), oracle(_full_sql("sum(n)", "sum(least(a.n, b.n))") + " SELECT x.genome AS genome_1, y.genome AS genome_2, coalesce(round(1 - 2 * k / (x.c + y.c), 9), 1.0) AS distance FROM z x JOIN z y ON x.genome < y.genome LEFT JOIN k ON genome_1 = x.genome AND genome_2 = y.genome")),
     "h4_sketch_distances": (h4_sketch_distances, oracle(_sketch_sql(5, 200))),
+    "h4_similar_sketches": (h4_similar_sketches, oracle(_sketch_sql(5, 200, "seq_id", "TRUE", least=0.5))),
     "k7_similarity_families": (k7_similarity_families, oracle(K7_SQL)),
     "i7_vertices": (lambda s, d: ops.annotate_vertices(graphs.association_graph(_graph(s, d)), view(s, d, "lineage_families").withColumnRenamed("rlocds_id", "node"), _nodes(s, d, "species")), oracle(f"WITH {GRAPH}, v AS (SELECT a AS node, count(*) AS degree, round(sum(weight), 6) AS strength FROM u GROUP BY 1) SELECT v.*, gene_family_id, species FROM v LEFT JOIN lineage_families ON rlocds_id = node LEFT JOIN assemblies ON assembly_id = node")),
     "i8_community_tables": (lambda s, d: ops.community_tables(_graph(s, d), _communities(s, d), _nodes(s, d, "species", "taxid"), view(s, d, "replicons").select(F.col("assembly_id").alias("node"), F.col("replicon_type").alias("replicon"))), oracle(f"WITH {LABELS}, r AS (SELECT DISTINCT assembly_id, replicon_type FROM replicons) SELECT i.*, x.species AS species_1, x.taxid AS taxid_1, y.species AS species_2, y.taxid AS taxid_2, EXISTS (SELECT 1 FROM r p JOIN r q USING (replicon_type) WHERE p.assembly_id = i.a AND q.assembly_id = i.b) AS same_replicon FROM inside i LEFT JOIN assemblies x ON x.assembly_id = a LEFT JOIN assemblies y ON y.assembly_id = b")),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from genomill.operators import intervals
 from genomill.operators import trees as ops
 from genomill.plans.views import oracle, view
 
@@ -16,8 +17,19 @@ def _tree(s, d):
     return nodes, ops.closure(nodes)
 
 
+def _walk(s, d):
+    nodes = view(s, d, "species_tree")
+    tour = intervals.euler_tour(nodes)
+    return nodes, tour, intervals.range_minima(tour)
+
+
 def j2_leaf_sets(s, d):
-    return ops.leaf_sets(*_tree(s, d))
+    nodes = view(s, d, "species_tree")
+    return intervals.leaf_sets(nodes, intervals.euler_tour(nodes))
+
+
+def j2_intervals(s, d):
+    return intervals.euler_tour(view(s, d, "species_tree")).select("node", (F.col("last") - F.col("pre") + 1).alias("n_nodes"), "depth", "n_leaves")
 
 
 def j3_clade_definitions(s, d):
@@ -33,7 +45,7 @@ def j6_event_lineages(s, d):
 
 
 def j10_population_nodes(s, d):
-    return ops.common_ancestors(view(s, d, "populations").select("clade", "node"), _tree(s, d)[1], "clade")
+    return intervals.common_ancestors(view(s, d, "populations").select("clade", "node"), *_walk(s, d)[1:], "clade")
 
 
 def j8_strict_groups(s, d):
@@ -51,6 +63,7 @@ def j12_select_clades(s, d):
 
 QUERIES = {
     "j2_leaf_sets": (j2_leaf_sets, oracle(PATHS + " SELECT ancestor, count(*) AS n_leaves, string_agg(branch_name, ',' ORDER BY branch_name) AS leaves FROM paths JOIN tips USING (node) GROUP BY 1")),
+    "j2_intervals": (j2_intervals, oracle(PATHS + ", b AS (SELECT ancestor AS node, count(*) AS n_nodes, count(*) FILTER (node IN (SELECT node FROM tips)) AS n_leaves FROM paths GROUP BY 1), d AS (SELECT node, max(distance) AS depth FROM paths GROUP BY 1) SELECT node, n_nodes, CAST(depth AS BIGINT) AS depth, n_leaves FROM b JOIN d USING (node)")),
     "j3_clade_definitions": (j3_clade_definitions, oracle(SIZES + """, c AS (SELECT z.*, parent_branch_id AS p FROM sizes z JOIN species_tree ON branch_id = clade WHERE n_members > 1 AND parent_branch_id IS NOT NULL),
 g AS (SELECT c.clade, ancestor AS background, z.n_members - c.n_members AS n_background, row_number() OVER (PARTITION BY c.clade ORDER BY z.n_members - c.n_members < 6, CASE WHEN z.n_members - c.n_members < 6 THEN -distance ELSE distance END) AS r FROM c JOIN paths ON node = c.clade AND distance > 0 JOIN sizes z ON z.clade = ancestor)
 SELECT c.clade, c.n_members, s.branch_id AS sister, z.n_members AS n_sister, background, n_background FROM c JOIN species_tree s ON s.parent_branch_id = c.p AND s.branch_id <> c.clade JOIN sizes z ON z.clade = s.branch_id JOIN g ON g.clade = c.clade AND r = 1""")),
@@ -64,6 +77,6 @@ UNION ALL SELECT 4 * a.n + 2 + o.r * a.n + a.r, 'T', o.b, a.b FROM r a, r o WHER
 SELECT t.node AS tip, u.ancestor AS gain_node, CASE WHEN event_type = 'D' THEN c.ancestor END AS child FROM tips t LEFT JOIN u ON u.node = t.node AND r = 1 LEFT JOIN paths c ON c.node = t.node AND c.distance = u.distance - 1""")),
     "j9_unicopy_groups": (j9_unicopy_groups, oracle(PATHS + ", u AS (SELECT ancestor FROM paths JOIN populations USING (node) GROUP BY 1 HAVING count(*) = count(DISTINCT species)) SELECT node AS tip, arg_max(ancestor, distance) AS og_node FROM paths JOIN tips USING (node) JOIN u USING (ancestor) GROUP BY 1")),
     "j10_population_nodes": (j10_population_nodes, oracle(PATHS + ", m AS (SELECT clade, node, count(*) OVER (PARTITION BY clade) AS n_members FROM populations), a AS (SELECT clade, n_members, ancestor, sum(distance) AS d FROM m JOIN paths USING (node) GROUP BY 1, 2, 3 HAVING count(*) = n_members) SELECT clade, n_members, arg_min(ancestor, d) AS mrca FROM a GROUP BY 1, 2")),
-    "j11_tip_distances": (lambda s, d: ops.tip_distances(*_tree(s, d)), oracle(PATHS + " SELECT a.node AS tip_1, b.node AS tip_2, min(a.distance + b.distance) AS distance FROM paths a JOIN paths b USING (ancestor) WHERE a.node < b.node AND a.node IN (SELECT node FROM tips) AND b.node IN (SELECT node FROM tips) GROUP BY 1, 2")),
+    "j11_tip_distances": (lambda s, d: intervals.tip_distances(*_walk(s, d)), oracle(PATHS + " SELECT a.node AS tip_1, b.node AS tip_2, min(a.distance + b.distance) AS distance FROM paths a JOIN paths b USING (ancestor) WHERE a.node < b.node AND a.node IN (SELECT node FROM tips) AND b.node IN (SELECT node FROM tips) GROUP BY 1, 2")),
     "j12_select_clades": (j12_select_clades, oracle(PATHS + " SELECT ancestor AS node FROM paths p JOIN branch_support b ON b.node = ancestor JOIN branch_support w ON w.node = p.node WHERE distance BETWEEN 1 AND 2 AND b.support >= 4 GROUP BY 1 HAVING avg(w.support) <= 5 AND max(w.support) < 9")),
 }
