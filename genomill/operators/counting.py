@@ -129,11 +129,12 @@ def presence_cumulative(counts: DataFrame, n_genomes: int | None = None) -> Data
     return per_n.select(F.col("present").alias("n_genomes"), F.sum("_c").over(Window.orderBy(F.desc("present"))).alias("n_families"))
 
 
-def missing_markers(counts: DataFrame, families: DataFrame, genomes: DataFrame) -> DataFrame:
-    """Markers that each genome lacks: all of them less those it has, so that no grid is made."""
+def missing_markers(counts: DataFrame, families: DataFrame, genomes: DataFrame, top: int | None = None) -> DataFrame:
+    """Markers that each genome lacks: all of them less those it has, so that no grid is made; or the `top` genomes that lack most, by genome where they lack as many."""
     have = counts.join(families.select("gene_family_id"), "gene_family_id", "left_semi").groupBy("genome").agg(F.count("*").alias("_h"))
     total = families.agg(F.count("*").alias("_all"))
-    return genomes.join(have, "genome", "left").join(total).select("genome", (F.col("_all") - F.coalesce("_h", F.lit(0))).alias("n_missing"))
+    missing = genomes.join(have, "genome", "left").join(total).select("genome", (F.col("_all") - F.coalesce("_h", F.lit(0))).alias("n_missing"))
+    return missing if top is None else missing.orderBy(F.desc("n_missing"), "genome").limit(top)
 
 
 def family_bands(sizes: DataFrame, bands: Sequence[tuple[int, int | None]]) -> DataFrame:

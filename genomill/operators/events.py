@@ -105,6 +105,22 @@ def same_replicon_pairs(scores: DataFrame, places: DataFrame) -> DataFrame:
     return scores.join(a, "rlocds_id_1").join(b, ["rlocds_id_2", "replicon", "size"]).select("rlocds_id_1", "rlocds_id_2", "replicon", "score", circular_distance(F.col("_p1"), F.col("_p2"), F.col("size")).alias("distance"))
 
 
+def og_pairs_on_replicons(pairs: DataFrame, genes: DataFrame, most: int, salts: int = 16) -> DataFrame:
+    """Genes of paired groups that lie on one replicon, with their distance on its ring; of a replicon with more than `most` such pairs, a sample of `most`.
+
+    `pairs` (fam1, og1, fam2, og2, further columns), `genes` (gene_family_id, og_id, cds_code, replicon, size, place). The sample is
+    the pairs of smallest digest, so that it is the same each time; it is drawn in two steps, first from parts of a replicon's
+    pairs, so that no task orders all pairs of a large one.
+    """
+    first, second = (genes.select(F.col("gene_family_id").alias(f"fam{i}"), F.col("og_id").alias(f"og{i}"), F.col("cds_code").alias(f"cds_code_{i}"), "replicon", "size", F.col("place").alias(f"_p{i}")) for i in (1, 2))
+    met = pairs.join(first, ["fam1", "og1"]).join(second, ["fam2", "og2", "replicon", "size"])
+    met = met.withColumn("_d", F.md5(F.concat_ws("/", F.col("cds_code_1").cast("string"), F.col("cds_code_2").cast("string"))))
+    order = ["_d", "cds_code_1", "cds_code_2", "fam1", "og1", "fam2", "og2"]
+    for by in (["replicon", F.pmod(F.xxhash64("_d"), F.lit(salts))], ["replicon"]):
+        met = met.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_r") <= most).drop("_r")
+    return met.withColumn("distance", circular_distance(F.col("_p1"), F.col("_p2"), F.col("size"))).drop("_d", "_p1", "_p2", "size")
+
+
 def row_sums(pairs: DataFrame, k: int) -> DataFrame:
     """per lineage the scores with all others on its replicon, and with those more than `k` places away."""
     both = pairs.select("replicon", "score", "distance", F.explode(F.array("rlocds_id_1", "rlocds_id_2")).alias("rlocds_id"))
@@ -116,13 +132,18 @@ def score_distance_fit(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("replicon").agg(F.count("*").alias("n"), F.round(F.regr_slope("score", "distance"), 9).alias("slope"), F.round(F.regr_intercept("score", "distance"), 9).alias("intercept"))
 
 
-def lineage_annotation(genes: DataFrame, key: str) -> DataFrame:
+def lineage_annotation(genes: DataFrame, *key: str) -> DataFrame:
     """Per lineage or group its largest product, genes, genomes, and on which kinds of replicon they lie."""
-    counts = genes.groupBy(key).agg(F.max("product").alias("product"), F.count("*").alias("n_genes"), F.countDistinct("assembly_id").alias("n_genomes"), F.count(F.when(F.col("replicon_type") == "chromosome", 1)).alias("n_chromosome"), F.count(F.when(F.col("replicon_type") == "plasmid", 1)).alias("n_plasmid"))
+    counts = genes.groupBy(*key).agg(F.max("product").alias("product"), F.count("*").alias("n_genes"), F.countDistinct("assembly_id").alias("n_genomes"), F.count(F.when(F.col("replicon_type") == "chromosome", 1)).alias("n_chromosome"), F.count(F.when(F.col("replicon_type") == "plasmid", 1)).alias("n_plasmid"))
     c, p = F.col("n_chromosome") > 0, F.col("n_plasmid") > 0
     return counts.withColumn("replicons", F.when(c & p, "both").when(c, "chromosome").when(p, "plasmid").otherwise("none"))
 
 
+def lineage_genes(lineages: DataFrame, genes: DataFrame) -> DataFrame:
+    """All genes of the given lineages (rlocds_id), each once. `genes` (rlocds_id and what is told of a gene)."""
+    return genes.join(lineages.select("rlocds_id").distinct(), "rlocds_id").distinct()
+
+
 def adjacent_genes(genes: DataFrame, gap: int) -> DataFrame:
     """neighbours in the order of a replicon, at most `gap` numbers apart."""
     ahead = F.lead("gene_rank").over(Window.partitionBy("replicon").orderBy("gene_rank"))

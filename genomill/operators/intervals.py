@@ -65,9 +65,9 @@ def common_ancestors(members: DataFrame, tour: DataFrame, minima: DataFrame, key
     The first and the last member of the walk decide: the shallowest node after the first, up to the last, hangs on their ancestor.
     """
     placed = members.select(key, "node").distinct().join(tour.select("node", "pre"), "node")
-    ends = placed.groupBy(key).agg(F.count("*").alias("n_members"), F.min("pre").alias("_a"), F.max("pre").alias("_b"), F.min_by("node", "pre").alias("_first"))
-    alone = ends.where("_a = _b").select(key, "n_members", F.col("_first").alias("mrca"))
-    met = _shallowest(ends.where("_a < _b"), minima, F.col("_a") + 1, F.col("_b"))
+    ends = placed.groupBy(key).agg(F.count("*").alias("n_members"), F.min("pre").alias("_pre_first"), F.max("pre").alias("_pre_last"), F.min_by("node", "pre").alias("_first"))
+    alone = ends.where("_pre_first = _pre_last").select(key, "n_members", F.col("_first").alias("mrca"))
+    met = _shallowest(ends.where("_pre_first < _pre_last"), minima, F.col("_pre_first") + 1, F.col("_pre_last"))
     return alone.unionByName(met.where("_least.parent IS NOT NULL").select(key, "n_members", F.col("_least.parent").alias("mrca")))
 
 

@@ -62,26 +62,69 @@ def carry_over_ids(clusters: DataFrame, previous: DataFrame) -> DataFrame:
     return old.unionByName(new)
 
 
+def running_sum(df: DataFrame, keys: Sequence[str], at: str, value: str, name: str, block: int = 100_000) -> DataFrame:
+    """`df` (settled) with the sum of `value` over the rows of its keys up to its own, in the order of `at` (a long that tells rows apart).
+
+    Rows are summed by blocks of `block` places, and blocks by their totals: a key may have any number of rows without one
+    task that sorts them all.
+    """
+    keys = list(keys)
+    cut = df.withColumn("_rs_block", F.floor(F.col(at) / block))
+    totals = cut.groupBy(*keys, "_rs_block").agg(F.sum(value).alias("_rs_t"))
+    before = totals.select(*keys, "_rs_block", (F.sum("_rs_t").over(Window.partitionBy(*keys).orderBy("_rs_block")) - F.col("_rs_t")).alias("_rs_before"))
+    inside = F.sum(value).over(Window.partitionBy(*keys, "_rs_block").orderBy(at))
+    return cut.withColumn("_rs_inside", inside).join(before, [*keys, "_rs_block"]).withColumn(name, F.col("_rs_inside") + F.col("_rs_before")).drop("_rs_block", "_rs_inside", "_rs_before")
+
+
 def concat_alignments(rows: DataFrame, genomes: DataFrame) -> DataFrame:
-    """K8: the rows of each genome joined in the order of families; gaps as wide as the family where it has none, nothing for empty families."""
+    """K8: the rows of each genome joined in the order of families; gaps as wide as the family where it has none, nothing for empty families.
+
+    Each family has its place in the whole, so that a genome's own rows tell where its gaps lie: no row is made for a family that
+    a genome lacks. Of rows that repeat a genome and family each is joined, as a family of its own would be. A genome without rows is all gaps.
+    """
     widths = rows.groupBy("family").agg(F.max(F.length("seq")).alias("_w")).where("_w > 0")
-    grid = genomes.select("genome").distinct().join(widths)
-    full = grid.join(rows.select("family", "genome", "seq"), ["family", "genome"], "left").withColumn("seq", F.expr("rpad(coalesce(seq, ''), _w, '-')"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("family", "seq"))), lambda x: x["seq"])
-    return full.groupBy("genome").agg(F.array_join(ordered, "").alias("seq"))
+    numbered = number_rows(widths, ["family"], "_no")
+    ends = running_sum(settle(numbered.withColumn("_all", F.lit(0))), ["_all"], "_no", "_w", "_end").drop("_all")
+    ends = settle(ends.select("family", (F.col("_end") - F.col("_w")).alias("_from"), "_end", "_w"))
+    placed = rows.select("family", "genome", F.coalesce("seq", F.lit("")).alias("seq")).join(ends, "family").select("genome", F.struct("_from", "_end", F.expr("rpad(seq, _w, '-')").alias("seq")).alias("_x"))
+    own = placed.groupBy("genome").agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
+    total = ends.agg(F.coalesce(F.max("_end"), F.lit(0)).alias("_total"))
+    gap = lambda n: F.repeat(F.lit("-"), F.greatest(n, F.lit(0)).cast("int"))
+    before = lambda i: F.when(i == 0, 0).otherwise(F.get(F.col("_xs"), i - 1)["_end"])
+    pieces = F.transform("_xs", lambda x, i: F.concat(gap(x["_from"] - before(i)), x["seq"]))
+    last = F.coalesce(F.element_at("_xs", -1)["_end"], F.lit(0))
+    known = genomes.select("genome").distinct().join(own, "genome", "left").join(total)
+    return known.select("genome", F.concat(F.coalesce(F.array_join(pieces, ""), F.lit("")), gap(F.col("_total") - last)).alias("seq"))
+
+
+#: Columns of an alignment that one mask covers.
+MASK = 64
 
 
 def variable_sites(rows: DataFrame) -> DataFrame:
-    """K9: the alignment without the columns in which all rows of the family agree."""
-    cells = rows.select("family", "genome", F.posexplode(F.split("seq", "")).alias("pos", "base"))
-    mixed = cells.groupBy("family", "pos").agg(F.min("base").alias("_lo"), F.max("base").alias("_hi")).where("_lo <> _hi").select("family", "pos")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "base"))), lambda x: x["base"])
-    return cells.join(mixed, ["family", "pos"]).groupBy("family", "genome").agg(F.array_join(ordered, "").alias("seq"))
+    """K9: the alignment without the columns in which all rows of the family agree; rows without any other column go.
+
+    Rows are cut into blocks of 64 columns. In each block every row is compared with the longest, as a mask of one bit a column;
+    the masks of all rows together tell the columns to keep. Rows may differ in length: those that end before a column don't count there.
+    """
+    starts = F.expr(f"sequence(0, cast((length(seq) - 1) div {MASK} as int))")
+    pieces = settle(rows.where("length(seq) > 0").select("family", "genome", "seq", F.explode(starts).alias("block")).select("family", "genome", "block", F.expr(f"substring(seq, block * {MASK} + 1, {MASK})").alias("piece")))
+    longest = settle(pieces.groupBy("family", "block").agg(F.max_by("piece", F.struct(F.length("piece"), "piece")).alias("_long")))
+    letters = F.sequence(F.lit(1), F.length("piece"))
+    differs = F.transform(letters, lambda i: F.when(F.substring("piece", i, F.lit(1)) != F.substring("_long", i, F.lit(1)), F.call_function("shiftleft", F.lit(1).cast("long"), i - 1)).otherwise(F.lit(0).cast("long")))
+    mask = F.aggregate(differs, F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(x))
+    masks = settle(pieces.join(longest, ["family", "block"]).groupBy("family", "block").agg(F.bit_or(mask).alias("_mask")).where("_mask <> 0"))
+    keeps = F.filter(letters, lambda i: F.call_function("shiftrightunsigned", F.col("_mask"), i - 1).bitwiseAND(F.lit(1).cast("long")) == 1)
+    kept = pieces.join(masks, ["family", "block"]).select("family", "genome", "block", F.array_join(F.transform(keeps, lambda i: F.substring("piece", i, F.lit(1))), "").alias("piece")).where("piece <> ''")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("block", "piece"))), lambda x: x["piece"])
+    return kept.groupBy("family", "genome").agg(F.array_join(ordered, "").alias("seq"))
 
 
 def base_frequencies(rows: DataFrame) -> DataFrame:
-    """How often each base occurs in the rows of a family."""
-    return rows.select("family", F.explode(F.split("seq", "")).alias("base")).groupBy("family", "base").agg(F.count("*").alias("n"))
+    """How often each base occurs in the rows of a family: a row for each base that a sequence has, not for each letter."""
+    each = rows.select("family", "seq", F.explode(F.array_distinct(F.split("seq", ""))).alias("base"))
+    times = F.when(F.col("base") == "", F.lit(1)).otherwise(F.length("seq") - F.length(F.replace("seq", "base", F.lit(""))))
+    return each.groupBy("family", "base").agg(F.sum(times.cast("long")).alias("n"))
 
 
 def describe(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -59,13 +59,14 @@ def _tips(nodes: DataFrame) -> DataFrame:
 
 
 def clade_definitions(nodes: DataFrame, paths: DataFrame, least: int) -> DataFrame:
-    """Each clade of two leaves or more but the root's, with its sister and its background.
+    """Each clade of two leaves or more whose parent has two children, with its sister and its background; under other nodes no clade is defined.
 
     The background is taken under the nearest ancestor that has `least` leaves outside the clade, else under the root.
     """
     sizes = paths.join(_tips(nodes), "node").groupBy(F.col("ancestor").alias("clade")).agg(F.count("*").alias("n_members"))
     parents = nodes.select(F.col("branch_id").alias("clade"), F.col("parent_branch_id").alias("_p"))
-    clades = sizes.where("n_members > 1").join(parents.where("_p IS NOT NULL"), "clade")
+    paired = parents.where("_p IS NOT NULL").groupBy("_p").agg(F.count("*").alias("_c")).where("_c = 2").select("_p")
+    clades = sizes.where("n_members > 1").join(parents.join(paired, "_p"), "clade")
     sisters = parents.select(F.col("clade").alias("sister"), "_p").join(sizes.select(F.col("clade").alias("sister"), F.col("n_members").alias("n_sister")), "sister")
     above = paths.where("distance > 0").select(F.col("node").alias("clade"), F.col("ancestor").alias("_a"), "distance").join(sizes.select(F.col("clade").alias("_a"), F.col("n_members").alias("_n")), "_a")
     outside = F.col("_n") - F.col("n_members")

@@ -58,6 +58,7 @@ QUERIES = {
     "d8_pseudo_core": (lambda s, d: ops.pseudo_core(_by_genome(s, d), [20, 25, 30]), oracle(f"WITH {UNICOPY} SELECT gene_family_id, present, p AS min_genomes FROM u, (VALUES (20), (25), (30)) v(p) WHERE present >= p")),
     "d9_presence_cumulative": (lambda s, d: ops.presence_cumulative(_by_genome(s, d)), oracle(f"WITH {UNICOPY} SELECT p.present AS n_genomes, count(*) AS n_families FROM (SELECT DISTINCT present FROM u) p JOIN u ON u.present >= p.present GROUP BY 1")),
     "d10_missing_markers": (lambda s, d: ops.missing_markers(_by_genome(s, d), ops.unicopy_presence(_by_genome(s, d)).where("present >= 25"), view(s, d, "assemblies").select(F.col("assembly_id").alias("genome"))), oracle(f"WITH {UNICOPY}, f AS (SELECT gene_family_id FROM u WHERE present >= 25) SELECT assembly_id AS genome, (SELECT count(*) FROM f) - count(h.genome) AS n_missing FROM assemblies LEFT JOIN (SELECT genome FROM n JOIN f USING (gene_family_id)) h ON h.genome = assembly_id GROUP BY 1")),
+    "d10_most_missing": (lambda s, d: ops.missing_markers(_by_genome(s, d), ops.unicopy_presence(_by_genome(s, d)).where("present >= 25"), view(s, d, "assemblies").select(F.col("assembly_id").alias("genome")), 20), oracle(f"WITH {UNICOPY}, f AS (SELECT gene_family_id FROM u WHERE present >= 25) SELECT assembly_id AS genome, (SELECT count(*) FROM f) - count(h.genome) AS n_missing FROM assemblies LEFT JOIN (SELECT genome FROM n JOIN f USING (gene_family_id)) h ON h.genome = assembly_id GROUP BY 1 ORDER BY n_missing DESC, genome LIMIT 20")),
     "f7_family_bands": (lambda s, d: ops.family_bands(ops.family_sizes(_genomes(s, d)), [(4, 24), (25, 34), (35, None)]), oracle(f"WITH g AS ({GENOMES}), z AS (SELECT gene_family_id, count(*) AS size, count(DISTINCT assembly_id) AS genome_present FROM g WHERE gene_family_id IS NOT NULL GROUP BY 1) SELECT *, CASE WHEN size < 25 THEN 1 WHEN size < 35 THEN 2 ELSE 3 END AS band FROM z WHERE size >= 4")),
     "b20_pangenome_class": (lambda s, d: ops.pangenome_class(ops.family_sizes(_genomes(s, d))), oracle(f"WITH g AS ({GENOMES}), z AS (SELECT gene_family_id, count(*) AS size, count(DISTINCT assembly_id) AS genome_present FROM g WHERE gene_family_id IS NOT NULL GROUP BY 1) SELECT *, CASE WHEN genome_present >= 0.98 * max(genome_present) OVER () THEN 'core' ELSE 'accessory' END AS pangenome, CASE WHEN (size - genome_present) / genome_present <= 0.10 THEN 'single-copy' ELSE 'multi-copy' END AS copies FROM z")),
     "h1_jaccard": (lambda s, d: ops.jaccard_distances(_by_taxon(s, d)), oracle(f"WITH {BY_TAXON}, p AS (SELECT * FROM n), z AS (SELECT genome, count(*) AS c FROM p GROUP BY 1), k AS (SELECT a.genome AS genome_1, b.genome AS genome_2, count(*) AS k FROM p a JOIN p b ON a.gene_family_id = b.gene_family_id AND a.genome < b.genome GROUP BY 1, 2) SELECT genome_1, genome_2, round(1 - k / (x.c + y.c - k), 9) AS distance FROM k JOIN z x ON x.genome = genome_1 JOIN z y ON y.genome = genome_2")),

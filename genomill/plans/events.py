@@ -59,6 +59,18 @@ def d24_match_stats(s, d):
     return ops.match_stats(lineage_matches(view(s, d, "gene_lineage_events"), view(s, d, "lineage_families")), 100, [0.1, 0.3])
 
 
+def c13_og_pairs_on_replicons(s, d):
+    genes = view(s, d, "orthologous_groups").join(view(s, d, "assemblies").select(F.col("assembly_id").alias("rlocds_id"), "species"), "rlocds_id")
+    genes = genes.select("gene_family_id", "og_id", F.col("rlocds_id").alias("cds_code"), F.col("species").alias("replicon"), F.lit(1000).alias("size"), (F.col("rlocds_id") * 37 % 1000).alias("place"))
+    return ops.og_pairs_on_replicons(_pairs(s, d).select("fam1", "og1", "fam2", "og2").distinct(), genes, 60)
+
+
+def d20_lineage_genes(s, d):
+    top = ops.top_associations(d15_coevolution_scores(s, d), least=0.6)
+    lineages = top.select(F.explode(F.array("rlocds_id_1", "rlocds_id_2")).alias("rlocds_id"))
+    return ops.lineage_genes(lineages, _named(s, d).select(F.col("assembly_id").alias("rlocds_id"), "product", "genomic_accession", "replicon_type", "gene_family_id"))
+
+
 def e5_specific_details(s, d):
     return ops.specific_details(counting.specific_presence(_by_taxon(s, d), view(s, d, "clade_members"), 0.4), view(s, d, "proteins"), _go(s, d))
 
@@ -79,10 +91,13 @@ SELECT fam1, og1, fam2, og2, any_value(n_links) AS n_links, count(*) AS n_best,
     "d32_score_quantiles": (lambda s, d: ops.score_quantiles(d15_coevolution_scores(s, d), PROBS), oracle(f"WITH {SCORES} " + " UNION ALL ".join(f"SELECT {p}::DOUBLE AS prob, round(quantile_cont(score, {p}), 9) AS value FROM scores" for p in PROBS))),
     "f4_top_associations": (lambda s, d: ops.top_associations(d15_coevolution_scores(s, d), quantile=0.9), oracle(f"WITH {SCORES} SELECT * FROM scores WHERE score >= (SELECT quantile_cont(score, 0.9) FROM scores)")),
     "c13_same_replicon_pairs": (_same, oracle(f"WITH {SAME} SELECT * FROM same")),
+    "c13_og_pairs_on_replicons": (c13_og_pairs_on_replicons, oracle(f"WITH {CONDENSE}, p AS (SELECT DISTINCT fam1, og1, fam2, og2 FROM pairs), w AS (SELECT o.gene_family_id AS fam, og_id AS og, rlocds_id AS cds, species AS replicon, 1000 AS size, rlocds_id * 37 % 1000 AS place FROM orthologous_groups o JOIN assemblies ON assembly_id = rlocds_id), m AS (SELECT fam1, og1, fam2, og2, a.replicon, a.cds AS cds_code_1, b.cds AS cds_code_2, least(abs(a.place - b.place), 1000 - abs(a.place - b.place)) AS distance FROM p JOIN w a ON a.fam = fam1 AND a.og = og1 JOIN w b ON b.fam = fam2 AND b.og = og2 AND b.replicon = a.replicon) SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY replicon ORDER BY md5(cds_code_1 || '/' || cds_code_2), cds_code_1, cds_code_2, fam1, og1, fam2, og2) <= 60")),
     "f5_row_sums": (lambda s, d: ops.row_sums(_same(s, d), 50), oracle(f"WITH {SAME} SELECT replicon, rlocds_id, round(sum(score), 6) AS total, round(coalesce(sum(score) FILTER (distance > 50), 0), 6) AS far FROM (SELECT *, rlocds_id_1 AS rlocds_id FROM same UNION ALL SELECT *, rlocds_id_2 FROM same) GROUP BY 1, 2")),
     "h3_score_distance_fit": (lambda s, d: ops.score_distance_fit(_same(s, d)), oracle(f"WITH {SAME} SELECT replicon, count(*) AS n, round(regr_slope(score, distance), 9) AS slope, round(regr_intercept(score, distance), 9) AS intercept FROM same GROUP BY 1")),
     "d18_lineage_annotation": (lambda s, d: ops.lineage_annotation(_named(s, d), "assembly_id"), oracle(f"WITH g AS ({GENOMES}) SELECT assembly_id, max(product) AS product, count(*) AS n_genes, count(DISTINCT assembly_id) AS n_genomes, count(*) FILTER (replicon_type = 'chromosome') AS n_chromosome, count(*) FILTER (replicon_type = 'plasmid') AS n_plasmid, CASE WHEN count(DISTINCT replicon_type) = 2 THEN 'both' ELSE max(replicon_type) END AS replicons FROM g JOIN proteins USING (nr_protein_id) GROUP BY 1")),
     "d19_family_annotation": (lambda s, d: ops.lineage_annotation(_named(s, d), "gene_family_id").where("gene_family_id IS NOT NULL"), oracle(f"WITH g AS ({GENOMES}) SELECT gene_family_id, max(product) AS product, count(*) AS n_genes, count(DISTINCT assembly_id) AS n_genomes, count(*) FILTER (replicon_type = 'chromosome') AS n_chromosome, count(*) FILTER (replicon_type = 'plasmid') AS n_plasmid, CASE WHEN count(DISTINCT replicon_type) = 2 THEN 'both' ELSE max(replicon_type) END AS replicons FROM g JOIN proteins USING (nr_protein_id) WHERE gene_family_id IS NOT NULL GROUP BY 1")),
+    "d19_group_annotation": (lambda s, d: ops.lineage_annotation(_named(s, d).drop("gene_family_id").join(view(s, d, "orthologous_groups").select(F.col("rlocds_id").alias("assembly_id"), "gene_family_id", "og_id"), "assembly_id"), "gene_family_id", "og_id"), oracle(f"WITH g AS ({GENOMES}) SELECT o.gene_family_id, og_id, max(product) AS product, count(*) AS n_genes, count(DISTINCT assembly_id) AS n_genomes, count(*) FILTER (replicon_type = 'chromosome') AS n_chromosome, count(*) FILTER (replicon_type = 'plasmid') AS n_plasmid, CASE WHEN count(DISTINCT replicon_type) = 2 THEN 'both' ELSE max(replicon_type) END AS replicons FROM g JOIN proteins USING (nr_protein_id) JOIN orthologous_groups o ON o.rlocds_id = assembly_id GROUP BY 1, 2")),
+    "d20_lineage_genes": (d20_lineage_genes, oracle(f"WITH {SCORES}, g AS ({GENOMES}), t AS (SELECT rlocds_id_1 AS r FROM scores WHERE score >= 0.6 UNION SELECT rlocds_id_2 FROM scores WHERE score >= 0.6) SELECT DISTINCT assembly_id AS rlocds_id, product, genomic_accession, replicon_type, gene_family_id FROM g JOIN proteins USING (nr_protein_id) JOIN t ON r = assembly_id")),
     "f2_adjacent_genes": (lambda s, d: ops.adjacent_genes(view(s, d, "ordered_genes").withColumn("replicon", F.concat_ws("/", "replicon", "event")), 2), oracle("SELECT * FROM (SELECT concat(replicon, '/', event) AS replicon, gene_rank AS gene_1, lead(gene_rank) OVER (PARTITION BY replicon, event ORDER BY gene_rank) AS gene_2 FROM ordered_genes) WHERE gene_2 - gene_1 <= 2")),
     "f3_event_blocks": (lambda s, d: ops.event_blocks(view(s, d, "ordered_genes"), 2), oracle("WITH l AS (SELECT *, coalesce(gene_rank - lag(gene_rank) OVER (PARTITION BY replicon, event ORDER BY gene_rank) > 3, false) AS begins FROM ordered_genes), b AS (SELECT *, sum(begins::INT) OVER (PARTITION BY replicon, event ORDER BY gene_rank) AS block FROM l) SELECT replicon, event, min(gene_rank) AS first_gene, max(gene_rank) AS last_gene, count(*) AS n_genes, round(sum(freq), 6) AS sum_freq, min(freq) AS min_freq, max(freq) AS max_freq, round(avg(freq), 6) AS mean_freq, round(median(freq), 6) AS median_freq FROM b GROUP BY replicon, event, block")),
     "d25_core_background": (lambda s, d: ops.core_background(counting.cds_codes(_genomes(s, d)), _go(s, d), 29), oracle(f"WITH g AS ({GENOMES}), {GO}, c AS (SELECT gene_family_id, min(code || '_' || cds_no) AS cds_code FROM g WHERE gene_family_id IS NOT NULL GROUP BY 1 HAVING count(*) = 29 AND count(DISTINCT assembly_id) = 29) SELECT DISTINCT gene_family_id, cds_code, go_id FROM c JOIN go ON nr_protein_id = gene_family_id")),

@@ -12,6 +12,10 @@ PATHS = "WITH RECURSIVE paths AS (SELECT branch_id AS node, branch_id AS ancesto
 SIZES = PATHS + ", sizes AS (SELECT ancestor AS clade, count(*) AS n_members FROM paths JOIN tips USING (node) GROUP BY 1)"
 
 
+# inner nodes 4k + 2 (k > 0) go, and their children hang on the node above: some nodes have three or four children
+COLLAPSED = "WITH RECURSIVE collapsed_tree AS (SELECT branch_id, CASE WHEN parent_branch_id % 4 = 2 AND parent_branch_id > 2 THEN CAST(floor(parent_branch_id / 2) AS INT) ELSE parent_branch_id END AS parent_branch_id, branch_name, is_tip FROM species_tree WHERE is_tip OR branch_id % 4 <> 2 OR branch_id = 2), "
+
+
 def _tree(s, d):
     nodes = view(s, d, "species_tree")
     return nodes, ops.closure(nodes)
@@ -36,6 +40,12 @@ def j3_clade_definitions(s, d):
     return ops.clade_definitions(*_tree(s, d), 6)
 
 
+def j3_clades_of_pairs(s, d):
+    up = F.col("parent_branch_id")
+    nodes = view(s, d, "species_tree").where("is_tip OR branch_id % 4 <> 2 OR branch_id = 2").withColumn("parent_branch_id", F.when((up % 4 == 2) & (up > 2), F.floor(up / 2).cast("int")).otherwise(up))
+    return ops.clade_definitions(nodes, ops.closure(nodes), 6)
+
+
 def j4_branches_by_age(s, d):
     return ops.branches_by_age(_tree(s, d)[1], 2.0, older=0.1, younger=1.5, below=[2], without=[5])
 
@@ -67,6 +77,9 @@ QUERIES = {
     "j3_clade_definitions": (j3_clade_definitions, oracle(SIZES + """, c AS (SELECT z.*, parent_branch_id AS p FROM sizes z JOIN species_tree ON branch_id = clade WHERE n_members > 1 AND parent_branch_id IS NOT NULL),
 g AS (SELECT c.clade, ancestor AS background, z.n_members - c.n_members AS n_background, row_number() OVER (PARTITION BY c.clade ORDER BY z.n_members - c.n_members < 6, CASE WHEN z.n_members - c.n_members < 6 THEN -distance ELSE distance END) AS r FROM c JOIN paths ON node = c.clade AND distance > 0 JOIN sizes z ON z.clade = ancestor)
 SELECT c.clade, c.n_members, s.branch_id AS sister, z.n_members AS n_sister, background, n_background FROM c JOIN species_tree s ON s.parent_branch_id = c.p AND s.branch_id <> c.clade JOIN sizes z ON z.clade = s.branch_id JOIN g ON g.clade = c.clade AND r = 1""")),
+    "j3_clades_of_pairs": (j3_clades_of_pairs, oracle(COLLAPSED + SIZES.replace("species_tree", "collapsed_tree").removeprefix("WITH RECURSIVE ") + """, c AS (SELECT z.*, parent_branch_id AS p FROM sizes z JOIN collapsed_tree ON branch_id = clade WHERE n_members > 1 AND parent_branch_id IN (SELECT parent_branch_id FROM collapsed_tree GROUP BY 1 HAVING count(*) = 2)),
+g AS (SELECT c.clade, ancestor AS background, z.n_members - c.n_members AS n_background, row_number() OVER (PARTITION BY c.clade ORDER BY z.n_members - c.n_members < 6, CASE WHEN z.n_members - c.n_members < 6 THEN -distance ELSE distance END) AS r FROM c JOIN paths ON node = c.clade AND distance > 0 JOIN sizes z ON z.clade = ancestor)
+SELECT c.clade, c.n_members, s.branch_id AS sister, z.n_members AS n_sister, background, n_background FROM c JOIN collapsed_tree s ON s.parent_branch_id = c.p AND s.branch_id <> c.clade JOIN sizes z ON z.clade = s.branch_id JOIN g ON g.clade = c.clade AND r = 1""")),
     "j4_branches_by_age": (j4_branches_by_age, oracle(PATHS + ", d AS (SELECT node, max(distance) AS depth FROM paths GROUP BY 1), a AS (SELECT node AS branch_id, round(2.0 * (1 - depth / (SELECT max(depth) FROM d)), 9)::DOUBLE AS age FROM d) SELECT * FROM a WHERE age > 0.1 AND age < 1.5 AND branch_id IN (SELECT node FROM paths WHERE ancestor = 2) AND branch_id NOT IN (SELECT node FROM paths WHERE ancestor = 5)")),
     "j5_event_catalogue": (lambda s, d: ops.event_catalogue(view(s, d, "species_tree")), oracle("""WITH r AS (SELECT branch_id AS b, row_number() OVER (ORDER BY branch_id) - 1 AS r, count(*) OVER () AS n FROM species_tree)
 SELECT t.i * n + r + 1 AS event_id, t.x AS event_type, CAST(NULL AS INT) AS don_branch_id, b AS rec_branch_id FROM r, (VALUES (0, 'D'), (1, 'L'), (2, 'S'), (3, 'O')) t(i, x)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from genomill.operators.sequences import running_sum
+from genomill.operators.trees import settle
+
 #: Feature types whose rows go to the table of coding sequences, and those of RNA genes.
 CODING, RNA = ["CDS"], ["rRNA", "tRNA", "ncRNA", "tmRNA", "SRP_RNA", "RNase_P_RNA", "antisense_RNA"]
 
@@ -110,30 +113,34 @@ def read_transfers(lines: DataFrame, dead: str = "-1") -> DataFrame:
     return e.select("segment", "at", F.explode(found).alias("f"), "freq").select("segment", "at", "f.*", "freq")
 
 
-def read_trees(trees: DataFrame) -> DataFrame:
+def read_trees(trees: DataFrame, block: int = 100_000) -> DataFrame:
     """Tree, branch_id (from 0 in pre-order), parent_branch_id, branch_name, length, is_tip of Newick texts `trees` (tree, newick).
 
-    Inner nodes without a name are called N and their number. Brackets of one depth open and close in turn, so that windows over
-    the tokens of a tree match them; a tree is the unit of work.
+    Inner nodes without a name are called N and their number. Depths are sums over blocks of `block` tokens, carried from block to
+    block, and brackets of one depth open and close in turn, so that numbers within a depth match them: a tree of any size is
+    dealt over many tasks. Names of trees are distinct; a null text has no nodes.
     """
-    tokens = trees.select("tree", F.posexplode(F.regexp_extract_all("newick", F.lit(r"([(),;]|[^(),;\s][^(),;]*)"), 1)).alias("at", "t"))
-    order = Window.partitionBy("tree").orderBy("at")
-    step = F.when(F.col("t") == "(", 1).when(F.col("t") == ")", -1).otherwise(0)
-    tokens = tokens.select("tree", "at", "t", F.sum(step).over(order).alias("d"), F.lag("t").over(order).alias("_before"), F.lead("t").over(order).alias("_after"))
+    split = trees.select("tree", F.regexp_extract_all("newick", F.lit(r"([(),;]|[^(),;\s][^(),;]*)"), 1).alias("ts"))
+    beside = lambda i, step: F.get(F.col("ts"), i + step)
+    items = F.transform("ts", lambda t, i: F.struct(i.cast("long").alias("at"), t.alias("t"), beside(i, -1).alias("_before"), beside(i, 1).alias("_after")))
+    tokens = settle(split.select("tree", F.explode(items).alias("x")).select("tree", "x.*").withColumn("_step", F.when(F.col("t") == "(", 1).when(F.col("t") == ")", -1).otherwise(0)))
+    tokens = settle(running_sum(tokens, ["tree"], "at", "_step", "d", block).withColumn("own", F.lit(1)))
     sign = F.col("t").isin("(", ")", ",", ";")
-    opens = tokens.where("t = '('").withColumn("i", F.row_number().over(Window.partitionBy("tree", "d").orderBy("at")))
-    closes = tokens.where("t = ')'").select("tree", (F.col("d") + 1).alias("d"), "at", F.when(~F.col("_after").isin("(", ")", ",", ";"), F.col("_after")).alias("label")).withColumn("i", F.row_number().over(Window.partitionBy("tree", "d").orderBy("at"))).drop("at")
+    opens = settle(running_sum(settle(tokens.where("t = '('")), ["tree", "d"], "at", "own", "i", block))
+    closing = tokens.where("t = ')'").select("tree", (F.col("d") + 1).alias("d"), "at", "own", F.when(~F.col("_after").isin("(", ")", ",", ";"), F.col("_after")).alias("label"))
+    closes = running_sum(settle(closing), ["tree", "d"], "at", "own", "i", block).drop("at", "own")
     inner = opens.join(closes, ["tree", "d", "i"]).select("tree", "at", (F.col("d") - 1).alias("up"), "label", F.lit(False).alias("is_tip"))
     tips = tokens.where(~sign & (F.coalesce("_before", F.lit("")) != ")")).select("tree", "at", F.col("d").alias("up"), F.col("t").alias("label"), F.lit(True).alias("is_tip"))
-    nodes = inner.unionByName(tips)
-    # the parent: the last bracket of the depth above that opened before
-    asked = nodes.select("tree", "at", F.col("up").alias("d"), F.lit(0).alias("own")).unionByName(opens.select("tree", "at", "d", F.lit(1).alias("own")))
-    last = F.max(F.when(F.col("own") == 1, F.col("at"))).over(Window.partitionBy("tree", "d").orderBy("at", "own").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    parents = asked.withColumn("parent", last).where("own = 0").select("tree", "at", "parent")
-    numbered = nodes.join(parents, ["tree", "at"]).withColumn("branch_id", F.row_number().over(order) - 1)
+    nodes = settle(inner.unionByName(tips).withColumn("own", F.lit(1)))
+    numbered = settle(running_sum(nodes, ["tree"], "at", "own", "_n", block).select("tree", "at", "up", "label", "is_tip", (F.col("_n") - 1).cast("int").alias("branch_id")))
+    # the parent: the bracket of the depth above that opened last, that is, as many as have opened there so far
+    asked = settle(nodes.select("tree", "at", F.col("up").alias("d"), F.lit(0).alias("own")).unionByName(opens.select("tree", "at", "d", F.lit(1).alias("own"))).withColumn("at2", 2 * F.col("at") + F.col("own")))
+    above = running_sum(asked, ["tree", "d"], "at2", "own", "i", 2 * block).where("own = 0").select("tree", "at", "d", "i")
+    parents = above.join(opens.select("tree", "d", "i", F.col("at").alias("parent")), ["tree", "d", "i"]).select("tree", "at", "parent")
     up = numbered.select("tree", F.col("at").alias("parent"), F.col("branch_id").alias("parent_branch_id"))
     label = F.regexp_replace(F.coalesce("label", F.lit("")), ":.*$", "")
-    return numbered.join(up, ["tree", "parent"], "left").select("tree", "branch_id", "parent_branch_id", F.when(label != "", label).otherwise(F.concat(F.lit("N"), F.col("branch_id").cast("string"))).alias("branch_name"), F.regexp_extract(F.coalesce("label", F.lit("")), r":([^:]*)$", 1).try_cast("double").alias("length"), "is_tip")
+    found = numbered.join(parents, ["tree", "at"], "left").join(up, ["tree", "parent"], "left")
+    return found.select("tree", "branch_id", "parent_branch_id", F.when(label != "", label).otherwise(F.concat(F.lit("N"), F.col("branch_id").cast("string"))).alias("branch_name"), F.regexp_extract(F.coalesce("label", F.lit("")), r":([^:]*)$", 1).try_cast("double").alias("length"), "is_tip")
 
 
 def load_scores(spark: SparkSession, path: str, collection: int) -> DataFrame:

@@ -46,20 +46,26 @@ def read_species_codes(lines: DataFrame) -> DataFrame:
     return lines.where(~F.col("value").rlike("^[ <]") & F.col("value").rlike(pattern)).select(F.regexp_extract("value", pattern, 1).alias("code"), F.regexp_extract("value", pattern, 2).cast("long").alias("taxid"))
 
 
-def split_annotations(rows: DataFrame, loaded: DataFrame | None = None, version: str = "") -> dict[str, DataFrame]:
-    """A wide annotation table as `hits`, `interpro`, `go` and `pathways`; proteins already loaded in this version are left out.
+def split_annotations(rows: DataFrame, loaded: DataFrame | None = None, version: str = "", known: DataFrame | None = None) -> dict[str, DataFrame]:
+    """A wide annotation table as `proteins`, `hits`, `interpro`, `go` and `pathways`; proteins already loaded in this version are left out.
 
-    `rows` (nr_protein_id, interpro_id, description, go_terms, pathways); terms are parted by `|`, a pathway into database and id by `: `.
+    `rows` (place, nr_protein_id, md5_digest, seq_length, interpro_id, description, go_terms, pathways); terms are parted by `|`, a
+    pathway into database and id by `: `. What a domain means is taken from the first row that names it, by `place` in the files, and
+    so is a protein's digest; domains of `known` (interpro_id) are described already.
     """
     if loaded is not None:
         rows = rows.join(loaded.where(F.col("version") == version).select("nr_protein_id"), "nr_protein_id", "left_anti")
-    known = rows.where("interpro_id IS NOT NULL")
+    first = lambda df, key, *columns: df.groupBy(key).agg(F.min_by(F.struct(*columns), "place").alias("_r")).select(key, "_r.*")
+    terms = first(rows.where("interpro_id IS NOT NULL"), "interpro_id", "description", "go_terms", "pathways")
+    if known is not None:
+        terms = terms.join(known.select("interpro_id"), "interpro_id", "left_anti")
     parts = lambda c: F.explode(F.split(F.col(c), r"\|"))
-    path = known.where("pathways IS NOT NULL").select("interpro_id", parts("pathways").alias("_p")).select("interpro_id", F.substring_index("_p", ": ", 1).alias("db"), F.substring_index("_p", ": ", -1).alias("pathway_id"))
+    path = terms.where("pathways <> ''").select("interpro_id", parts("pathways").alias("_p")).select("interpro_id", F.substring_index("_p", ": ", 1).alias("db"), F.substring_index("_p", ": ", -1).alias("pathway_id"))
     return {
+        "proteins": first(rows, "nr_protein_id", "md5_digest", "seq_length"),
         "hits": rows.select("nr_protein_id", "interpro_id", F.lit(version).alias("version")).distinct(),
-        "interpro": known.groupBy("interpro_id").agg(F.min("description").alias("description")),
-        "go": known.where("go_terms IS NOT NULL").select("interpro_id", parts("go_terms").alias("go_id")).distinct(),
+        "interpro": terms,
+        "go": terms.where("go_terms <> ''").select("interpro_id", parts("go_terms").alias("go_id")).distinct(),
         "pathways": path.distinct(),
     }
 
@@ -74,6 +80,16 @@ def load_event_lineages(spark: SparkSession, path: str, suffix: str, reconciliat
     return _by_family(spark, path, suffix, "label string, event_id int, freq int").withColumn("reconciliation_id", F.lit(reconciliation))
 
 
+def load_species_tree(spark: SparkSession, path: str) -> DataFrame:
+    """branch_id, parent_branch_id, branch_name, is_tip of a dump without header; an empty parent is the root's."""
+    return spark.read.csv(path, sep="\t", schema="branch_id int, parent_branch_id int, branch_name string, is_tip int").withColumn("is_tip", F.col("is_tip") != 0)
+
+
+def load_tree_events(spark: SparkSession, path: str) -> DataFrame:
+    """event_id, event_type, don_branch_id, rec_branch_id of a dump without header; empty branches are null."""
+    return spark.read.csv(path, sep="\t", schema="event_id int, event_type string, don_branch_id int, rec_branch_id int")
+
+
 def load_groups(spark: SparkSession, path: str, suffix: str, collection: int) -> DataFrame:
     """A10: label, og_id from a file per family, whose name is family + `suffix`; blanks around labels go."""
     return _by_family(spark, path, suffix, "label string, og_id int").withColumn("ortholog_col_id", F.lit(collection))

@@ -32,13 +32,21 @@ def test_names_codes_annotations(spark):
     got = src.taxon_names(names, spark.createDataFrame([(9, 2)], "old int, new int"), spark.createDataFrame([(1,), (9,), (5,)], "taxid int"))
     assert rows(got, "taxid") == [(1, 1, "A"), (5, 5, None), (9, 2, "B")]
     assert rows(src.read_species_codes(lines(spark, "ECOLI B     562: N=Escherichia coli", "      C=x", "<p>", ""))) == [("ECOLI", 562)]
-    wide = spark.createDataFrame([(1, "I1", "d", "G1|G2", "KEGG: 7|MC: 8"), (2, None, None, None, None), (3, "I1", "c", "G2", None)], "nr_protein_id int, interpro_id string, description string, go_terms string, pathways string")
-    got = src.split_annotations(wide, spark.createDataFrame([(3, "v1")], "nr_protein_id int, version string"), "v1")
-    assert rows(got["hits"], "nr_protein_id") == [(1, "I1", "v1"), (2, None, "v1")]
-    assert rows(got["interpro"]) == [("I1", "d")] and rows(got["go"], "go_id") == [("I1", "G1"), ("I1", "G2")]
+    wide = spark.createDataFrame([(5, 1, "m1", 9, "I1", "d", "G1|G2", "KEGG: 7|MC: 8"), (6, 1, "m0", 9, "I1", "later", "G9", None), (7, 2, "m2", 4, None, None, None, None), (1, 3, "m3", 5, "I1", "c", "G2", None), (8, 4, "m4", 6, "I2", "known", "G3", "")], "place int, nr_protein_id int, md5_digest string, seq_length int, interpro_id string, description string, go_terms string, pathways string")
+    got = src.split_annotations(wide, spark.createDataFrame([(3, "v1")], "nr_protein_id int, version string"), "v1", spark.createDataFrame([("I2",)], "interpro_id string"))
+    assert rows(got["proteins"], "nr_protein_id") == [(1, "m1", 9), (2, "m2", 4), (4, "m4", 6)]
+    assert rows(got["hits"], "nr_protein_id") == [(1, "I1", "v1"), (2, None, "v1"), (4, "I2", "v1")]
+    assert rows(got["interpro"]) == [("I1", "d", "G1|G2", "KEGG: 7|MC: 8")] and rows(got["go"], "go_id") == [("I1", "G1"), ("I1", "G2")]
     assert rows(got["pathways"], "db") == [("I1", "KEGG", "7"), ("I1", "MC", "8")]
 
 
+def test_tree_dumps(spark, tmp_path):
+    (tmp_path / "tree.tab").write_text("1\t\tN1\t0\n2\t1\tA\t1\n")
+    (tmp_path / "events.tab").write_text("7\tT\t1\t2\n8\tS\t\t2\n")
+    assert rows(src.load_species_tree(spark, str(tmp_path / "tree.tab")), "branch_id") == [(1, None, "N1", False), (2, 1, "A", True)]
+    assert rows(src.load_tree_events(spark, str(tmp_path / "events.tab")), "event_id") == [(7, "T", 1, 2), (8, "S", None, 2)]
+
+
 def test_groups_clades_lists(spark, tmp_path):
     (tmp_path / "FAM1.ogs").write_text(" a\t1\nb \t2\n")
     assert rows(src.load_groups(spark, str(tmp_path / "*.ogs"), ".ogs", 4), "og_id") == [("FAM1", "a", 1, 4), ("FAM1", "b", 2, 4)]
@@ -138,5 +146,5 @@ def test_similarity_families(spark):
 
     base = " ".join(f"w{i}" for i in range(60))
     texts = spark.createDataFrame([(5, base), (2, base + " x"), (9, base), (7, "a b"), (8, "a b"), (1, None), (3, "q r s t u v"), (4, "")], "id int, text string")
-    assert rows(similarity_families(texts, 5, 20, 0.75), "id") == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 2), (7, 7), (8, 7), (9, 2)]
+    assert rows(similarity_families(texts, 5, 0.75), "id") == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 2), (7, 7), (8, 7), (9, 2)]
     assert rows(similarity_families(texts.where("id < 0"), 5, 20, 0.75)) == []
