@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genomill.llm.common import cut, grouped, prepare, table
+from genomill.llm.common import cut, discard, table
 
 WILD = "<*>"
-#: Forms of a leaf that a task parses at once.
-BOUND = 20_000
 
 
 def _tokens(line: Column) -> Column:
@@ -25,98 +20,50 @@ def _masked(text: Column) -> Column:
     return F.regexp_replace(text, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", WILD)
 
 
-class Leaf:
-    """Templates below one node of the tree (all of one token count and one beginning). Forms come in a fixed order."""
-
-    def __init__(self, alike: float):
-        self.alike, self.templates, self.by_token = alike, [], {}
-
-    def add(self, tokens: list[str]) -> int:
-        """Index of the template that takes the form: the most similar one, the first of equals; it is generalised where they differ."""
-        # only templates that share a fixed token at its place can be similar enough
-        hits: dict[int, int] = {}
-        for at, token in enumerate(tokens):
-            if token != WILD:
-                for i in self.by_token.get((at, token), ()):
-                    hits[i] = hits.get(i, 0) + 1
-        fixed = sum(t != WILD for t in tokens)
-        best = min(hits, key=lambda i: (-hits[i], i), default=None)
-        if best is None and not fixed and self.templates:
-            best = next((i for i, t in enumerate(self.templates) if all(x == WILD for x in t)), None)
-        if best is not None and hits.get(best, 0) >= self.alike * max(1, fixed):
-            own = self.templates[best]
-            for at, token in enumerate(tokens):
-                if own[at] != token and own[at] != WILD:
-                    self.by_token[(at, own[at])].discard(best)
-                    own[at] = WILD
-            return best
-        self.templates.append(list(tokens))
-        for at, token in enumerate(tokens):
-            if token != WILD:
-                self.by_token.setdefault((at, token), set()).add(len(self.templates) - 1)
-        return len(self.templates) - 1
-
-
-def _parsed(forms: DataFrame, alike: float) -> DataFrame:
-    """leaf, form, pattern of `forms` (leaf, part, n, form): parsed part by part of a leaf, the most frequent form first; pattern is the form's template once its part is done."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in grouped(batches, ["leaf", "part"]):
-            leaf, forms = Leaf(alike), group.column("form").to_pylist()
-            at = [leaf.add(form.split(" ")) for form in forms]
-            patterns = [" ".join(t) for t in leaf.templates]
-            yield pa.RecordBatch.from_arrays([group.column("leaf").combine_chunks(), pa.array(forms, pa.string()), pa.array([patterns[i] for i in at], pa.string())], names=["leaf", "form", "pattern"])
-
-    dealt = forms.select("leaf", "part", "n", "form").repartition("leaf", "part").sortWithinPartitions("leaf", "part", F.desc("n"), "form").select("leaf", "part", "form")
-    return dealt.mapInArrow(run, "leaf long, form string, pattern string")
-
-
-def _templates(forms: DataFrame, alike: float) -> DataFrame:
-    """leaf, form, template (a pattern): the template of each of `forms` (leaf, form, n).
-
-    A leaf with more than BOUND forms is parsed in parts, dealt by a hash of the form; then the parts' patterns, which are far
-    fewer, are parsed in their turn, until a leaf is one part or its patterns get no fewer. Equal patterns are one template.
+def templates(forms: DataFrame, lead: int, alike: float, least: int) -> DataFrame:
+    """leaf, f, template of those of `forms` (leaf, f, form, n) whose template keeps `alike` of their tokens; f tells forms of a leaf apart.
+
+    A token after the first `lead` is variable in its leaf if fewer than `least` of the leaf's forms, each counted n times, have it at
+    its place; a form's template is what is left of it. Fields are counted by place and token over the whole leaf, by one
+    aggregation: the rule is the same for a leaf of any size, and no task reads all of a leaf.
     """
-    known = None
-    while True:
-        parts = forms.groupBy("leaf").agg(F.ceil(F.count("*") / BOUND).cast("int").alias("parts"))
-        dealt = forms.join(parts.hint("merge"), "leaf").withColumn("part", F.pmod(F.xxhash64("form"), F.col("parts")).cast("int"))
-        parsed = cut(_parsed(dealt, alike))
-        known = parsed if known is None else cut(known.withColumnRenamed("pattern", "_form").join(parsed.withColumnsRenamed({"form": "_form", "pattern": "_new"}).hint("merge"), ["leaf", "_form"], "left").select("leaf", "form", F.coalesce("_new", "_form").alias("pattern")))
-        # leaves in several parts: their patterns are the next forms
-        several = cut(parts.where("parts > 1").select("leaf", "parts"))
-        if several.isEmpty():
-            return known.select("leaf", "form", F.col("pattern").alias("template"))
-        patterns = cut(parsed.join(several.select("leaf"), "leaf", "left_semi").join(forms.select("leaf", "form", "n"), ["leaf", "form"]).groupBy("leaf", F.col("pattern").alias("form")).agg(F.sum("n").alias("n")))
-        if patterns.join(several, "leaf").groupBy("leaf").agg(F.ceil(F.count("*") / BOUND).alias("now"), F.first("parts").alias("parts")).where("now < parts").isEmpty():
-            return known.select("leaf", "form", F.col("pattern").alias("template"))
-        forms = patterns
+    tokens = forms.select("leaf", "f", "n", F.posexplode(F.split("form", " ")).alias("at", "token")).where(F.col("token") != WILD)
+    later = F.col("at") >= lead
+    often = cut(tokens.where(later).groupBy("leaf", "at", "token").agg(F.sum("n").alias("_n")).where(F.col("_n") >= least).select("leaf", "at", "token"))
+    fixed = tokens.where(later).join(often.hint("merge"), ["leaf", "at", "token"]).groupBy("leaf", "f").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("_fixed"))
+    named = F.filter(F.split("form", " "), lambda x: x != WILD)
+    first = F.filter(F.slice(F.split("form", " "), 1, lead), lambda x: x != WILD)
+    known = forms.select("leaf", "f", F.size(named).alias("_named"), F.size(first).alias("_first")).join(fixed, ["leaf", "f"], "left")
+    kept = F.col("_first") + F.coalesce(F.size("_fixed"), F.lit(0))
+    return known.where(kept >= F.lit(alike) * F.col("_named") - 1e-9).select("leaf", "f", F.xxhash64(F.coalesce("_fixed", F.array().cast("array<struct<at:int,token:string>>"))).alias("template"))
 
 
 def recurring_lines(docs: DataFrame, lead: int = 3, alike: float = 0.6, min_docs: int = 5) -> DataFrame:
     """doc_id, n_lines, n_dropped, text: documents without the lines whose template recurs in `min_docs` different texts.
 
     A line (text between line feeds, trimmed; blank ones always stay) goes down the tree by its number of tokens and its first
-    `lead` tokens, tokens with a digit being wildcards. There it joins the most similar template, if `alike` of its fixed tokens
-    agree in their places, and the template becomes a wildcard where they differ; otherwise it begins a template. Equal forms
-    are parsed once, the most frequent first, ties in order of the text. Copies of one text count as one document, so that
-    copying alone makes no line a template. Leaves met in one text only are left out before any line is moved as a whole.
+    `lead` tokens, tokens with a digit being wildcards. In the leaf that it comes to, a later token is a field that varies unless
+    `min_docs` lines of different texts or wording have it at its place; with its varying fields taken out a line is a template, if
+    `alike` of its tokens (wildcards apart) are left. Copies of one text count as one document, so that copying alone makes no
+    line a template. Leaves met in one text only are left out before any line is moved as a whole.
 
     Null text: no lines, null text. Null or repeated doc_ids: rows are held apart by doc_id and text; equal rows get one
     decision. Other columns are ignored. An empty table gives an empty result.
     """
-    prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lines = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "\n")).alias("at", "line")).select("t", "at", F.trim("line").alias("line")).where("line <> ''")
     lines = lines.withColumn("leaf", F.xxhash64(_tokens(F.col("line")), _masked(F.substring_index("line", " ", lead))))
     shared = lines.groupBy("leaf").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo <> hi").select("leaf")
-    kept = cut(lines.join(shared.hint("shuffle_hash"), "leaf", "left_semi").select("leaf", "t", "at", _masked(F.col("line")).alias("form")).distinct())
-    forms = cut(kept.groupBy("leaf", "form").agg(F.count("*").alias("n")))
-    parsed = cut(_templates(forms, alike).select("leaf", F.xxhash64("form").alias("f"), F.xxhash64("template").alias("template")))
-    placed = kept.select("leaf", F.xxhash64("form").alias("f"), "t", "at").join(parsed, ["leaf", "f"]).select("leaf", "template", "t", "at")
-    placed = cut(placed)
-    common = placed.select("leaf", "template", "t").distinct().groupBy("leaf", "template").count().where(F.col("count") >= min_docs).select("leaf", "template")
-    gone = placed.join(common, ["leaf", "template"], "left_semi").groupBy("t").agg(F.collect_set("at").alias("gone"))
+    kept = cut(lines.join(shared.hint("shuffle_hash"), "leaf", "left_semi").select("leaf", "t", "at", _masked(F.col("line")).alias("form")).withColumn("f", F.xxhash64("form")).distinct())
+    forms = cut(kept.select("leaf", "f", "form", "t").distinct().groupBy("leaf", "f", "form").agg(F.count("*").alias("n")))
+    parsed = cut(templates(forms, lead, alike, min_docs))
+    discard(forms)
+    placed = cut(kept.select("leaf", "f", "t", "at").join(parsed.hint("merge"), ["leaf", "f"]).select("leaf", "template", "t", "at"))
+    discard(kept)
+    common = cut(placed.select("leaf", "template", "t").distinct().groupBy("leaf", "template").count().where(F.col("count") >= min_docs).select("leaf", "template"))
+    gone = placed.join(common.hint("merge"), ["leaf", "template"], "left_semi").groupBy("t").agg(F.collect_set("at").alias("gone"))
+    gone = cut(gone)
+    discard(placed)
     rows = docs.withColumn("t", F.xxhash64("text")).join(gone, "t", "left")
     parts = F.split("text", "\n")
     left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("gone", i)), "\n")
@@ -125,3 +72,17 @@ def recurring_lines(docs: DataFrame, lead: int = 3, alike: float = 0.6, min_docs
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurring_lines(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""WITH u AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL), s AS (SELECT text, string_split(text, chr(10)) AS ls FROM u),
+l AS (SELECT text, pos, trim(ls[pos], ' ') AS line FROM (SELECT text, ls, unnest(generate_series(1, len(ls))) AS pos FROM s)),
+k AS (SELECT text, pos, list_transform(string_split(line, ' '), lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS ws FROM l WHERE line <> ''),
+y AS MATERIALIZED (SELECT text, pos, ws, array_to_string(ws, ' ') AS form, len(ws) || ' ' || array_to_string(ws[1:3], ' ') AS leaf FROM k),
+f AS (SELECT leaf, form, any_value(ws) AS ws, count(DISTINCT text) AS n FROM y GROUP BY 1, 2),
+w AS (SELECT leaf, form, n, i, ws[i] AS w FROM (SELECT *, unnest(generate_series(4, len(ws))) AS i FROM f) WHERE ws[i] <> '<*>'),
+o AS (SELECT leaf, i, w FROM w GROUP BY 1, 2, 3 HAVING sum(n) >= 5),
+x AS (SELECT leaf, form, string_agg(i || ' ' || w, chr(10) ORDER BY i) AS template, count(*) AS c FROM w JOIN o USING (leaf, i, w) GROUP BY 1, 2),
+p AS (SELECT f.leaf, f.form, coalesce(template, '') AS template FROM f LEFT JOIN x USING (leaf, form) WHERE len(list_filter(ws[1:3], lambda z: z <> '<*>')) + coalesce(c, 0) >= 0.6 * len(list_filter(ws, lambda z: z <> '<*>')) - 1e-9),
+c AS (SELECT leaf, template FROM y JOIN p USING (leaf, form) GROUP BY 1, 2 HAVING count(DISTINCT text) >= 5),
+g AS (SELECT text, list(pos) AS gone FROM y JOIN p USING (leaf, form) JOIN c USING (leaf, template) GROUP BY 1)
+SELECT doc_id, coalesce(len(string_split(d.text, chr(10))), 0) AS n_lines, coalesce(len(gone), 0) AS n_dropped, CASE WHEN gone IS NULL THEN d.text ELSE array_to_string(list_filter(string_split(d.text, chr(10)), lambda z, i: NOT list_contains(gone, i)), chr(10)) END AS text FROM documents d LEFT JOIN g ON g.text = d.text"""

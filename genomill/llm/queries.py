@@ -6,7 +6,7 @@ from genomill.llm.collocations import OP11_SQL, op11_collocations
 from genomill.llm.decontaminate import op4_decontaminate
 from genomill.llm.html_text import op3_html
 from genomill.llm.langid import op6_langid
-from genomill.llm.line_dedup import op10_lines
+from genomill.llm.line_dedup import OP10_SQL, op10_lines
 from genomill.llm.mixing import OP7_BUDGET_SQL, OP7_ENTROPY_SQL, OP7_SQL, op7_mix, op7_mix_budget, op7_mix_entropy
 from genomill.llm.near_dedup import op9_minhash
 from genomill.llm.neighbours import op2_neighbours
@@ -35,4 +35,4 @@ QUERIES = {
     "op7_mix_entropy": op7_mix_entropy,
 }
 
-ORACLE_SQL = {"op5_shards": OP5_SQL, "op7_mix": OP7_SQL, "op5_small_shards": OP5_SMALL_SQL, "op7_mix_budget": OP7_BUDGET_SQL, "op7_mix_entropy": OP7_ENTROPY_SQL, "op11_collocations": OP11_SQL, "op12_prefix_trie": OP12_SQL}
+ORACLE_SQL = {"op5_shards": OP5_SQL, "op7_mix": OP7_SQL, "op5_small_shards": OP5_SMALL_SQL, "op7_mix_budget": OP7_BUDGET_SQL, "op7_mix_entropy": OP7_ENTROPY_SQL, "op10_lines": OP10_SQL, "op11_collocations": OP11_SQL, "op12_prefix_trie": OP12_SQL}

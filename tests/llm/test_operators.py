@@ -314,8 +314,8 @@ def test_masked_tokens_cost_no_more_when_long(spark):
     assert got == ["x" * 400_000 + " <*> <*> b", "<*> <*> d", "", None]
 
 
-def test_lines_against_brute_force(spark, monkeypatch):
-    """Forms that differ in fields with digits alone: a template is a masked line, and recurs if five different texts hold it. Same with split leaves."""
+def test_lines_against_brute_force(spark):
+    """Forms that differ in fields with digits alone: a template is a masked line, and recurs if five different texts hold it."""
     rng = np.random.default_rng(4)
     stems = [" ".join(f"w{chr(97 + int(x))}" for x in rng.integers(0, 26, int(rng.integers(4, 9)))) for _ in range(40)]
     texts = []
@@ -333,10 +333,40 @@ def test_lines_against_brute_force(spark, monkeypatch):
     assert 3 < len(gone) < len(seen)
     want = sorted((str(i), None if t is None else "\n".join(x for x in t.split("\n") if mask(x) not in gone)) for i, t, *_ in rows)
     df = spark.createDataFrame(rows, "doc_id long, text string, leaf string, at int, gone string")
-    for bound in (line_dedup.BOUND, 3):
-        monkeypatch.setattr(line_dedup, "BOUND", bound)
-        got = line_dedup.recurring_lines(df, alike=1.0).collect()
-        assert sorted(((str(r.doc_id), r.text) for r in got), key=str) == sorted(want, key=str), bound
+    got = line_dedup.recurring_lines(df, alike=1.0).collect()
+    assert sorted(((str(r.doc_id), r.text) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_templates_with_varying_words_against_brute_force(spark):
+    """Words that vary make fields: leaves of few and of many forms, by a plain loop over all lines."""
+    rng = np.random.default_rng(6)
+    word = lambda n: "".join(rng.choice(list("abcdefghij"), n))
+    rows = [(i, f"posted in the {word(4)} by {word(5)} on day {rng.integers(99)}\n{word(5)} {word(3)}") for i in range(40)]
+    rows += [(100 + i, "one two three " + " ".join(word(2) if rng.random() < 0.9 else "often" for _ in range(7))) for i in range(600)]  # one leaf, hardly alike
+    rows += [(800 + i, f"a b c {word(4)} {'same' if i % 2 else 'other'} end") for i in range(30)]
+    lead, alike, least = 3, 0.6, 5
+    mask = lambda line: tuple("<*>" if any(c.isdigit() for c in w) else w for w in line.split(" "))
+    forms = {}
+    for i, text in rows:
+        for line in text.split("\n"):
+            forms.setdefault(mask(line), set()).add(text)
+    leaf = lambda f: (len(f), f[:lead])
+    often = {}
+    for f, where in forms.items():
+        for at, w in enumerate(f):
+            often[leaf(f), at, w] = often.get((leaf(f), at, w), 0) + len(where)
+    where_of = {}
+    template = {}
+    for f, where in forms.items():
+        fixed = tuple((at, w) for at, w in enumerate(f) if w != "<*>" and (at < lead or often[leaf(f), at, w] >= least))
+        if len(fixed) >= alike * sum(w != "<*>" for w in f) - 1e-9:
+            template[f] = (leaf(f), fixed)
+            where_of.setdefault(template[f], set()).update(where)
+    gone = {f for f in template if len(where_of[template[f]]) >= least}
+    want = {i: "\n".join(x for x in t.split("\n") if mask(x) not in gone) for i, t in rows}
+    got = {r.doc_id: r.text for r in line_dedup.recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+    assert all("posted" not in want[i] and want[i] for i in range(40)) and sum(not t for t in want.values()) < 60
 
 
 def test_clashing_columns_pass_through(spark):
