@@ -34,6 +34,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 MARKED = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox adsbygoogle banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright disqus footer gdpr header menu menubar masthead modal nav navbar navigation navigationbar newsletter notice notices pagination pager paywall popup promo promotion promoted related recommended respond share sharing shoutbox sidebar sidenav skyscraper social sponsor sponsored subscribe subscription tags toolbar topbar widget alert alerts complementary contentinfo search signup login".split()
 )
+#: Elements and marks in a part of a name may also hold a whole page (a form around everything, a layout-with-sidebar): they don't count if nothing else is left.
+SOFT = frozenset(["form", "fieldset"])
+#: Marks that never name a whole page, not even as a part of a name.
+NEVER = frozenset("ad ads adv advert adverts advertisement advertising comment comments commentlist consent cookie cookies disqus gdpr modal newsletter popup".split())
 #: Marks that count outside of articles alone where they are only a part of a name: an entry-header or search-intro of an article is text.
 WEAK = frozenset("header menu search tags banner notice notices alert alerts login signup copyright widget complementary respond recommended".split())
 # A quoted value ends at its quote; one with a ">" inside must end before a blank, "/" or ">", else its quote was never closed and counts as a plain character.
@@ -51,29 +55,40 @@ class Block:
     inside: int = 0
     heading: bool = False
     dropped: bool = False
+    soft: tuple[int, ...] = ()
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
     good: bool | None = None
 
 
-def _marked(attributes: str, inside: bool) -> bool:
-    """Whether class, id or role names what is not main text, or the element is hidden."""
+def _marked(attributes: str, inside: bool) -> int:
+    """Whether class, id or role names what is not main text (2: as a whole, 1: by a part of a name), or the element is hidden (2)."""
+    found = 0
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return 2
         if name in ("class", "id", "role"):
             for own in value.split():
-                if own in MARKED or not own.startswith(("no-", "with-", "has-", "without-")) and (MARKED - WEAK if inside else MARKED).intersection(_PARTS.findall(own)):
-                    return True
-    return False
+                if own in MARKED:
+                    return 2
+                if not own.startswith(("no-", "with-", "has-", "without-")) and (parts := (MARKED - WEAK if inside else MARKED).intersection(_PARTS.findall(own))):
+                    if parts & NEVER:
+                        return 2
+                    found = 1
+    return found
 
 
-def blocks_of(page: str) -> list[Block]:
-    """Blocks in page order. Unclosed and stray tags are allowed for; what is dropped by its element or mark is flagged."""
+def blocks_of(page: str, lifted: frozenset[int] = frozenset()) -> list[Block]:
+    """Blocks in page order. Unclosed and stray tags are allowed for; what is dropped by its element or mark is flagged.
+
+    `soft` of a block: numbers of the elements around it that a part of a name or a form drops, if no other element drops it too. Those of `lifted` don't drop.
+    """
     found: list[Block] = []
     stack: list[tuple[str, bool, int]] = []  # tag, drops, number of the innermost article
+    softs: list[int] = []  # for each element on the stack the number of its soft mark, 0: none
+    numbers = 0
     opened: Counter[str] = Counter()  # of the tags on the stack
     drops = links = articles = at = 0
     block = Block()
@@ -82,7 +97,7 @@ def blocks_of(page: str) -> list[Block]:
         """Everything from that depth on ends."""
         nonlocal drops, links
         gone = stack[depth:]
-        del stack[depth:]
+        del stack[depth:], softs[depth:]
         opened.subtract(t for t, _, _ in gone)
         drops -= sum(d for _, d, _ in gone)
         links -= sum(t == "a" for t, _, _ in gone)
@@ -93,7 +108,7 @@ def blocks_of(page: str) -> list[Block]:
         if block.parts:
             found.append(block)
         last = stack[-3:]
-        block = Block(tag=last[-1][0] if last else "", inside=last[-1][2] if last else 0, heading=any(re.fullmatch("h[1-6]", t) for t, _, _ in last), dropped=drops > 0)
+        block = Block(tag=last[-1][0] if last else "", inside=last[-1][2] if last else 0, heading=any(re.fullmatch("h[1-6]", t) for t, _, _ in last), dropped=drops > 0, soft=tuple(filter(None, softs)) if drops == sum(map(bool, softs)) else ())
 
     def add(text: str) -> None:
         if text:
@@ -119,6 +134,7 @@ def blocks_of(page: str) -> list[Block]:
                 close()
             elif depth is not None:  # an inline end tag after unclosed blocks: only that element ends
                 _, d, _ = stack.pop(depth)
+                softs.pop(depth)
                 opened[tag] -= 1
                 drops, links = drops - d, links - (tag == "a")
         elif tag in VOID:
@@ -142,8 +158,13 @@ def blocks_of(page: str) -> list[Block]:
             main = tag in ("article", "main") and not drops
             articles += main
             inside = articles if main else stack[-1][2] if stack else 0
-            dropped = tag in DROPPED and not (tag == "header" and inside) or tag not in ("html", "body", "article", "main") and _marked(m[3], inside > 0)
+            mark = 0 if tag in ("html", "body", "article", "main") else _marked(m[3], inside > 0)
+            hard = tag in DROPPED and tag not in SOFT and not (tag == "header" and inside) or mark == 2
+            soft = not hard and (tag in SOFT or mark == 1)
+            numbers += soft
+            dropped = hard or soft and numbers not in lifted
             stack.append((tag, dropped, inside))
+            softs.append(numbers if soft and dropped else 0)
             opened[tag] += 1
             drops += dropped
             links += tag == "a"
@@ -159,16 +180,19 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def classify(blocks: list[Block], stop: frozenset[str], low: float = 0.2, high: float = 0.3, short: int = 70, long: int = 200, link: float = 0.4) -> list[Block]:
+def classify(blocks: list[Block], stop: frozenset[str], low: float = 0.2, high: float = 0.3, short: int = 70, long: int = 200, link: float = 0.4, plain: bool = False) -> list[Block]:
     """Sets `good`. First pass: dropped or link-heavy blocks are bad; long ones with stop words good, without bad; the rest is open.
 
     Where article or main elements hold most of the good text, all outside is bad; else they count for nothing (teasers). Second pass: an open block takes the label of its nearest decided neighbours within its own article (or outside of any);
     where they differ, the good one counts inside an article, the bad one outside. An article without a decided block is good.
+    `plain`: for pages of a language without a list, long blocks are good by length; if there is none, paragraphs that are long together.
     """
     for b in blocks:
-        size = len(b.text)
+        size, b.good = len(b.text), None
         if b.dropped or b.linked > link * len("".join(b.text.split())):
             b.good = False
+        elif plain:
+            b.good = True if size >= long else None
         else:
             words = _WORD.findall(b.text.lower())
             density = sum(w in stop for w in words) / max(1, len(words))
@@ -176,6 +200,11 @@ def classify(blocks: list[Block], stop: frozenset[str], low: float = 0.2, high:
                 b.good = True
             elif size >= long and density < low / 2:
                 b.good = None if b.inside else False
+    if plain and not any(b.good for b in blocks):
+        paragraphs = [b for b in blocks if b.good is None and b.tag == "p"]
+        if sum(len(b.text) for b in paragraphs) >= long:
+            for b in paragraphs:
+                b.good = True
     inside, outside = (sum(len(b.text) for b in blocks if b.good and bool(b.inside) == x) for x in (True, False))
     if any(b.inside and not b.dropped for b in blocks):
         for b in blocks:
@@ -202,17 +231,38 @@ def classify(blocks: list[Block], stop: frozenset[str], low: float = 0.2, high:
     return blocks
 
 
+def _wrappers(blocks: list[Block]) -> frozenset[int]:
+    """Soft marks of elements that hold over half of the text that nothing else drops."""
+    held: Counter[int] = Counter()
+    free = 0
+    for b in blocks:
+        if not b.dropped or b.soft:
+            free += len(b.text)
+            held.update(dict.fromkeys(b.soft, len(b.text)))
+    return frozenset(n for n, size in held.items() if 2 * size > free)
+
+
 def main_text(page: str | None, stop: frozenset[str]) -> str:
+    """The good blocks. Where none is good, soft marks of elements that hold most of the page are lifted; then length alone decides."""
     if not page:
         return ""
-    return "\n".join(b.text for b in classify(blocks_of(page), stop) if b.good)
+    blocks = classify(blocks_of(page), stop)
+    if not any(b.good for b in blocks):
+        lifted = _wrappers(blocks)
+        for marks, plain in ((lifted, False), (frozenset(), True), (lifted, True)):
+            if plain or marks:
+                blocks = classify(blocks_of(page, marks), stop, plain=plain)
+            if any(b.good for b in blocks):
+                break
+    return "\n".join(b.text for b in blocks if b.good)
 
 
 def extract_text(pages: DataFrame, stop_words: dict[str, str] | None = None) -> DataFrame:
     """`pages` with `text`, the main text of the whole `html` (null or without main text: empty), and `n_chars`, its code points.
 
     Blocks are joined in page order by one line feed; white space inside a block is one blank; character references are
-    decoded. Where article or main elements hold most of the running text, only what they hold can be main text. Null ids or urls, repeated
+    decoded. Where article or main elements hold most of the running text, only what they hold can be main text. A page that would
+    come out empty is looked at again: forms and marks in a part of a name don't count if they hold most of it, and length alone decides. Null ids or urls, repeated
     rows: each row by itself. Columns text and n_chars of `pages` are replaced, all others pass through, html does not.
     """
     prepare(pages.sparkSession)
