@@ -7,28 +7,30 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COMPARISONS = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge, "==": operator.eq}
 SUMMARIES = {"min": F.min, "max": F.max, "mean": F.avg, "median": F.median}
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """`df` written as Parquet into the folder that all executors share (`spark.checkpoint.dir`) and read back, so that its lineage ends and
-    later plans know its size; a temporary folder only where none is set and Spark is local."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share (`spark.checkpoint.dir`); in a temporary folder only where none is set and Spark is local."""
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not where:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        where = tempfile.mkdtemp(prefix="spark-")
-        sc.setCheckpointDir(where)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         where = sc.getCheckpointDir()
-    path = f"{where}/settled-{uuid.uuid4().hex}"
+    return f"{where}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """`df` written as Parquet into the shared folder and read back, so that its lineage ends and later plans know its size."""
+    path = shared_path(df.sparkSession, "settled")
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def closure(nodes: DataFrame) -> DataFrame:

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from genomill.functions import text as fn
-from genomill.plans.views import table
+from genomill.operators import graphs, trees
+from genomill.plans.coevolution import D15_SQL, d15_coevolution_scores
+from genomill.plans.graphs import LABELS, ROUNDS, _graph
+from genomill.plans.trees import PATHS
+from genomill.plans.views import oracle, table, view
 from genomill.sources import formats, tables
 
 PART = {
@@ -93,6 +97,55 @@ k AS (SELECT DISTINCT tree, n FROM o), i AS (SELECT tree, unnest(generate_series
 SELECT tree, CAST(id AS INT) AS branch_id, CASE WHEN id > 0 THEN CAST(id - 1 AS INT) END AS parent_branch_id, 'N' || id AS branch_name, CAST(NULL AS DOUBLE) AS length, false AS is_tip FROM i
 UNION ALL SELECT tree, CAST(CASE WHEN n = 1 THEN 0 ELSE n - 2 + j END AS INT), CASE WHEN n > 1 THEN CAST(CASE WHEN j = 1 THEN n - 2 ELSE n - j END AS INT) END, 'p' || l_partkey, CAST(q AS DOUBLE), true FROM o"""
 
+def _gff(s, d):
+    """Each part as a gene with a coding sequence in two segments, each supplier as a region."""
+    k, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    at = lambda n: (F.col("p_partkey") * 10 + n).cast("string")
+    line = lambda region, kind, beg, end, attributes: F.concat_ws("\t", region, F.lit("src"), F.lit(kind), beg, end, F.lit("."), F.lit("+"), F.lit("0"), attributes)
+    region = F.concat(F.lit("gnl|c|R"), size)
+    gene = line(region, "gene", at(1), at(9), F.concat(F.lit("ID=gene-"), k, F.lit(";locus_tag=LT_"), k))
+    cds = [line(region, "CDS", at(b), at(e), F.concat(F.lit("ID=cds-"), k, F.lit(";Parent=gene-"), k, F.lit(";protein_id=P"), k, F.lit(";product="), "p_name")) for b, e in ((1, 5), (7, 9))]
+    genes = table(s, d, "part").select(F.explode(F.array(gene, *cds, F.lit("# comment"))).alias("value"))
+    n = F.col("s_suppkey").cast("string")
+    regions = table(s, d, "supplier").select(line(F.concat(F.lit("S"), n), "region", F.lit("1"), F.concat(F.lit("1"), n), F.concat(F.lit("ID=r;Dbxref=taxon:"), F.col("s_nationkey").cast("string"), F.lit(";Name=n"), n, F.when(F.col("s_suppkey") % 2 == 0, F.lit(";genome=chromosome")).otherwise(F.lit(";plasmid-name=p;plasmid=1")), F.lit(";strain=x"))).alias("value"))
+    return formats.read_gff(genes.unionByName(regions), "ASM")
+
+
+def a4_fasta(s, d):
+    """Parts as records with tags and a sequence over two lines, written as text and read again."""
+    k = F.col("p_partkey").cast("string")
+    record = F.concat(F.lit(">prot"), k, F.lit(" [locus_tag=LT_"), k, F.lit("] [protein="), F.col("p_brand"), F.lit("]\n"), F.upper(F.replace("p_name", F.lit(" "), F.lit("\n"))))
+    path = trees.shared_path(s, "fasta")
+    table(s, d, "part").select(record.alias("value")).write.text(path)
+    return tables.read_fasta(s, path).select("id", F.col("tags")["locus_tag"].alias("locus_tag"), F.col("tags")["protein"].alias("protein"), "seq")
+
+
+def a12_scores(s, d):
+    path = trees.shared_path(s, "scores")
+    tables.write_scores(d15_coevolution_scores(s, d), path)
+    return formats.load_scores(s, path, 4)
+
+
+def a24_union_matrices(s, d):
+    lines = table(s, d, "lineitem")
+    matrix = lambda flags: lines.where(F.col("l_returnflag").isin(flags)).groupBy(F.col("l_partkey").alias("family")).pivot("l_returnflag", flags).agg(F.count(F.lit(1))).fillna(0)
+    return formats.union_matrices(matrix(["A", "N"]), matrix(["R", "N"]))
+
+
+TAGGED = "SELECT branch_id, parent_branch_id, CASE WHEN NOT is_tip AND branch_id % 7 = 3 THEN concat(branch_name, '_CC-clade', CAST(branch_id AS VARCHAR(9))) WHEN is_tip AND branch_id % 5 = 0 THEN concat(branch_name, '_RC-clade', CAST(branch_id % 3 AS VARCHAR(9))) ELSE branch_name END AS branch_name, is_tip FROM species_tree"
+
+
+def b23_drop_tagged(s, d):
+    nodes = s.sql(TAGGED.replace("FROM species_tree", "FROM {t}"), t=view(s, d, "species_tree"))
+    return trees.drop_tagged(nodes, trees.closure(nodes)).select("branch_id", "branch_name")
+
+
+def i11_reference_community(s, d):
+    edges = _graph(s, d)
+    node = edges.agg(F.min("a")).first()[0]
+    return graphs.reference_community(edges, node, ROUNDS, 10**9)
+
+
 QUERIES = {
     "b2_genome_codes": (lambda s, d: fn.genome_codes(_part(s, d, "codes")), _with("codes", ", c AS (SELECT assembly_id, upper(coalesce(user_code, species_code, concat(substr(string_split(species, ' ')[-2], 1, 3), substr(string_split(species, ' ')[-1], 1, 3)))) AS c FROM x) SELECT assembly_id, concat(c, CASE WHEN count(*) OVER (PARTITION BY c) > 1 THEN CAST(row_number() OVER (PARTITION BY c ORDER BY assembly_id) AS VARCHAR) ELSE '' END) AS code FROM c")),
     "b3_collection_dates": (b3_collection_dates, f"WITH x AS ({DATES}) SELECT o_orderkey, CAST(y AS INT) AS year, CASE WHEN o_orderkey % 4 <> 2 THEN CAST(m AS INT) END AS month, CASE WHEN o_orderkey % 4 IN (0, 3) THEN CAST(d AS INT) END AS day FROM x"),
@@ -118,4 +171,12 @@ QUERIES = {
     "a14_triangle": (a14_triangle, "SELECT a.n_name AS a, b.n_name AS b, (greatest(a.n_nationkey, b.n_nationkey) * 7 + least(a.n_nationkey, b.n_nationkey) * 3) % 11 / 2 AS distance FROM nation a JOIN nation b ON a.n_nationkey <> b.n_nationkey"),
     "a17_trees": (a17_trees, TREES_SQL),
     "a18_strain_errors": (a18_strain_errors, f"WITH x AS ({STRAINS}) SELECT assembly_id, 'empty species' AS error FROM x WHERE trim(species) = '' UNION ALL SELECT assembly_id, 'character in locus_tag_prefix' FROM x WHERE locus_tag_prefix LIKE '%-%' UNION ALL SELECT assembly_id, 'character in strain' FROM x WHERE strain <> 'plain' UNION ALL SELECT assembly_id, 'repeated locus_tag_prefix' FROM (SELECT *, count(*) OVER (PARTITION BY locus_tag_prefix) AS n FROM x) WHERE n > 1"),
+    "a3_genes": (lambda s, d: formats.gff_genes(_gff(s, d), formats.CODING), "SELECT 'P' || p_partkey AS product_id, 'R' || p_size AS region, 'LT_' || p_partkey AS locus_tag, p_partkey * 10 + 1 AS beg, p_partkey * 10 + 9 AS \"end\", '+' AS strand, p_name AS product FROM part"),
+    "a3_replicons": (lambda s, d: formats.gff_replicons(_gff(s, d)), "SELECT 'S' || s_suppkey AS region, 'n' || s_suppkey AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'chromosome' ELSE 'plasmid' END AS kind, CAST('1' || s_suppkey AS BIGINT) AS size, CAST(s_nationkey AS BIGINT) AS taxid, 'x' AS strain FROM supplier"),
+    "a4_fasta": (a4_fasta, "SELECT 'prot' || p_partkey AS id, 'LT_' || p_partkey AS locus_tag, p_brand AS protein, upper(replace(p_name, ' ', '')) AS seq FROM part"),
+    "a7_species_codes": (lambda s, d: tables.read_species_codes(table(s, d, "nation").select(F.explode(F.array(F.concat(F.lit("NA"), F.col("n_nationkey").cast("string"), F.lit("X B     "), (F.col("n_nationkey") + 500).cast("string"), F.lit(": N="), "n_name"), F.lit("      C=common"), F.lit("<p>"))).alias("value"))), "SELECT 'NA' || n_nationkey || 'X' AS code, n_nationkey + 500 AS taxid FROM nation"),
+    "a12_scores": (a12_scores, oracle(f"WITH x AS ({D15_SQL}) SELECT rlocds_id_1, rlocds_id_2, round(score, 6) AS score, 4 AS reconciliation_id FROM x")),
+    "a24_union_matrices": (a24_union_matrices, "WITH m AS (SELECT l_partkey AS family, count(*) FILTER (l_returnflag = 'A') AS a, count(*) FILTER (l_returnflag = 'N') AS n, count(*) FILTER (l_returnflag = 'R') AS r FROM lineitem GROUP BY 1) SELECT family, a AS \"A\", n AS \"N\", 0 AS \"R\" FROM m WHERE a + n > 0 UNION ALL SELECT family, 0, n, r FROM m WHERE n + r > 0"),
+    "b23_drop_tagged": (b23_drop_tagged, oracle(PATHS + f", t AS ({TAGGED}), gone AS (SELECT node FROM paths JOIN t ON t.branch_id = ancestor WHERE contains(t.branch_name, '_CC-clade')), x AS (SELECT branch_id FROM t WHERE is_tip AND contains(branch_name, '_RC-clade') QUALIFY row_number() OVER (PARTITION BY regexp_extract(branch_name, '(_RC-clade.*)$', 1) ORDER BY branch_name, branch_id) > 1) SELECT branch_id, branch_name FROM t WHERE branch_id NOT IN (SELECT node FROM gone) AND branch_id NOT IN (SELECT branch_id FROM x)")),
+    "i11_reference_community": (i11_reference_community, oracle(f"WITH {LABELS} SELECT node FROM l{ROUNDS} WHERE community = (SELECT community FROM l{ROUNDS} ORDER BY node LIMIT 1)")),
 }

@@ -56,8 +56,14 @@ def cds_keys(records: DataFrame) -> DataFrame:
 
 
 def read_genbank(spark: SparkSession, path: str) -> DataFrame:
-    """A5: file, qualifier, value of GenBank flat files: database links (`dbxref`, joined by `;`), `pubmed_id` (joined by `,`), and the qualifiers of the first source or region feature, with their continuation lines."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.regexp_replace("value", "\r", "").alias("t"))
+    """A5: file, qualifier, value of GenBank flat files: database links (`dbxref`, joined by `;`), `pubmed_id` (joined by `,`), and the qualifiers of the first source or region feature, with their continuation lines.
+
+    Files are read record by record (they end with `//`), so that a large one is dealt over many tasks; the first record of a file
+    tells of it, and sequences are left out before anything is moved.
+    """
+    whole = spark.read.text(path, lineSep="\n//\n").select(F.col("_metadata.file_name").alias("file"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_at"), F.regexp_replace("value", "\r", "").alias("t"))
+    records = whole.where("trim(t) <> ''").select("file", "_at", F.substring_index("t", "\nORIGIN", 1).alias("t"))
+    files = records.groupBy("file").agg(F.min_by("t", "_at").alias("t"))
     head, rest = F.regexp_replace("t", r"(?s)\nFEATURES    .*$", ""), F.regexp_extract("t", r"(?s)\nFEATURES    [^\n]*\n(.*)$", 1)
     links = F.regexp_replace(F.regexp_extract(head, r"(?:^|\n)DBLINK      ([^\n]*(?:\n            [^\n]*)*)", 1), r"\n {12}", ";")
     pubmed = F.array_join(F.regexp_extract_all(head, F.lit(r"\n   PUBMED   ([^\n]*)"), 1), ",")
