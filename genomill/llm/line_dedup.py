@@ -45,7 +45,7 @@ def recurring_lines(docs: DataFrame, lead: int = 3, alike: float = 0.6, min_docs
     `lead` tokens, tokens with a digit being wildcards. In the leaf that it comes to, a later token is a field that varies unless
     `min_docs` lines of different texts or wording have it at its place; with its varying fields taken out a line is a template, if
     `alike` of its tokens (wildcards apart) are left. Copies of one text count as one document, so that copying alone makes no
-    line a template. Leaves met in one text only are left out before any line is moved as a whole.
+    line a template. Leaves of one text only, or of too few lines to recur, are left out before any line is moved as a whole.
 
     Null text: no lines, null text. Null or repeated doc_ids: rows are held apart by doc_id and text; equal rows get one
     decision. Other columns are ignored. An empty table gives an empty result.
@@ -53,7 +53,7 @@ def recurring_lines(docs: DataFrame, lead: int = 3, alike: float = 0.6, min_docs
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lines = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "\n")).alias("at", "line")).select("t", "at", F.trim("line").alias("line")).where("line <> ''")
     lines = lines.withColumn("leaf", F.xxhash64(_tokens(F.col("line")), _masked(F.substring_index("line", " ", lead))))
-    shared = lines.groupBy("leaf").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo <> hi").select("leaf")
+    shared = lines.groupBy("leaf").agg(F.min("t").alias("lo"), F.max("t").alias("hi"), F.count("*").alias("lines")).where((F.col("lo") != F.col("hi")) & (F.col("lines") >= min_docs)).select("leaf")
     kept = cut(lines.join(shared.hint("shuffle_hash"), "leaf", "left_semi").select("leaf", "t", "at", _masked(F.col("line")).alias("form")).withColumn("f", F.xxhash64("form")).distinct())
     forms = cut(kept.select("leaf", "f", "form", "t").distinct().groupBy("leaf", "f", "form").agg(F.count("*").alias("n")))
     parsed = cut(templates(forms, lead, alike, min_docs))
@@ -62,8 +62,6 @@ def recurring_lines(docs: DataFrame, lead: int = 3, alike: float = 0.6, min_docs
     discard(kept)
     common = cut(placed.select("leaf", "template", "t").distinct().groupBy("leaf", "template").count().where(F.col("count") >= min_docs).select("leaf", "template"))
     gone = placed.join(common.hint("merge"), ["leaf", "template"], "left_semi").groupBy("t").agg(F.collect_set("at").alias("gone"))
-    gone = cut(gone)
-    discard(placed)
     rows = docs.withColumn("t", F.xxhash64("text")).join(gone, "t", "left")
     parts = F.split("text", "\n")
     left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("gone", i)), "\n")
