@@ -81,7 +81,7 @@ def _parts(placed: DataFrame, limit: int) -> DataFrame:
     hold a whole bucket.
     """
     each = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(limit) / F.col("_bytes")))
-    marked = placed.where("_depth IS NULL").withColumn("_pid", F.spark_partition_id())
+    marked = cut(placed.where("_depth IS NULL").withColumn("_pid", F.spark_partition_id()))  # written, so that both reads below see the same numbers
     counts = marked.groupBy("_h", "_pid").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("_h").orderBy("_pid")
     offsets = counts.select("_h", "_pid", (F.sum("_n").over(before) - F.col("_n")).alias("_before"), F.sum("_n").over(Window.partitionBy("_h")).alias("_all"))
