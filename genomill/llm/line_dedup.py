@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from genomill.llm import common
 from genomill.llm.common import cut, discard, table
 
 WILD = "<*>"
@@ -60,8 +61,12 @@ def recurring_lines(docs: DataFrame, lead: int = 3, alike: float = 0.6, min_docs
     discard(forms)
     placed = cut(kept.select("leaf", "f", "t", "at").join(parsed.hint("merge"), ["leaf", "f"]).select("leaf", "template", "t", "at"))
     discard(kept)
-    common = cut(placed.select("leaf", "template", "t").distinct().groupBy("leaf", "template").count().where(F.col("count") >= min_docs).select("leaf", "template"))
-    gone = placed.join(common.hint("merge"), ["leaf", "template"], "left_semi").groupBy("t").agg(F.collect_set("at").alias("gone"))
+    recurs = cut(placed.select("leaf", "template", "t").distinct().groupBy("leaf", "template").count().where(F.col("count") >= min_docs).select("leaf", "template"))
+    gone = cut(placed.join(recurs.hint("merge"), ["leaf", "template"], "left_semi").groupBy("t").agg(F.collect_set("at").alias("gone")))
+    discard(placed)
+    # few lines that go, by count: they are sent to the texts; many: texts and lines meet by a shuffle
+    few = (gone.agg(F.sum(F.size("gone"))).first()[0] or 0) <= common.BROADCAST_IDS
+    gone = F.broadcast(gone) if few else gone.hint("merge")
     rows = docs.withColumn("t", F.xxhash64("text")).join(gone, "t", "left")
     parts = F.split("text", "\n")
     left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("gone", i)), "\n")

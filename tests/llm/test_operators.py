@@ -337,7 +337,7 @@ def test_lines_against_brute_force(spark):
     assert sorted(((str(r.doc_id), r.text) for r in got), key=str) == sorted(want, key=str)
 
 
-def test_templates_with_varying_words_against_brute_force(spark):
+def test_templates_with_varying_words_against_brute_force(spark, monkeypatch):
     """Words that vary make fields: leaves of few and of many forms, by a plain loop over all lines."""
     rng = np.random.default_rng(6)
     word = lambda n: "".join(rng.choice(list("abcdefghij"), n))
@@ -364,8 +364,10 @@ def test_templates_with_varying_words_against_brute_force(spark):
             where_of.setdefault(template[f], set()).update(where)
     gone = {f for f in template if len(where_of[template[f]]) >= least}
     want = {i: "\n".join(x for x in t.split("\n") if mask(x) not in gone) for i, t in rows}
-    got = {r.doc_id: r.text for r in line_dedup.recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == want
+    for bound in (common.BROADCAST_IDS, 0):
+        monkeypatch.setattr(common, "BROADCAST_IDS", bound)
+        got = {r.doc_id: r.text for r in line_dedup.recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == want
     assert all("posted" not in want[i] and want[i] for i in range(40)) and sum(not t for t in want.values()) < 60
 
 

@@ -83,7 +83,7 @@ def test_trie_of_rebuilt_conversations(spark):
 
 
 def test_trie_over_many_blocks_and_pieces(spark, monkeypatch):
-    monkeypatch.setattr(trie, "WIDTHS", (3, 20))
+    monkeypatch.setattr(trie, "WIDTHS", (4, 24))
     monkeypatch.setattr(trie, "PIECE_BYTES", 8)
     rows = conversations() + [(2000 + c, t, "user", f"copy {t}") for c in range(40) for t in range(3)]
     same(spark, rows, built=False)
