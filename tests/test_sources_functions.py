@@ -147,4 +147,4 @@ def test_similarity_families(spark):
     base = " ".join(f"w{i}" for i in range(60))
     texts = spark.createDataFrame([(5, base), (2, base + " x"), (9, base), (7, "a b"), (8, "a b"), (1, None), (3, "q r s t u v"), (4, "")], "id int, text string")
     assert rows(similarity_families(texts, 5, 0.75), "id") == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 2), (7, 7), (8, 7), (9, 2)]
-    assert rows(similarity_families(texts.where("id < 0"), 5, 20, 0.75)) == []
+    assert rows(similarity_families(texts.where("id < 0"), 5, 0.75)) == []
