@@ -105,7 +105,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = 10, max_w
 
     A-Z are lower-cased; words are runs of 0-9, a-z and everything beyond ASCII. A window is `width` consecutive words of an
     item; an item of fewer words, but not none, is one window. The patterns of a pass hold at most about `max_words_a_pass`
-    words of items, some 150 MB of windows (checked by a count, before anything is sent out; one longer item is a pass of its own); a larger benchmark is searched in several passes over
+    words of items (checked by a count, before anything is sent out; one longer item is a pass of its own; building a full pass takes
+    1.3 GB on the driver at its peak); a larger benchmark is searched in several passes over
     the documents, dealt by a hash of the item. Null texts and documents without words: no words, no hits. Items with a null
     item_id or without words: never found. Repeated items count once. Repeated or null doc_ids: each row by
     itself. Columns of these three names in `docs` are replaced; all others pass through.
