@@ -107,9 +107,13 @@ def name_populations(members: DataFrame) -> DataFrame:
 
 
 def pool_populations(distances: DataFrame, most: int) -> DataFrame:
-    """Populations at most so many edges apart, directly or by way of others, as one: pool, members."""
-    near = distances.where(F.col("distance") <= most).select(F.col("tip_1").alias("a"), F.col("tip_2").alias("b"))
-    return components(near).groupBy(F.col("component").alias("pool")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("node")), lambda x: x.cast("string")), ",").alias("members"))
+    """Populations at most so many edges apart, directly or by way of others, as one: pool, members. `distances` (tip_1, tip_2, distance)."""
+    return pools(distances.where(F.col("distance") <= most).select(F.col("tip_1").alias("a"), F.col("tip_2").alias("b")))
+
+
+def pools(links: DataFrame) -> DataFrame:
+    """Pool (its smallest member) and members of the components of links (a, b)."""
+    return components(links).groupBy(F.col("component").alias("pool")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("node")), lambda x: x.cast("string")), ",").alias("members"))
 
 
 def og_report(families: DataFrame, groups: DataFrame, collection: int) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from genomill.functions.text import families_matching, find_families
 from genomill.operators import mapping as ops
 from genomill.operators import intervals
-from genomill.operators import counting
+from genomill.operators import counting, trees
 from genomill.plans.counting import GENOMES, _genomes
 from genomill.plans.trees import PATHS, _tree, _walk
 from genomill.plans.views import oracle, table, view
@@ -90,7 +90,7 @@ QUERIES = {
     "d22_population_occurrence": (_occurrence, oracle(f"WITH {OCCURRENCE} SELECT * FROM occ")),
     "f6_ancestral_population": (f6_ancestral_population, oracle(f"{PATHS}, {OCCURRENCE}, a AS (SELECT population, ancestor, sum(distance) AS d FROM pops JOIN paths USING (node) GROUP BY 1, 2 HAVING count(*) = (SELECT count(*) FROM pops p WHERE p.population = pops.population)), m AS (SELECT population, arg_min(ancestor, d) AS node FROM a GROUP BY 1), z AS (SELECT population, max(distance) AS depth FROM m JOIN paths USING (node) GROUP BY 1) SELECT clade, population FROM occ JOIN z USING (population) QUALIFY row_number() OVER (PARTITION BY clade ORDER BY median >= 0.5 AND census > 1 DESC, depth, census DESC, mean DESC, population) = 1")),
     "f9_name_populations": (lambda s, d: ops.name_populations(view(s, d, "assemblies").select(F.col("taxid").alias("population"), F.col("species").alias("label"))), oracle("WITH c AS (SELECT taxid AS population, substr(species, 1, 3) AS p, count(*) AS n FROM assemblies GROUP BY 1, 2), b AS (SELECT population, p FROM c QUALIFY row_number() OVER (PARTITION BY population ORDER BY n DESC, p) = 1) SELECT population, p || row_number() OVER (PARTITION BY p ORDER BY population) AS name FROM b")),
-    "i10_pool_populations": (lambda s, d: ops.pool_populations(intervals.tip_distances(*_walk(s, d)), 4), oracle(f"{PATHS}, e AS (SELECT a.node AS a, b.node AS b FROM paths a JOIN paths b USING (ancestor) WHERE a.node <> b.node AND a.node IN (SELECT node FROM tips) AND b.node IN (SELECT node FROM tips) GROUP BY 1, 2 HAVING min(a.distance + b.distance) <= 4), r AS (SELECT a AS node, a AS other FROM e UNION SELECT r.node, b FROM r JOIN e ON a = other), c AS (SELECT node, min(other) AS pool FROM r GROUP BY 1) SELECT pool, string_agg(node, ',' ORDER BY node) AS members FROM c GROUP BY 1")),
+    "i10_pool_populations": (lambda s, d: ops.pools(trees.near_tips(view(s, d, "species_tree"), 4)), oracle(f"{PATHS}, e AS (SELECT a.node AS a, b.node AS b FROM paths a JOIN paths b USING (ancestor) WHERE a.node <> b.node AND a.node IN (SELECT node FROM tips) AND b.node IN (SELECT node FROM tips) GROUP BY 1, 2 HAVING min(a.distance + b.distance) <= 4), r AS (SELECT a AS node, a AS other FROM e UNION SELECT r.node, b FROM r JOIN e ON a = other), c AS (SELECT node, min(other) AS pool FROM r GROUP BY 1) SELECT pool, string_agg(node, ',' ORDER BY node) AS members FROM c GROUP BY 1")),
     "d29_og_report": (lambda s, d: ops.og_report(view(s, d, "lineage_families"), view(s, d, "orthologous_groups"), 1), oracle("SELECT count(*) AS n_lineages, count(og_id) AS n_in_groups, count(DISTINCT l.gene_family_id) AS n_families, count(DISTINCT o.gene_family_id) AS n_families_in_groups, count(DISTINCT o.gene_family_id || '-' || og_id) AS n_groups FROM lineage_families l LEFT JOIN orthologous_groups o USING (rlocds_id)")),
     "k6_cds_families": (k6_cds_families, oracle("WITH p AS (SELECT nr_protein_id, CASE WHEN CAST(substr(protein_family_id, 7) AS INT) > 5 THEN CAST(substr(protein_family_id, 7) AS INT) END AS family_no FROM proteins), l AS (SELECT nr_protein_id, count(*) AS n FROM p JOIN coding_sequences USING (nr_protein_id) WHERE family_no IS NULL GROUP BY 1) SELECT nr_protein_id, CAST(family_no AS BIGINT) AS family_no FROM p WHERE family_no IS NOT NULL UNION ALL SELECT nr_protein_id, row_number() OVER (ORDER BY nr_protein_id) + (SELECT max(family_no) FROM p) FROM l WHERE n > 1 UNION ALL SELECT nr_protein_id, 0 FROM l WHERE n = 1")),
 }
