@@ -5,7 +5,7 @@ None of this holds a row for each node and ancestor: a tour has two rows a node,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genomill.operators.sequences import number_rows
@@ -78,12 +78,37 @@ def leaf_sets(nodes: DataFrame, tour: DataFrame) -> DataFrame:
     return inside.join(names, "_leaf").groupBy("ancestor", "n_leaves").agg(F.array_join(F.array_sort(F.collect_list("branch_name")), ",").alias("leaves"))
 
 
-def tip_distances(nodes: DataFrame, tour: DataFrame, minima: DataFrame) -> DataFrame:
-    """tip_1 < tip_2, edges between them by way of their last common ancestor; tips of different trees have none. All pairs of tips are the result."""
-    tips = tour.join(nodes.where("is_tip").select(F.col("branch_id").alias("node")), "node").select("node", "pre", "depth")
-    a, b = (tips.toDF(*[f"_{c}_{i}" for c in ("node", "pre", "depth")]) for i in (1, 2))
-    met = _shallowest(a.join(b.hint("shuffle_replicate_nl"), F.col("_pre_1") < F.col("_pre_2")), minima, F.col("_pre_1") + 1, F.col("_pre_2"))
-    return met.where("_least.parent IS NOT NULL").select(F.least("_node_1", "_node_2").alias("tip_1"), F.greatest("_node_1", "_node_2").alias("tip_2"), (F.col("_depth_1") + F.col("_depth_2") - 2 * (F.col("_least.depth") - 1)).cast("int").alias("distance"))
+def tip_distances(nodes: DataFrame, tour: DataFrame, minima: DataFrame, block: int = 256) -> DataFrame:
+    """tip_1 < tip_2, edges between them by way of their last common ancestor; tips of different trees have none. All pairs of tips are the result.
+
+    Only neighbours in the walk ask for their common ancestor: that of two tips is the shallowest of those between them. Tips are dealt
+    into blocks of the walk; a row for each two blocks holds the least depth between them, and meets the tips of both blocks, each with
+    the least depth up to its block's edge, so that a pair is one sum and no row of a pair is shuffled. Pairs inside a block (the next
+    tips up to its end) take their least depth from the gaps between. -1 stands for a gap between trees.
+    """
+    tips = settle(number_rows(tour.join(nodes.where("is_tip").select(F.col("branch_id").alias("node")), "node").select("node", "pre", "depth"), ["pre"], "k"))
+    after = tips.select((F.col("k") - 1).alias("k"), F.col("pre").alias("_pre"))
+    met = _shallowest(tips.join(after, "k").select("k", "pre", "_pre"), minima, F.col("pre") + 1, F.col("_pre"))
+    # gap: depth of the common ancestor of a tip and the one before it
+    gaps = met.select((F.col("k") + 1).alias("k"), F.when(F.col("_least.parent").isNotNull(), F.col("_least.depth") - 1).otherwise(-1).alias("gap"))
+    dealt = settle(tips.join(gaps, "k", "left").select("k", F.expr(f"(k - 1) div {block}").alias("block"), "node", "depth", F.coalesce("gap", F.lit(-1)).alias("gap")))
+    rows = Window.partitionBy("block").orderBy("k").rowsBetween
+    placed = dealt.withColumn("low", F.min("gap").over(rows(Window.unboundedPreceding, 0))).withColumn("high", F.min("gap").over(rows(1, Window.unboundedFollowing)))
+    # high: from a tip to the end of its block (of its last tip: no gap, so that none is less)
+    each = F.struct("k", "node", "depth", "gap", "low", F.coalesce("high", F.lit(2**31 - 1)).alias("high"))
+    blocks = settle(placed.groupBy("block").agg(F.array_sort(F.collect_list(each)).alias("tips"), F.min("gap").alias("least")))
+    n = blocks.count()
+    pairs = blocks.select(F.col("block").alias("_i")).join(F.broadcast(blocks.select(F.col("block").alias("_j"), "least")), F.col("_i") < F.col("_j"))
+    between = F.min("least").over(Window.partitionBy("_i").orderBy("_j").rowsBetween(Window.unboundedPreceding, -1))
+    pairs = settle(pairs.select("_i", "_j", F.coalesce(between, F.lit(2**31 - 1)).alias("_least")))
+    own, other = (blocks.select(F.col("block").alias(b), F.col("tips").alias(f"_tips{b}")) for b in ("_i", "_j"))
+    far = pairs.repartition(n // 8 + 1, "_i", "_j").join(F.broadcast(own), "_i").join(F.broadcast(other), "_j")
+    far = far.select("_least", "_tips_j", F.explode("_tips_i").alias("_a")).select(F.col("_a.node").alias("_1"), F.col("_a.depth").alias("_d1"), F.least("_least", "_a.high").alias("_least"), F.explode("_tips_j").alias("_b"))
+    far = far.select("_1", F.col("_b.node").alias("_2"), F.col("_d1"), F.col("_b.depth").alias("_d2"), F.least("_least", "_b.low").alias("_at"))
+    ahead = F.expr(f"slice(tips, place + 2, {block})")
+    near = blocks.repartition(n // 8 + 1, "block").select("tips", F.posexplode("tips").alias("place", "_a")).select("_a", ahead.alias("_next")).where(F.size("_next") > 0)
+    near = near.select("_a", "_next", F.posexplode("_next").alias("_at", "_b")).select(F.col("_a.node").alias("_1"), F.col("_b.node").alias("_2"), F.col("_a.depth").alias("_d1"), F.col("_b.depth").alias("_d2"), F.array_min(F.slice(F.col("_next")["gap"], F.lit(1), F.col("_at") + 1)).alias("_at"))
+    return far.unionByName(near).where("_at >= 0").select(F.least("_1", "_2").alias("tip_1"), F.greatest("_1", "_2").alias("tip_2"), (F.col("_d1") + F.col("_d2") - 2 * F.col("_at")).cast("int").alias("distance"))
 
 
 def inside_of(tour: DataFrame, tops: DataFrame) -> DataFrame:

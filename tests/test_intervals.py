@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from genomill.operators import intervals, sequences, similarity
 from genomill.sources import formats
 
@@ -118,3 +120,23 @@ def test_prefixes_lose_no_similar_sketch(spark):
         assert {(r.id_1, r.id_2): r for r in similarity.sketch_distances(df, 5, 40, least).collect()} == {k: r for k, r in every.items() if r.jaccard >= least}
     own = similarity.sketches(df, 5, 40)
     assert similarity._prefixes(own, 0.8).count() < similarity._prefixes(own, 0.0).count() / 2
+
+
+def test_pools_and_distances_of_many_tips(spark):
+    """Links to the nearest tip make the pools that all near pairs make; blocks of any size give the same distances."""
+    from genomill.operators import mapping, trees
+
+    parent = random_tree(130, 11) | {v + 1000: p and p + 1000 for v, p in random_tree(60, 12, star=True).items()} | {5000: None}
+    inner = {p for p in parent.values() if p}
+    nodes = spark.createDataFrame([(v, p, f"n{v}", v not in inner) for v, p in parent.items()], "branch_id int, parent_branch_id int, branch_name string, is_tip boolean")
+    tour = intervals.euler_tour(nodes)
+    minima = intervals.range_minima(tour)
+    distances = intervals.tip_distances(nodes, tour, minima).cache()
+    assert sorted(intervals.tip_distances(nodes, tour, minima, 7).collect()) == sorted(distances.collect())
+    for most in (2, 3, 5):
+        assert sorted(mapping.pools(trees.near_tips(nodes, most)).collect()) == sorted(mapping.pool_populations(distances, most).collect())
+    # the plan of the pools lists no pairs of tips, and each task of the catalogue has its share of the recipients
+    assert trees.near_tips(nodes, 2).count() < len(parent)
+    catalogue = trees.event_catalogue(nodes, 20)
+    assert catalogue.count() == len(parent) ** 2 + 4 * len(parent) + 1
+    assert catalogue.where("event_type = 'T'").select(F.spark_partition_id()).distinct().count() > 1
