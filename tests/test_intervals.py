@@ -140,3 +140,25 @@ def test_pools_and_distances_of_many_tips(spark):
     catalogue = trees.event_catalogue(nodes, 20)
     assert catalogue.count() == len(parent) ** 2 + 4 * len(parent) + 1
     assert catalogue.where("event_type = 'T'").select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_pairs_of_lineages_are_summed_where_they_meet(spark):
+    """Meetings are dealt by lineage and in many tasks: a sum over pairs needs no exchange of rows of pairs."""
+    from genomill.operators import coevolution as co
+    from genomill.operators.trees import settle
+
+    rng = random.Random(4)
+    rows = [(e, l, rng.randint(1, 100), l % 3) for e in range(40) for l in rng.sample(range(60), rng.choice([1, 5, 30]))]
+    side = settle(spark.createDataFrame(rows, "event_id long, rlocds_id long, freq long, gene_family_id int"))
+    sizes = settle(side.groupBy("event_id").count().withColumnRenamed("count", "_n"))
+    want = sorted((a[1], b[1], a[0], a[2], b[2]) for a in rows for b in rows if a[0] == b[0] and a[1] <= b[1] and a[3] != b[3])
+    kept = co.MEETINGS_A_TASK
+    try:
+        co.MEETINGS_A_TASK = 500
+        for block in (2000, 7):
+            met = co._met(side, sizes, "between_fams", block)
+            assert sorted(map(tuple, met.collect())) == want and met.rdd.getNumPartitions() > 4
+            summed = met.groupBy("rlocds_id_1", "rlocds_id_2").count()
+            assert "rlocds_id_2" not in "".join(x for x in summed._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in x)
+    finally:
+        co.MEETINGS_A_TASK = kept
