@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from genomill.operators.trees import settle
 
 def build_proteins(products: DataFrame, families: DataFrame) -> DataFrame:
     """One row per protein and family, with the smallest product."""
@@ -219,8 +220,15 @@ def breaches(counts: DataFrame, clades: DataFrame, families: DataFrame) -> DataF
 
 
 def annotation_lines(annotations: DataFrame, terms: DataFrame) -> DataFrame:
-    """The distinct terms of each protein in one line."""
-    return annotations.join(terms, "interpro_id").groupBy("nr_protein_id").agg(F.array_join(F.array_sort(F.collect_set("go_id")), "|").alias("go_terms"))
+    """The distinct terms of each protein in one line.
+
+    A line is made once for each set of domains that some protein has, and proteins take theirs whole, so that no row is made for each
+    protein and term.
+    """
+    sets = settle(annotations.groupBy("nr_protein_id").agg(F.array_sort(F.collect_set("interpro_id")).alias("_set")))
+    each = sets.select("_set").distinct().select("_set", F.explode("_set").alias("interpro_id"))
+    lines = each.join(terms.select("interpro_id", "go_id").where("go_id IS NOT NULL").distinct(), "interpro_id").groupBy("_set").agg(F.array_join(F.array_sort(F.collect_set("go_id")), "|").alias("go_terms"))
+    return sets.join(lines, "_set").select("nr_protein_id", "go_terms")
 
 
 def pathway_lines(annotations: DataFrame, pathways: DataFrame) -> DataFrame:
