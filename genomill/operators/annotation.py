@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genomill.operators.graphs import community_edges, small_communities
+from genomill.operators.trees import settle
 
 
 def annotate_pairs(pairs: DataFrame, annotation: DataFrame, first: str, second: str, key: str) -> DataFrame:
@@ -69,20 +70,35 @@ def specificity_breaches(counts: DataFrame, clades: DataFrame, families: DataFra
     return inside.groupBy("clade", "gene_family_id").agg(listed((F.col("side") == "clade") & F.col("_has").isNull()).alias("lacking"), listed((F.col("side") == "contrast") & F.col("_has").isNotNull()).alias("having"))
 
 
+def _term_sets(terms: DataFrame, rows_a_task: int = 1_000_000) -> DataFrame:
+    """nr_protein_id, _terms: the distinct terms of each protein as one array. Rows of terms are dealt by number before they are collected, so that no task holds more as the table grows."""
+    terms = terms.select("nr_protein_id", "go_id")
+    return terms.repartition(terms.count() // rows_a_task + 1, "nr_protein_id").groupBy("nr_protein_id").agg(F.collect_set(F.struct("go_id")).alias("_terms"))
+
+
 def clade_core_background(genes: DataFrame, terms: DataFrame, clades: DataFrame) -> DataFrame:
     """Per clade the families with exactly one gene in each of its genomes, the gene of the clade's first genome, and that gene's terms."""
     inside = clades.where("side = 'clade'").select("clade", "genome").distinct()
     sizes = inside.groupBy("clade").agg(F.count("*").alias("_n"))
     held = genes.where("gene_family_id IS NOT NULL").join(inside, "genome").groupBy("clade", "gene_family_id").agg(F.count("*").alias("_s"), F.countDistinct("genome").alias("_g"), F.min(F.struct("genome", "cds_code", "nr_protein_id")).alias("_m"))
     core = held.join(sizes, "clade").where("_s = _n AND _g = _n").select("clade", "gene_family_id", "_m.cds_code", "_m.nr_protein_id")
-    return core.join(terms, "nr_protein_id").select("clade", "gene_family_id", "cds_code", "go_id").distinct()
+    # a family has one gene here, so that its distinct terms are those of one array
+    return core.join(_term_sets(terms), "nr_protein_id").select("clade", "gene_family_id", "cds_code", F.explode("_terms.go_id").alias("go_id"))
 
 
 def pan_background(genes: DataFrame, terms: DataFrame, clades: DataFrame, empty: bool = True) -> DataFrame:
-    """The families and their terms in the whole set (clade null) and in each clade; `empty`: also families without terms (term null)."""
-    own = genes.where("gene_family_id IS NOT NULL").select("genome", "gene_family_id", "nr_protein_id").distinct().join(terms, "nr_protein_id", "left" if empty else "inner")
-    whole = own.select(F.lit(None).cast(clades.schema["clade"].dataType).alias("clade"), "gene_family_id", "go_id").distinct()
-    return whole.unionByName(own.join(clades.where("side = 'clade'").select("clade", "genome"), "genome").select("clade", "gene_family_id", "go_id").distinct())
+    """The families and their terms in the whole set (clade null) and in each clade; `empty`: also families without terms (term null).
+
+    Families and proteins are made distinct before they meet terms, and terms stay arrays until each family has its own.
+    """
+    own = settle(genes.where("gene_family_id IS NOT NULL").select("genome", "gene_family_id", "nr_protein_id").distinct())
+    listed = clades.where("side = 'clade'").select("clade", "genome")
+    held = own.select(F.lit(None).cast(clades.schema["clade"].dataType).alias("clade"), "gene_family_id", "nr_protein_id").distinct()
+    held = held.unionByName(own.join(listed, "genome").select("clade", "gene_family_id", "nr_protein_id").distinct())
+    known = held.join(_term_sets(terms), "nr_protein_id", "left" if empty else "inner")
+    none = F.array(F.struct(F.lit(None).cast(terms.schema["go_id"].dataType).alias("go_id")))
+    merged = known.groupBy("clade", "gene_family_id").agg(F.array_distinct(F.flatten(F.collect_list(F.coalesce("_terms", none)))).alias("_terms"))
+    return merged.select("clade", "gene_family_id", F.explode("_terms.go_id").alias("go_id"))
 
 
 def shared_rows(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Trees as intervals and in blocks of tokens, alignments in blocks, and similarity joins, against plain loops."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -162,3 +163,35 @@ def test_pairs_of_lineages_are_summed_where_they_meet(spark):
             assert "rlocds_id_2" not in "".join(x for x in summed._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in x)
     finally:
         co.MEETINGS_A_TASK = kept
+
+
+def test_copies_meet_as_one_sketch(spark, monkeypatch):
+    """Ids of one text are one set when pairs are sought, and pairs of their own in the result."""
+    seen, kept = [], similarity._prefixes
+    monkeypatch.setattr(similarity, "_prefixes", lambda own, least: seen.append(own.count()) or kept(own, least))
+    texts = ["a b c d e f g h", "a b c d e f g i", "x y z"]
+    rows = [(10 * i + j, t) for i, t in enumerate(texts) for j in range(4)]
+    got = {(r.id_1, r.id_2): r.jaccard for r in similarity.sketch_distances(spark.createDataFrame(rows, "id int, text string"), 5, 40, 0.5).collect()}
+    want = {(a, b): 1.0 if s == t else 0.6 for a, s in rows for b, t in rows if a < b and (s == t or "x" not in s + t)}
+    assert got == want and seen == [3]
+
+
+def test_terms_meet_families_as_arrays(spark):
+    """Terms of a protein named twice, a family of two proteins, proteins without terms; lines are made once for each set of domains."""
+    from genomill.operators import annotation, counting
+
+    genes = spark.createDataFrame([("g", 1, 11, "a"), ("g", 1, 12, "b"), ("h", 1, 11, "c"), ("h", 2, 13, "d"), ("g", 2, 14, "e")], "genome string, gene_family_id int, nr_protein_id int, cds_code string")
+    terms = spark.createDataFrame([(11, "s"), (11, "t"), (11, "s"), (12, "t"), (13, "u"), (13, "u")], "nr_protein_id int, go_id string")
+    clades = spark.createDataFrame([(7, "g", "clade"), (7, "h", "clade")], "clade int, genome string, side string")
+    pan = [tuple(r) for r in annotation.pan_background(genes, terms, clades).collect()]
+    assert sorted(pan, key=str) == sorted([(c, f, t) for c in (None, 7) for f, t in ((1, "s"), (1, "t"), (2, "u"), (2, None))], key=str)
+    core = annotation.clade_core_background(genes, terms, clades)
+    assert core.collect() == [] and annotation.clade_core_background(genes.where("cds_code <> 'b' AND cds_code <> 'c' OR cds_code = 'x'"), terms, clades.where("genome = 'g'")).where("gene_family_id = 1").count() == 2
+    domains = spark.createDataFrame([(i, d) for i in range(50) for d in ("p", "q")] + [(99, "r"), (98, "p")], "nr_protein_id int, interpro_id string")
+    named = spark.createDataFrame([("p", "one"), ("q", "two"), ("q", "one"), ("q", None)], "interpro_id string, go_id string")
+    lines = counting.annotation_lines(domains, named)
+    assert {tuple(r) for r in lines.collect()} == {(i, "one|two") for i in range(50)} | {(98, "one")}
+    # no table of a protein's or a family's terms is made distinct or collected row by row
+    keys = lambda df: re.findall(r"Aggregate \[([^\]]*)\]", df._jdf.queryExecution().optimizedPlan().toString())
+    assert not any("nr_protein_id" in k for k in keys(lines))
+    assert not any("go_id" in k for df in (annotation.pan_background(genes, terms, clades), core) for k in keys(df))
