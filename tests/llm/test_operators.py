@@ -462,6 +462,44 @@ def test_passages_against_all_exact_runs(spark):
     assert n > 1000
 
 
+def test_passages_whose_seeds_have_other_first_holders(spark):
+    """Brute force: the words of each passage that all shared seeds of any two documents lead to lie in a found passage."""
+    rng = np.random.default_rng(38)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
+    texts = []
+    for case in range(20):
+        parts = [word(24) for _ in range(3)]
+        whole = [w for p in parts for w in p]
+        texts += [word(30) + p + word(30) for p in parts]
+        texts += [word(20) + parts[0] + word(40) + parts[1] + word(40) + parts[2] + word(20)]
+        texts.append(word(40) + whole + word(40))
+        own = [w if i % 9 != 4 else f"x{case}.{i}" for i, w in enumerate(whole)]
+        around = word(46), word(110)
+        texts.append(word(10) + around[0] + own + around[1] + (around[0] + own + around[1] if case % 2 else []) + word(9))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found, covered = passages.repeated_passages(docs).collect(), {}
+    for r in found:
+        assert r.src_doc_id < r.doc_id and r.identity >= 0.8 and r.end_word - r.start_word >= 45
+        covered.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    places, both, n = {}, {}, 0
+    for r in passages.seeds(docs, 6, 10, 16, 36, 45, 108).collect():
+        places.setdefault(r.h, []).append((r.doc, r.at))
+    for own in places.values():
+        for d, x in own:
+            for e, y in own:
+                if e < d:
+                    both.setdefault((d, e), []).append((x, y))
+    for (d, e), at in both.items():
+        x, y = np.array(at).T
+        for c in passages.chain(x, y, 0.02):
+            if x[c].max() + 6 - x[c].min() >= 19:
+                for a, b, a2, b2, same, _ in passages._parts(texts[d], texts[e], list(zip(x[c].tolist(), y[c].tolist(), strict=True)), np.zeros(len(texts[d]), bool), 12, 3):
+                    if b - a >= 45 and same >= 0.8 * max(b - a, b2 - a2):
+                        n += 1
+                        assert covered.get(d, set()) >= set(range(a, b)), (d, e, a, b)
+    assert n >= 5
+
+
 def test_chain_is_the_best_one():
     x, y = np.array([1, 2, 3, 4, 50]), np.array([10, 11, 5, 13, 60])
     assert [c.tolist() for c in passages.chain(x, y, 0.002)] == [[0, 1, 3, 4], [2]]
