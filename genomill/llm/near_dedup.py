@@ -146,42 +146,66 @@ def _forest(a: np.ndarray, b: np.ndarray, label: np.ndarray) -> list[int]:
     return out
 
 
-def _crossing(rows: DataFrame, rows_a_band: int, least: float, percent: int) -> DataFrame:
-    """Links (a, b) between `rows` (band, number, size, weight, node, label, sig, shingles) of one band and different labels.
-
-    A band's rows are dealt into blocks by rows and by shingles, and pairs of blocks are compared each in a task of its own: no
-    task holds more than two blocks. Candidates (agreeing signatures, in the first band that both share) are confirmed there on
-    the full sets, and of the links only a spanning forest leaves the task: what comes out grows with the documents, not with
-    the pairs.
+def _candidates(part: pa.Table | pa.RecordBatch, rows_a_band: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes and labels of a pair of blocks (band, i, j, _m, number, node, label, sig), and the row numbers of its candidates: other labels, agreeing signatures, no earlier band in common."""
+    i, j, number = (part.column(c)[0].as_py() for c in ("i", "j", "number"))
+    block, ids, label = (np.array(part.column(c)) for c in ("_m", "node", "label"))
+    none = np.zeros(0, np.int64)
+    if (label == label[0]).all():
+        return ids, label, none, none
+    sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    pairs_a, pairs_b = [none], [none]
+    for x in left.tolist():
+        other = right[(label[right] != label[x]) & ((ids[right] > ids[x]) if i == j else True)]
+        if not len(other):
+            continue
+        same = sig[other] == sig[x]
+        keep = same.mean(axis=1) >= least
+        if number and keep.any():
+            keep[keep] = ~same[keep][:, : number * rows_a_band].reshape(int(keep.sum()), number, rows_a_band).all(axis=2).any(axis=1)
+        if keep.any():
+            pairs_a.append(np.full(int(keep.sum()), x))
+            pairs_b.append(other[keep])
+    return ids, label, np.concatenate(pairs_a), np.concatenate(pairs_b)
+
+
+def _asked(rows: DataFrame, rows_a_band: int, least: float) -> DataFrame:
+    """(band, i, j, _m, number, node, label): the `rows` (band, number, size, weight, node, label, sig) that are in a candidate pair of blocks i and j of their band.
+
+    A band's rows are dealt into blocks by rows and by shingles, and pairs of blocks are compared each in a task of its own.
     """
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
     mine = F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int")
     dealt = rows.withColumn("_m", mine).withColumn("_o", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("band", F.least("_m", "_o").alias("i"), F.greatest("_m", "_o").alias("j"), "_m", "number", "node", "label", "sig", "shingles")
+    dealt = dealt.select("band", F.least("_m", "_o").alias("i"), F.greatest("_m", "_o").alias("j"), "_m", "number", "node", "label", "sig")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in grouped(batches, ["band", "i", "j"]):
-            i, j, number = (part.column(c)[0].as_py() for c in ("i", "j", "number"))
-            block, ids, label = (np.array(part.column(c)) for c in ("_m", "node", "label"))
-            if (label == label[0]).all():
-                continue
-            sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
-            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-            pairs_a, pairs_b = [], []
-            for x in left.tolist():
-                other = right[(label[right] != label[x]) & ((ids[right] > ids[x]) if i == j else True)]
-                if not len(other):
-                    continue
-                same = sig[other] == sig[x]
-                keep = same.mean(axis=1) >= least
-                if number and keep.any():
-                    keep[keep] = ~same[keep][:, : number * rows_a_band].reshape(int(keep.sum()), number, rows_a_band).all(axis=2).any(axis=1)
-                if keep.any():
-                    pairs_a.append(np.full(int(keep.sum()), x))
-                    pairs_b.append(other[keep])
-            if not pairs_a:
+            _, _, a, b = _candidates(part, rows_a_band, least)
+            if len(a):
+                yield from part.select(["band", "i", "j", "_m", "number", "node", "label"]).take(pa.array(np.union1d(a, b))).to_batches()
+
+    return dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, "band long, i int, j int, _m int, number int, node long, label long")
+
+
+def _crossing(rows: DataFrame, rows_a_band: int, least: float, percent: int, sets: DataFrame | None = None) -> DataFrame:
+    """Links (a, b) between `rows` (band, number, size, weight, node, label) of one band and different labels. `sets` (node, sig, shingles; none: `rows` hold them).
+
+    Signatures are compared first, block by block; full sets go only to the blocks in which their nodes have a candidate, since
+    nodes that are much alike meet in many bands and are candidates in the first of them. There the candidates are found again
+    and confirmed: no task holds more than two blocks, and of the links only a spanning forest leaves it, so that what comes out
+    grows with the documents, not with the pairs.
+    """
+    if sets is None:
+        rows, sets = rows.drop("sig", "shingles"), rows.select("node", "sig", "shingles").dropDuplicates(["node"])
+    asked = cut(_asked(rows.join(sets.select("node", "sig").hint("merge"), "node"), rows_a_band, least))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in grouped(batches, ["band", "i", "j"]):
+            ids, label, a, b = _candidates(part, rows_a_band, least)
+            if not len(a):
                 continue
-            a, b = np.concatenate(pairs_a), np.concatenate(pairs_b)
             ra, at_a = np.unique(a, return_inverse=True)
             rb, at_b = np.unique(b, return_inverse=True)
             held = part.column("shingles")
@@ -193,7 +217,8 @@ def _crossing(rows: DataFrame, rows_a_band: int, least: float, percent: int) ->
             if tree := _forest(a, b, label):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a[tree]]), pa.array(ids[b[tree]])], names=["a", "b"])
 
-    return dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, "a long, b long")
+    full = asked.join(sets.select("node", "sig", "shingles").hint("merge"), "node")
+    return full.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, "a long, b long")
 
 
 def _classified(docs: DataFrame, k: int, percent: int, bands: int, rows: int, slack: float) -> DataFrame:
@@ -219,8 +244,8 @@ def _classified(docs: DataFrame, k: int, percent: int, bands: int, rows: int, sl
     label = near.select(F.col("b").alias("node"), F.col("a").alias("label"))
     named = members.join(label.hint("merge"), "node", "left").select("band", "number", "node", F.coalesce("label", "node").alias("label")).join(sets.select("node", "n").hint("merge"), "node")
     mixed = named.groupBy("band").agg(F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    still = named.join(mixed.select("band", "size", "weight"), "band").join(sets.select("node", "sig", "shingles").hint("merge"), "node")
-    links = cut(_crossing(still.select("band", "number", "size", "weight", "node", "label", "sig", "shingles"), rows, percent / 100 - slack, percent))
+    still = named.join(mixed.select("band", "size", "weight"), "band")
+    links = cut(_crossing(still.select("band", "number", "size", "weight", "node", "label"), rows, percent / 100 - slack, percent, sets))
     found = components(near.union(links), "a", "b")
 
     named = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

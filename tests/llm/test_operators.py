@@ -83,6 +83,29 @@ def test_crossing_blocks_find_every_link(spark, monkeypatch):
     assert near_dedup._crossing(one_label, 2, 1.0, 75).collect() == []
 
 
+def test_full_sets_go_only_to_the_bands_of_candidates(spark, monkeypatch):
+    """Nodes that meet in many bands are candidates in the first: full sets are sent once for it, and every link is found."""
+    rng = np.random.default_rng(5)
+    sig = [bytes([g] * 38 + [i, 9]) for i in range(6) for g in (1, 2)]  # two groups; 19 bands of two bytes in common, the last apart
+    sig += [bytes([1] * 2 + list(rng.integers(10, 250, 38))) for _ in range(4)]  # these meet the first group in one band, but are no candidates
+    whole = rng.integers(1, 1 << 62, 40).astype(np.uint64)
+    sets = [np.sort(np.append(whole, np.uint64(i))).tobytes() for i in range(16)]
+    bands = {}
+    for node, s in enumerate(sig):
+        for number in range(19):
+            bands.setdefault((number, s[2 * number : 2 * number + 2]), []).append(node)
+    rows = [(hash(k), k[0], len(own), len(own) * 41, node, node, sig[node], sets[node]) for k, own in bands.items() if len(own) > 1 for node in own]
+    df = spark.createDataFrame(rows, "band long, number int, size long, weight long, node long, label long, sig binary, shingles binary")
+    sent, real = [], near_dedup.cut
+    monkeypatch.setattr(near_dedup, "cut", lambda x: sent.append(real(x)) or sent[-1])
+    links = [(r.a, r.b) for r in near_dedup._crossing(df, 2, 0.65, 75).collect()]
+    root = list(range(16))
+    for a, b in links:
+        root = [root[a] if x == root[b] else x for x in root]
+    assert len(set(root[:12:2])) == len(set(root[1:12:2])) == 1 and len(set(root)) == 6
+    assert len(rows) > 200 and sent[0].count() == 12
+
+
 def near_copies(rng, groups, size, n_words, edits, first=0):
     """Groups of texts of which each has some words changed: similarities lie about the threshold."""
     rows = []
