@@ -72,3 +72,18 @@ def test_hypergeometric_tail(spark):
     for i, (k, n, m, t) in enumerate(cases):
         want = float(Fraction(sum(comb(m, x) * comb(t - m, n - x) for x in range(k, min(n, m) + 1)), comb(t, n)))
         assert abs(got[i] - want) < 1e-9 * max(want, 1e-3), (k, n, m, t)
+
+
+def test_tasks_of_scores_follow_the_table(spark, sf, monkeypatch):
+    """What is put in order, listed or joined for the scores is dealt over as many tasks as the rows need; no score changes."""
+    from genomill.operators import coevolution as co
+    from genomill.plans import coevolution as plans
+    from genomill.plans import views
+
+    want = sorted(plans.d15_coevolution_scores(spark, sf).collect())
+    monkeypatch.setattr(co, "ROWS_A_TASK", 500)
+    monkeypatch.setattr(views, "ROWS_A_TASK", 500)
+    dealt, real = [], co._dealt
+    monkeypatch.setattr(co, "_dealt", lambda df, rows, *keys: dealt.append((keys, real(df, rows, *keys).rdd.getNumPartitions())) or real(df, rows, *keys))
+    assert sorted(plans.d15_coevolution_scores(spark, sf).collect()) == want
+    assert {k for k, _ in dealt} == {("rlocds_id",), ("event_id",)} and all(n > 8 for _, n in dealt)
