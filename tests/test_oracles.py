@@ -1,5 +1,7 @@
 """Every query that SQL can express gives the rows that DuckDB gives."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -87,3 +89,16 @@ def test_tasks_of_scores_follow_the_table(spark, sf, monkeypatch):
     monkeypatch.setattr(co, "_dealt", lambda df, rows, *keys: dealt.append((keys, real(df, rows, *keys).rdd.getNumPartitions())) or real(df, rows, *keys))
     assert sorted(plans.d15_coevolution_scores(spark, sf).collect()) == want
     assert {k for k, _ in dealt} == {("rlocds_id",), ("event_id",)} and all(n > 8 for _, n in dealt)
+
+
+def test_lookup_of_left_out_events_follows_the_table(spark, sf, monkeypatch):
+    """Events left out are looked up in as many tasks as rows and look-ups need, on both sides of the join; no score changes."""
+    from genomill.operators import coevolution as co
+    from genomill.plans import coevolution as plans
+
+    want = sorted(plans.d15_coevolution_scores(spark, sf).collect())
+    monkeypatch.setattr(co, "ROWS_A_TASK", 500)
+    got = plans.d15_coevolution_scores(spark, sf)
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert [int(n) > 8 for n in re.findall(r"RepartitionByExpression \[rlocds_id_[12]#\d+L?, event_id#\d+L?\], (\d+)", plan)] == [True] * 4
+    assert sorted(got.collect()) == want
