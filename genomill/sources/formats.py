@@ -119,24 +119,73 @@ def read_transfers(lines: DataFrame, dead: str = "-1") -> DataFrame:
     return e.select("segment", "at", F.explode(found).alias("f"), "freq").select("segment", "at", "f.*", "freq")
 
 
+#: Tokens of a tree that is read inside its row; larger ones are dealt over many tasks.
+SMALL_TREE = 512
+TOKENS = r"([(),;]|[^(),;\s][^(),;]*)"
+
+
+def _sign(t: Column) -> Column:
+    return t.isin("(", ")", ",", ";")
+
+
+def _balanced(tokens: Column) -> Column:
+    """Whether each closing bracket of a row's tokens has an opening one before it, and each opening one is closed."""
+    step = lambda t: F.when(t == "(", 1).when(t == ")", -1).otherwise(0)
+    depth = F.aggregate(tokens, F.struct(F.lit(0).alias("d"), F.lit(0).alias("low")), lambda x, t: F.struct((x["d"] + step(t)).alias("d"), F.least(x["low"], x["d"] + step(t)).alias("low")))
+    return (depth["d"] == 0) & (depth["low"] == 0)
+
+
+def _small_trees(trees: DataFrame) -> DataFrame:
+    """tree, branch_id, parent_branch_id, label, is_tip of small trees with balanced brackets: each is read inside its row, by a stack of open brackets."""
+    kind = "array<struct<branch_id:int,parent_branch_id:int,label:string,is_tip:boolean>>"
+    start = F.struct(F.array().cast("array<int>").alias("open"), F.lit(0).alias("n"), F.array().cast(kind).alias("nodes"), F.lit("").alias("before"))
+
+    def step(x: Column, item: Column) -> Column:
+        t, above = item["t"], F.get(x["open"], F.size(x["open"]) - 2)
+        top = F.get(x["open"], F.size(x["open"]) - 1)
+        node = lambda number, parent, label, is_tip: F.concat(x["nodes"], F.array(F.struct(number.alias("branch_id"), parent.alias("parent_branch_id"), label.alias("label"), F.lit(is_tip).alias("is_tip"))))
+        tip = ~_sign(t) & (x["before"] != ")")
+        opened = F.when(t == "(", F.concat(x["open"], F.array(x["n"]))).when(t == ")", F.slice(x["open"], F.lit(1), F.size(x["open"]) - 1)).otherwise(x["open"])
+        nodes = F.when(t == ")", node(top, above, F.when(~_sign(item["after"]), item["after"]), False)).when(tip, node(x["n"], top, t, True)).otherwise(x["nodes"])
+        return F.struct(opened.alias("open"), (x["n"] + F.when((t == "(") | tip, 1).otherwise(0)).alias("n"), nodes.alias("nodes"), t.alias("before"))
+
+    split = trees.select("tree", F.regexp_extract_all("newick", F.lit(TOKENS), 1).alias("ts"))
+    items = F.transform("ts", lambda t, i: F.struct(t.alias("t"), F.get(F.col("ts"), i + 1).alias("after")))
+    return split.select("tree", F.explode(F.aggregate(items, start, step, lambda x: x["nodes"])).alias("x")).select("tree", "x.*")
+
+
 def read_trees(trees: DataFrame, block: int = 100_000) -> DataFrame:
     """Tree, branch_id (from 0 in pre-order), parent_branch_id, branch_name, length, is_tip of Newick texts `trees` (tree, newick).
 
-    Inner nodes without a name are called N and their number. Depths are sums over blocks of `block` tokens, carried from block to
-    block, and brackets of one depth open and close in turn, so that numbers within a depth match them: a tree of any size is
-    dealt over many tasks. Names of trees are distinct; a null text has no nodes.
+    Inner nodes without a name are called N and their number. A tree of up to SMALL_TREE (and `block`) tokens is read inside its row,
+    others in blocks of tokens (`_large_trees`). Names of trees are distinct; a null text has no nodes.
     """
-    split = trees.select("tree", F.regexp_extract_all("newick", F.lit(r"([(),;]|[^(),;\s][^(),;]*)"), 1).alias("ts"))
+    tokens = F.regexp_extract_all("newick", F.lit(TOKENS), 1)
+    texts = trees.where("newick IS NOT NULL").select("tree", "newick", tokens.alias("_ts"))
+    texts = settle(texts.select("tree", "newick", ((F.size("_ts") <= min(SMALL_TREE, block)) & _balanced(F.col("_ts"))).alias("_small")))
+    found, large = _small_trees(texts.where("_small")), texts.where("NOT _small")
+    if not large.isEmpty():
+        found = found.unionByName(_large_trees(large, block))
+    label = F.regexp_replace(F.coalesce("label", F.lit("")), ":.*$", "")
+    return found.select("tree", "branch_id", "parent_branch_id", F.when(label != "", label).otherwise(F.concat(F.lit("N"), F.col("branch_id").cast("string"))).alias("branch_name"), F.regexp_extract(F.coalesce("label", F.lit("")), r":([^:]*)$", 1).try_cast("double").alias("length"), "is_tip")
+
+
+def _large_trees(trees: DataFrame, block: int) -> DataFrame:
+    """tree, branch_id, parent_branch_id, label, is_tip of trees of any size.
+
+    Depths are sums over blocks of `block` tokens, carried from block to block, and brackets of one depth open and close in turn, so
+    that numbers within a depth match them: a tree of any size is dealt over many tasks.
+    """
+    split = trees.select("tree", F.regexp_extract_all("newick", F.lit(TOKENS), 1).alias("ts"))
     beside = lambda i, step: F.get(F.col("ts"), i + step)
     items = F.transform("ts", lambda t, i: F.struct(i.cast("long").alias("at"), t.alias("t"), beside(i, -1).alias("_before"), beside(i, 1).alias("_after")))
     tokens = settle(split.select("tree", F.explode(items).alias("x")).select("tree", "x.*").withColumn("_step", F.when(F.col("t") == "(", 1).when(F.col("t") == ")", -1).otherwise(0)))
     tokens = settle(running_sum(tokens, ["tree"], "at", "_step", "d", block).withColumn("own", F.lit(1)))
-    sign = F.col("t").isin("(", ")", ",", ";")
     opens = settle(running_sum(settle(tokens.where("t = '('")), ["tree", "d"], "at", "own", "i", block))
-    closing = tokens.where("t = ')'").select("tree", (F.col("d") + 1).alias("d"), "at", "own", F.when(~F.col("_after").isin("(", ")", ",", ";"), F.col("_after")).alias("label"))
+    closing = tokens.where("t = ')'").select("tree", (F.col("d") + 1).alias("d"), "at", "own", F.when(~_sign(F.col("_after")), F.col("_after")).alias("label"))
     closes = running_sum(settle(closing), ["tree", "d"], "at", "own", "i", block).drop("at", "own")
     inner = opens.join(closes, ["tree", "d", "i"]).select("tree", "at", (F.col("d") - 1).alias("up"), "label", F.lit(False).alias("is_tip"))
-    tips = tokens.where(~sign & (F.coalesce("_before", F.lit("")) != ")")).select("tree", "at", F.col("d").alias("up"), F.col("t").alias("label"), F.lit(True).alias("is_tip"))
+    tips = tokens.where(~_sign(F.col("t")) & (F.coalesce("_before", F.lit("")) != ")")).select("tree", "at", F.col("d").alias("up"), F.col("t").alias("label"), F.lit(True).alias("is_tip"))
     nodes = settle(inner.unionByName(tips).withColumn("own", F.lit(1)))
     numbered = settle(running_sum(nodes, ["tree"], "at", "own", "_n", block).select("tree", "at", "up", "label", "is_tip", (F.col("_n") - 1).cast("int").alias("branch_id")))
     # the parent: the bracket of the depth above that opened last, that is, as many as have opened there so far
@@ -144,9 +193,7 @@ def read_trees(trees: DataFrame, block: int = 100_000) -> DataFrame:
     above = running_sum(asked, ["tree", "d"], "at2", "own", "i", 2 * block).where("own = 0").select("tree", "at", "d", "i")
     parents = above.join(opens.select("tree", "d", "i", F.col("at").alias("parent")), ["tree", "d", "i"]).select("tree", "at", "parent")
     up = numbered.select("tree", F.col("at").alias("parent"), F.col("branch_id").alias("parent_branch_id"))
-    label = F.regexp_replace(F.coalesce("label", F.lit("")), ":.*$", "")
-    found = numbered.join(parents, ["tree", "at"], "left").join(up, ["tree", "parent"], "left")
-    return found.select("tree", "branch_id", "parent_branch_id", F.when(label != "", label).otherwise(F.concat(F.lit("N"), F.col("branch_id").cast("string"))).alias("branch_name"), F.regexp_extract(F.coalesce("label", F.lit("")), r":([^:]*)$", 1).try_cast("double").alias("length"), "is_tip")
+    return numbered.join(parents, ["tree", "at"], "left").join(up, ["tree", "parent"], "left").select("tree", "branch_id", "parent_branch_id", "label", "is_tip")
 
 
 def load_scores(spark: SparkSession, path: str, collection: int) -> DataFrame:

@@ -195,3 +195,15 @@ def test_terms_meet_families_as_arrays(spark):
     keys = lambda df: re.findall(r"Aggregate \[([^\]]*)\]", df._jdf.queryExecution().optimizedPlan().toString())
     assert not any("nr_protein_id" in k for k in keys(lines))
     assert not any("go_id" in k for df in (annotation.pan_background(genes, terms, clades), core) for k in keys(df))
+
+
+def test_small_trees_are_read_inside_their_rows(spark, monkeypatch):
+    """Trees of few tokens are written once as texts and never shuffled; broken texts and large trees give the same nodes either way."""
+    texts = {"a": "(x:1,(y:2,z)I:0.5)R;", "b": "tip;", "c": "((a,b),(c,d)", "d": "a)(b)", "e": "", "f": None, "g": " ( a b :1 , c )lab el:2 ; (d,e);", "h": "(,);", "j": "((((a))));", "m": "a,b;", "o": "(a)b)c(d)"}
+    trees = spark.createDataFrame(list(texts.items()), "tree string, newick string")
+    inside = formats.read_trees(trees.where("tree IN ('a', 'b', 'j')"))
+    assert "Exchange" not in inside._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, inside.where("tree = 'a'").collect()), key=lambda r: r[1]) == [("a", 0, None, "R", None, False), ("a", 1, 0, "x", 1.0, True), ("a", 2, 0, "I", 0.5, False), ("a", 3, 2, "y", 2.0, True), ("a", 4, 2, "z", None, True)]
+    got = sorted(map(tuple, formats.read_trees(trees).collect()), key=str)
+    monkeypatch.setattr(formats, "SMALL_TREE", 0)
+    assert sorted(map(tuple, formats.read_trees(trees).collect()), key=str) == got
