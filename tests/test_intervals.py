@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -207,3 +208,38 @@ def test_small_trees_are_read_inside_their_rows(spark, monkeypatch):
     got = sorted(map(tuple, formats.read_trees(trees).collect()), key=str)
     monkeypatch.setattr(formats, "SMALL_TREE", 0)
     assert sorted(map(tuple, formats.read_trees(trees).collect()), key=str) == got
+
+
+def test_partners_travel_as_one_number(spark):
+    """Where ids and frequencies are integers a lineage's partners are one array of 4 bytes each (8 for far ids); other types travel as they are."""
+    from genomill.operators import coevolution as co
+
+    rng = random.Random(6)
+    ids = [-40, -3, 0, 5, 70, 2**20, 2**20 + 1]
+    for kind, scale, wide in (("long", 1, "array<int>"), ("long", 2**24, "array<bigint>"), ("long", 2**40, None), ("string", 1, None)):
+        rows = [(e, f"n{i:09d}" if kind == "string" else i * scale, rng.randint(0, 100), i % 3) for e in range(8) for i in rng.sample(ids, 4)]
+        side = spark.createDataFrame(rows, f"event_id long, rlocds_id {kind}, freq long, gene_family_id int")
+        met = co.lineage_matches(side.drop("gene_family_id"), None, "all")
+        assert sorted(map(tuple, met.collect())) == sorted((a[1], b[1], a[0], a[2], b[2]) for a in rows for b in rows if a[0] == b[0] and a[1] <= b[1])
+        assert {"rlocds_id_1": kind.replace("long", "bigint"), "freq_2": "bigint"}.items() <= dict(met.dtypes).items()
+        packing = co._packing(side)
+        assert (packing and f"array<{packing[1]}>") == wide
+
+
+def test_settled_tables_leave_no_shuffle_files(spark):
+    """Shuffle files go when the write that needed them ends; the session's own setting stays."""
+    from pathlib import Path
+
+    from genomill.operators.trees import settle
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    held = lambda: {p.name for f in folders for p in Path(f).rglob("shuffle_*.data")}
+    before, kept = held(), spark.conf.get(key, None)
+    settled = settle(spark.range(1000).repartition(7, "id"))
+    for _ in range(50):  # executors are told, not waited for
+        if held() <= before:
+            break
+        time.sleep(0.1)
+    assert held() <= before and spark.conf.get(key, None) == kept
+    assert settled.count() == 1000
