@@ -243,3 +243,23 @@ def test_settled_tables_leave_no_shuffle_files(spark):
         time.sleep(0.1)
     assert held() <= before and spark.conf.get(key, None) == kept
     assert settled.count() == 1000
+
+
+def test_hashes_of_one_set_meet_nothing(spark):
+    """Hashes that one set alone holds take no row; ids of several texts, empty texts and null ids give the distances of plain sets."""
+    sets = spark.createDataFrame([(1, [1, 2, 3, 9]), (2, [1, 4, 5, 9]), (3, [6, 7])], "id int, sketch array<long>")
+    assert sorted(map(tuple, similarity._prefixes(sets, 0.5).collect())) == [(1, 4, 1), (2, 4, 1)]
+    assert sorted(map(tuple, similarity._prefixes(sets, 0.0).collect())) == [(1, 4, 1), (1, 4, 9), (2, 4, 1), (2, 4, 9)]
+    single = similarity.sketches(spark.createDataFrame([(i, f"a b {i} c d") for i in range(20)], "id int, text string"), 2, 5)
+    assert "Exchange" not in single._jdf.queryExecution().executedPlan().toString()
+    rows = [(i % 9 if i % 5 else i, f"t{i % 4} u v w x{i % 3} y z {'q' * (i % 2)}") for i in range(40)] + [(3, ""), (50, ""), (51, ""), (52, None), (None, "u v w x")]
+    words = {}
+    for i, t in rows:
+        if i is not None and t is not None:
+            w = t.split(" ")
+            words.setdefault(i, set()).update(tuple(w[j : j + 3]) for j in range(max(1, len(w) - 2)))
+    want = {(a, b): len(words[a] & words[b]) / len(words[a] | words[b]) for a in words for b in words if a < b and words[a] & words[b]}
+    df = spark.createDataFrame(rows, "id int, text string")
+    for least in (0.0, 0.4):
+        got = {(r.id_1, r.id_2): r.jaccard for r in similarity.sketch_distances(df, 3, 200, least).collect()}
+        assert got == {k: round(v, 9) for k, v in want.items() if v >= least}
