@@ -538,3 +538,21 @@ def test_encoder_gives_the_tokenizers_ids_whatever_its_tables_hold(spark, sf):
         part = texts[at : at + 10]
         assert [x.tolist() for x in encoder.encode(part)] == [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in part]
     assert encoder.direct and len(encoder.index) < 20_000
+
+
+def test_cut_tables_leave_no_shuffle_files(spark):
+    """Shuffle files of what is written go when the write ends, so that an operator of many steps holds those of one."""
+    import time
+    from pathlib import Path
+
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    held = lambda: {p.name for f in folders for p in Path(f).rglob("shuffle_*.data")}
+    before = held()
+    done = common.cut(spark.range(1000).repartition(7, "id"))
+    for _ in range(50):  # executors are told, not waited for
+        if held() <= before:
+            break
+        time.sleep(0.1)
+    assert held() <= before
+    assert done.count() == 1000
+    common.discard(done)
